@@ -597,7 +597,7 @@ def scan_roundtrip(spark, sf):
     write_lines(lines(spark, sf), path, files=8)
     decoy = spark.createDataFrame([("not a booking",)], "value STRING")
     write_lines(decoy, f"{path}/notes", extension=".txt")
-    return bk.explode_legs(bk.parse_events(bk.read_booking_lines(spark, path)))
+    return bk.explode_legs(bk.parse_events(bk.read_booking_events(spark, path)))
 
 
 @register("report_roundtrip", q.with_base(*_report_sql(REPORT_CFG)) + "\n" + _FINAL_SQL)

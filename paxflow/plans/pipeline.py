@@ -18,10 +18,11 @@ from paxflow.operators.enrich import enrich
 from paxflow.operators.report import passenger_report, report_rows
 from paxflow.operators.rules import apply_rules
 from paxflow.sources.airports import read_airports
-from paxflow.sources.bookings import explode_legs, parse_events, product_key_filter, read_booking_lines
+from paxflow.sources.bookings import explode_legs, parse_events, product_key_filter, read_booking_events
 
 
 def rule_legs(lines: DataFrame, cfg: RuleConfig) -> DataFrame:
+    # ``lines``: a decoded JSON scan (read_booking_events) or raw lines.
     """Passenger-legs that can pass the key rules (origin, date).
 
     The predicates sit inside the flatten lambda, before the generator;
@@ -74,7 +75,7 @@ def run_report(
     glob: str | None = "*.json",
 ) -> DataFrame:
     """Batch entry: booking files + airport file -> ordered report rows."""
-    lines = read_booking_lines(spark, bookings_path, glob=glob)
+    lines = read_booking_events(spark, bookings_path, glob=glob)
     airports = read_airports(spark, airports_path)
     from paxflow.operators.report import order_report
 

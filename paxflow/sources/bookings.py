@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from paxflow.functions.instants import utc_instant
 from paxflow.schema import BOOKING_EVENT_DDL
 
-_RECORD = "b.event.DataElement.travelrecord"
+_RECORD = "event.DataElement.travelrecord"
 
 
 def read_booking_lines(spark: SparkSession, path, glob: str | None = "*.json") -> DataFrame:
-    """Text scan of a file or directory (any Hadoop URI), one event per line.
+    """Raw text scan (column ``value``) of a file or directory.
 
     Only files matching ``glob`` are taken, directories are not descended.
     A missing path raises Spark's PATH_NOT_FOUND. Lines are never collected.
@@ -28,10 +28,35 @@ def read_booking_lines(spark: SparkSession, path, glob: str | None = "*.json") -
     return reader.load(path)
 
 
+_JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+
+
+def read_booking_events(spark: SparkSession, path, glob: str | None = "*.json") -> DataFrame:
+    """JSON file scan with the declared schema (one parse per
+    line, inside the scan; only the fields a query uses are converted).
+
+    Columns: ``timestamp``, ``event``, ``_corrupt_record``. Blank lines are
+    skipped, lines that are not JSON keep their text in ``_corrupt_record``.
+    """
+    reader = spark.read.schema(BOOKING_EVENT_DDL).options(**_JSON_OPTIONS)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.json(path)
+
+
 def decode(lines: DataFrame) -> DataFrame:
-    """JSON text -> struct with the declared schema; never fails a job."""
-    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    return lines.select(F.col("value"), F.from_json("value", BOOKING_EVENT_DDL, opts).alias("b"))
+    """S4 for a DataFrame of lines: same columns as
+    :func:`read_booking_events` plus ``value``; never fails a job."""
+    return (
+        lines.filter(F.trim(F.col("value")) != "")
+        .select("value", F.from_json("value", BOOKING_EVENT_DDL, _JSON_OPTIONS).alias("b"))
+        .select("value", "b.*")
+    )
+
+
+def _raw(df: DataFrame) -> DataFrame:
+    """Accept either a lines DataFrame (``value``) or a decoded one."""
+    return decode(df) if "event" not in df.columns else df
 
 
 def _passenger_ok(p: Column) -> Column:
@@ -52,48 +77,28 @@ def _product_ok(d: Column) -> Column:
     )
 
 
-def _reason(blank: Column) -> Column:
+def _reason(strict: bool) -> Column:
+    """Why an event is rejected, or null when it is kept."""
     record = F.col(_RECORD)
-    return (
-        F.when(blank, F.lit(None))
-        .when(F.col("b").isNull() | F.col("b._corrupt_record").isNotNull(), F.lit("malformed_json"))
-        .when(record.isNull(), F.lit("missing_travelrecord"))
+    reason = F.when(F.col("_corrupt_record").isNotNull(), F.lit("malformed_json")).when(
+        record.isNull(), F.lit("missing_travelrecord")
     )
-
-
-def _strict_reason() -> Column:
-    record = F.col(_RECORD)
-    bad_member = F.exists(record.passengersList, lambda p: ~_passenger_ok(p)) | F.exists(
-        record.productsList, lambda d: ~_product_ok(d)
-    )
-    empty = (
-        F.coalesce(F.size(record.passengersList), F.lit(-1)) <= 0
-    ) | (F.coalesce(F.size(record.productsList), F.lit(-1)) <= 0)
-    return (
-        F.when(empty, F.lit("empty_travelrecord"))
-        .when(bad_member, F.lit("invalid_member"))
-        .when(F.col("booking_ts").isNull(), F.lit("invalid_timestamp"))
-    )
-
-
-def _events_with_reason(lines: DataFrame, strict: bool) -> DataFrame:
-    blank = F.trim(F.col("value")) == ""
-    decoded = decode(lines).withColumn("blank", blank).withColumn("reason", _reason(blank))
-    decoded = decoded.withColumn("booking_ts", utc_instant(F.col("b.timestamp")))
     if strict:
-        decoded = decoded.withColumn("reason", F.coalesce(F.col("reason"), F.when(~F.col("blank"), _strict_reason())))
-    return decoded
-
+        bad_member = F.exists(record.passengersList, lambda p: ~_passenger_ok(p)) | F.exists(
+            record.productsList, lambda d: ~_product_ok(d)
+        )
+        empty = (F.coalesce(F.size(record.passengersList), F.lit(-1)) <= 0) | (
+            F.coalesce(F.size(record.productsList), F.lit(-1)) <= 0
+        )
+        reason = (
+            reason.when(empty, F.lit("empty_travelrecord"))
+            .when(bad_member, F.lit("invalid_member"))
+            .when(utc_instant("timestamp").isNull(), F.lit("invalid_timestamp"))
+        )
+    return reason
 
-def parse_events(lines: DataFrame, strict: bool = False) -> DataFrame:
-    """Valid booking events with normalised, typed members.
 
-    Columns: event_id (two independent 64-bit hashes of the line),
-    booking_ts (TIMESTAMP_NTZ, UTC), passengers, products. Blank lines are
-    skipped; rejected lines are available from :func:`quarantine`.
-    """
-    decoded = _events_with_reason(lines, strict).filter(~F.col("blank") & F.col("reason").isNull())
-    record = F.col(_RECORD)
+def _event_columns(record: Column) -> list[Column]:
     passengers = F.transform(
         F.filter(record.passengersList, lambda p: p.isNotNull()),
         lambda p: F.struct(
@@ -114,21 +119,37 @@ def parse_events(lines: DataFrame, strict: bool = False) -> DataFrame:
             d.flight.operatingAirline.alias("operating_airline"),
         ),
     )
-    return decoded.select(
-        F.struct(F.xxhash64("value").alias("h1"), F.xxhash64(F.lit(7), "value").alias("h2")).alias("event_id"),
-        "booking_ts",
+    return [
+        F.struct(
+            F.xxhash64("timestamp", "event").alias("h1"), F.xxhash64(F.lit(7), "timestamp", "event").alias("h2")
+        ).alias("event_id"),
+        utc_instant("timestamp").alias("booking_ts"),
         passengers.alias("passengers"),
         products.alias("products"),
-    )
+    ]
 
 
-def quarantine(lines: DataFrame, strict: bool = False) -> DataFrame:
-    """Rejected lines with a reason (value, reason)."""
-    return (
-        _events_with_reason(lines, strict)
-        .filter(F.col("reason").isNotNull())
-        .select("value", "reason")
+def parse_events(source: DataFrame, strict: bool = False) -> DataFrame:
+    """Valid booking events with normalised, typed members.
+
+    ``source`` is a decoded scan (:func:`read_booking_events`) or a
+    DataFrame of lines. Columns: event_id (two independent 64-bit hashes
+    of the parsed event), booking_ts (TIMESTAMP_NTZ, UTC), passengers,
+    products. Rejected lines are available from :func:`quarantine`.
+    """
+    raw = _raw(source)
+    return raw.filter(_reason(strict).isNull()).select(*_event_columns(F.col(_RECORD)))
+
+
+def quarantine(source: DataFrame, strict: bool = False) -> DataFrame:
+    """Rejected lines with a reason (value, reason). From a file
+    scan the text of a malformed line is kept; other rejects are
+    re-serialised from the parsed event."""
+    raw = _raw(source)
+    text = F.col("value") if "value" in raw.columns else F.coalesce(
+        F.col("_corrupt_record"), F.to_json(F.struct("timestamp", "event"))
     )
+    return raw.select(text.alias("value"), _reason(strict).alias("reason")).filter(F.col("reason").isNotNull())
 
 
 def product_key_filter(origins=None, start=None, end=None):
@@ -193,6 +214,6 @@ def explode_legs(events: DataFrame, product_filter=None, keep_event_id: bool = F
     return events.select(*cols, F.inline(legs))
 
 
-def legs_from_lines(lines: DataFrame, strict: bool = False, product_filter=None) -> DataFrame:
-    """S3: booking lines -> passenger-leg table."""
-    return explode_legs(parse_events(lines, strict=strict), product_filter=product_filter)
+def legs_from_lines(source: DataFrame, strict: bool = False, product_filter=None) -> DataFrame:
+    """S3: booking lines (or a decoded scan) -> passenger-leg table."""
+    return explode_legs(parse_events(source, strict=strict), product_filter=product_filter)
