@@ -22,23 +22,25 @@ def enrich(legs: DataFrame, airports: DataFrame, tz_from: str = "origin") -> Dat
     when the origin is unknown or its zone is empty, else UTC.
     ``tz_from="destination"``: the destination's zone, else UTC.
     Season comes from the UTC month of departure. The dimension is
-    broadcast behind a row-count check and joined twice.
+    broadcast behind a row-count check; both lookups use the same
+    dimension plan, so its broadcast is built once and reused.
     """
     dim = bounded_broadcast(zone_columns(airports))
-    dest = dim.select(
-        F.col("iata").alias("_d_iata"), F.col("country"), F.col("tz").alias("_d_tz")
-    ).filter(F.col("country") != "")
-    out = legs.join(dest, F.col("destination_airport") == F.col("_d_iata"), "inner")
+    d, o = dim.alias("_d"), dim.alias("_o")
+    out = legs.join(d, F.col("destination_airport") == F.col("_d.iata"), "inner").filter(
+        F.col("_d.country") != ""
+    )
     if tz_from == "origin":
-        org = dim.select(F.col("iata").alias("_o_iata"), F.col("tz").alias("_o_tz"))
-        out = out.join(org, F.col("origin_airport") == F.col("_o_iata"), "left")
-        zone = F.coalesce(F.nullif(F.col("_o_tz"), F.lit("")), F.nullif(F.col("_d_tz"), F.lit("")), F.lit("UTC"))
+        out = out.join(o, F.col("origin_airport") == F.col("_o.iata"), "left")
+        zone = F.coalesce(F.nullif(F.col("_o.tz"), F.lit("")), F.nullif(F.col("_d.tz"), F.lit("")), F.lit("UTC"))
     else:
-        zone = F.coalesce(F.nullif(F.col("_d_tz"), F.lit("")), F.lit("UTC"))
-    out = out.withColumn("day_of_week", local_day_name("departure_ts", zone)).withColumn(
-        "season", season_of("departure_ts")
+        zone = F.coalesce(F.nullif(F.col("_d.tz"), F.lit("")), F.lit("UTC"))
+    return out.select(
+        *[F.col(c) for c in legs.columns],
+        F.col("_d.country").alias("country"),
+        local_day_name("departure_ts", zone).alias("day_of_week"),
+        season_of("departure_ts").alias("season"),
     )
-    return out.drop("_d_iata", "_d_tz", "_o_iata", "_o_tz")
 
 
 def unknown_destinations(legs: DataFrame, airports: DataFrame) -> DataFrame:

@@ -28,8 +28,16 @@ def parse_airport_lines(lines: DataFrame) -> DataFrame:
 
 
 def read_airports(spark: SparkSession, path) -> DataFrame:
-    """Scan an airport file or directory and return the clean dimension."""
-    return clean_airports(parse_airport_lines(spark.read.text(path)))
+    """Scan an airport file or directory with the CSV source (one
+    parse per line, in the scan) and return the clean dimension."""
+    raw = (
+        spark.read.schema(AIRPORT_RAW_DDL)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_bad")
+        .option("escape", '"')
+        .csv(path)
+    )
+    return clean_airports(raw)
 
 
 def _token(c: str) -> Column:
