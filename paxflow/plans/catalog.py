@@ -641,3 +641,16 @@ def stage_counts(spark, sf):
         c = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("stage"), "row_count")
         out = c if out is None else out.unionByName(c)
     return out
+
+
+@register("passenger_report_from_store", q.with_base(*_report_sql(REPORT_CFG)) + "\nSELECT * FROM rep")
+def passenger_report_from_store(spark, sf):
+    """Legs stored once as month-partitioned Parquet, then the report read
+    back with partition pruning and pushed filters."""
+    from paxflow.plans.sizing import shared_dir
+    from paxflow.sources.legstore import read_leg_store, write_leg_store
+
+    path = shared_dir(spark, "legstore")
+    write_leg_store(legs(spark, sf), path)
+    stored = read_leg_store(spark, path, REPORT_CFG.start, REPORT_CFG.end, REPORT_CFG.origins)
+    return report_from_legs(stored, airports(spark, sf), REPORT_CFG)
