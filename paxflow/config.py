@@ -59,7 +59,8 @@ class RuleConfig:
         origins = self.origins
         if isinstance(origins, str):
             origins = parse_codes(origins)
-        object.__setattr__(self, "origins", tuple(c.strip().upper() for c in origins))
+        if origins is not None:  # None: no origin rule (e.g. origins joined from data)
+            object.__setattr__(self, "origins", tuple(c.strip().upper() for c in origins))
         if self.start and self.end and self.end < self.start:
             raise ValueError(f"end date {self.end} is before start date {self.start}")
         if self.tz_from not in TZ_FROM:

@@ -58,7 +58,7 @@ def apply_rules(legs: DataFrame, cfg: RuleConfig) -> DataFrame:
     kept = latest.filter(F.col("is_confirmed"))
     kept = departing_between(kept, cfg.start, cfg.end)
     kept = operated_by(kept, cfg.airline)
-    return departing_from(kept, cfg.origins)
+    return kept if cfg.origins is None else departing_from(kept, cfg.origins)
 
 
 # -------------------------------------------------------------- event level
@@ -124,11 +124,9 @@ def qualifying_product(cfg: RuleConfig):
     and the date range only when both bounds are given."""
 
     def pred(d: Column) -> Column:
-        cond = (
-            (d.operating_airline == F.lit(cfg.airline))
-            & d.origin_airport.isin(*cfg.origins)
-            & (d.booking_status == CONFIRMED)
-        )
+        cond = (d.operating_airline == F.lit(cfg.airline)) & (d.booking_status == CONFIRMED)
+        if cfg.origins is not None:
+            cond = cond & d.origin_airport.isin(*cfg.origins)
         if cfg.start is not None and cfg.end is not None:
             cond = cond & departure_window(d.departure_ts, cfg.start, cfg.end)
         return cond
@@ -157,5 +155,6 @@ def event_rules(events: DataFrame, cfg: RuleConfig, latest: DataFrame | None = N
         latest = latest_status(explode_legs(events), cfg.tie_break)
     kept = any_departure_between(events, cfg.start, cfg.end)
     kept = any_operated_by(kept, cfg.airline)
-    kept = any_departing_from(kept, cfg.origins)
+    if cfg.origins is not None:
+        kept = any_departing_from(kept, cfg.origins)
     return with_confirmed_leg(kept, latest)

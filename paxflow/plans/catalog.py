@@ -540,14 +540,15 @@ STREAM_FILES_PER_TRIGGER = 4
 
 
 def _replay_files(spark, sf, purpose: str) -> str:
-    """Booking lines written as .json files under the shared folder, in
-    the hash order of the line (not the table order)."""
+    """Booking lines written as .json files under the shared folder,
+    spread round-robin (a block of identical lines cannot pile up in one
+    file)."""
     from paxflow.plans.sizing import shared_dir
     from paxflow.sources.sinks import write_lines
 
     path = shared_dir(spark, purpose)
     src = lines(spark, sf)
-    write_lines(src.repartition(STREAM_FILES, F.xxhash64("value")), f"{path}/in")
+    write_lines(src, f"{path}/in", files=STREAM_FILES)
     return path
 
 

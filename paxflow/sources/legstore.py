@@ -1,7 +1,8 @@
 """Intermediate storage of the passenger-leg table as Parquet.
 
 Legs are written once, partitioned by UTC departure month and sorted by
-leg key inside each file, so a date range prunes whole directories and
+leg key inside each file (output balanced by AQE, so a hot month or key
+is split over several files), so a date range prunes whole directories and
 the remaining predicates (exact departure range, origin set) reach the
 Parquet reader as pushed filters with row-group statistics. The latest
 status is then computed only over the months that can match; because
@@ -30,9 +31,11 @@ def write_leg_store(legs: DataFrame, path: str, mode: str = "overwrite") -> None
     of new events only touches the months it contains.
     """
     month = F.trunc(F.col("departure_ts").cast("date"), "month")
+    # ``rebalance`` groups rows by month but lets AQE split a hot month (or
+    # a hot key) over several tasks and files instead of one.
     (
         legs.withColumn(PARTITION, month)
-        .repartition(PARTITION, *LEG_KEY)
+        .hint("rebalance", PARTITION)
         .sortWithinPartitions(PARTITION, *LEG_KEY)
         .write.mode(mode)
         .partitionBy(PARTITION)
