@@ -31,6 +31,7 @@ def _args(argv=None):
     p.add_argument("--day", type=dt.date.fromisoformat, help="top countries of one UTC departure day")
     p.add_argument("--stream", action="store_true", help="run continuously over new booking files")
     p.add_argument("--state", help="stream state table path (default under spark.checkpoint.dir)")
+    p.add_argument("--state-horizon", help="stream: drop state of legs departed this long ago, e.g. '400 days'")
     p.add_argument("--top", type=int, default=10)
     return p.parse_args(argv)
 
@@ -64,7 +65,9 @@ def main(argv=None) -> None:
 
         base = a.state or shared_dir(spark, "stream")
         legs = st.stream_legs(st.stream_lines(spark, a.bookings, glob=glob), cfg)
-        query = st.start_leg_state(legs, f"{base}/state", f"{base}/checkpoint", cfg.tie_break)
+        query = st.start_leg_state(
+            legs, f"{base}/state", f"{base}/checkpoint", cfg.tie_break, state_horizon=a.state_horizon
+        )
         print(f"state table: {base}/state  (read it with paxflow.streaming.stream.read_leg_state)")
         query.awaitTermination()
         return
