@@ -116,3 +116,26 @@ def test_airport_defaults_duplicates_and_zones(spark, scratch):
         assert (b.country, b.icao, b.dst, b.tz_database, b.tz, b.airport_type, b.source) == (
             "", None, "N", "", "", "unknown", "Unknown"
         )
+
+
+def test_directory_scan_is_not_recursive_and_filters_names(spark, scratch):
+    from golden import EVENT_LINES, write_files
+
+    from paxflow.sources.bookings import read_booking_events
+
+    base = scratch("scan")
+    write_files(spark, f"{base}/in", EVENT_LINES[:2])
+    write_files(spark, f"{base}/in/sub", EVENT_LINES[2:4])
+    write_files(spark, f"{base}/in", EVENT_LINES[4:6], one_per_line=True, extension=".log")
+    assert read_booking_events(spark, f"{base}/in").count() == 2  # *.json only, sub/ not descended
+    assert read_booking_events(spark, f"{base}/in", glob=None).count() == 4  # + the two .log files
+
+
+def test_missing_path_raises(spark, scratch):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from paxflow.sources.bookings import read_booking_events
+
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_booking_events(spark, scratch("missing") + "/nothing").count()
