@@ -29,8 +29,8 @@ def rule_legs(lines: DataFrame, cfg: RuleConfig) -> DataFrame:
     they touch only key columns, so whole latest-status groups are kept or
     dropped and the result equals filtering after the window.
     """
-    events = parse_events(lines, strict=cfg.strict)
-    return explode_legs(events, product_filter=product_key_filter(cfg.origins, cfg.start, cfg.end))
+    events = parse_events(lines, strict=cfg.strict, origins=cfg.origins)
+    return explode_legs(events, product_filter=product_key_filter(None, cfg.start, cfg.end))
 
 
 def report_from_legs(legs: DataFrame, airports: DataFrame, cfg: RuleConfig) -> DataFrame:

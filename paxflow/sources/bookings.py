@@ -98,7 +98,7 @@ def _reason(strict: bool) -> Column:
     return reason
 
 
-def _event_columns(record: Column) -> list[Column]:
+def _event_columns(record: Column, origins=None) -> list[Column]:
     passengers = F.transform(
         F.filter(record.passengersList, lambda p: p.isNotNull()),
         lambda p: F.struct(
@@ -108,8 +108,12 @@ def _event_columns(record: Column) -> list[Column]:
             p.tattoo.alias("tattoo"),
         ),
     )
+    def keep(d: Column) -> Column:
+        cond = d.isNotNull() & d.flight.isNotNull()
+        return cond & d.flight.originAirport.isin(*origins) if origins is not None else cond
+
     products = F.transform(
-        F.filter(record.productsList, lambda d: d.isNotNull() & d.flight.isNotNull()),
+        F.filter(record.productsList, keep),
         lambda d: F.struct(
             F.upper(F.trim(d.bookingStatus)).alias("booking_status"),
             d.flight.originAirport.alias("origin_airport"),
@@ -129,16 +133,18 @@ def _event_columns(record: Column) -> list[Column]:
     ]
 
 
-def parse_events(source: DataFrame, strict: bool = False) -> DataFrame:
+def parse_events(source: DataFrame, strict: bool = False, origins=None) -> DataFrame:
     """Valid booking events with normalised, typed members.
 
     ``source`` is a decoded scan (:func:`read_booking_events`) or a
     DataFrame of lines. Columns: event_id (two independent 64-bit hashes
     of the parsed event), booking_ts (TIMESTAMP_NTZ, UTC), passengers,
     products. Rejected lines are available from :func:`quarantine`.
+    ``origins`` keeps only products departing from those codes (a key
+    predicate for leg pipelines: dates of other products are not parsed).
     """
     raw = _raw(source)
-    return raw.filter(_reason(strict).isNull()).select(*_event_columns(F.col(_RECORD)))
+    return raw.filter(_reason(strict).isNull()).select(*_event_columns(F.col(_RECORD), origins))
 
 
 def quarantine(source: DataFrame, strict: bool = False) -> DataFrame:
