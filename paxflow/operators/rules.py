@@ -119,6 +119,12 @@ def with_confirmed_leg(events: DataFrame, latest: DataFrame) -> DataFrame:
     return events.join(ids, "event_id", "left_semi")
 
 
+def first_destination(events: DataFrame) -> DataFrame:
+    """Destination code of each event's first product (null when the
+    event has no product)."""
+    return events.withColumn("first_destination", F.get("products", 0).destination_airport)
+
+
 def qualifying_product(cfg: RuleConfig):
     """F9 predicate on one product: airline, origin, own status CONFIRMED,
     and the date range only when both bounds are given."""

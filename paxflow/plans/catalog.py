@@ -101,9 +101,7 @@ def parse_legs(spark, sf):
 )
 def first_destination(spark, sf):
     """First product's destination per event."""
-    return events(spark, sf).select(
-        "booking_ts", F.get("products", 0).destination_airport.alias("first_destination")
-    )
+    return ru.first_destination(events(spark, sf)).select("booking_ts", "first_destination")
 
 
 @register(
