@@ -653,3 +653,17 @@ def passenger_report_from_store(spark, sf):
     write_leg_store(legs(spark, sf), path)
     stored = read_leg_store(spark, path, REPORT_CFG.start, REPORT_CFG.end, REPORT_CFG.origins)
     return report_from_legs(stored, airports(spark, sf), REPORT_CFG)
+
+
+_STRICT_CFG = REPORT_CFG.with_(strict=True)
+
+
+@register(
+    "passenger_report_strict",
+    q.with_base(*_report_sql(_STRICT_CFG, "latest_strict")) + "\nSELECT * FROM rep",
+)
+def passenger_report_strict(spark, sf):
+    """D5/S6 variant: an event with any invalid member is dropped whole
+    (here: every event whose main passenger has no uci loses its companion
+    too)."""
+    return _report(spark, sf, _STRICT_CFG)

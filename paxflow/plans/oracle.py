@@ -43,6 +43,24 @@ _LATEST_ORDER = (
 )
 _KEY = "passenger_uci, origin_airport, destination_airport, departure_ts"
 
+# One row per passenger slot (main, companion) x product slot (outbound,
+# return) of every event in {source}.
+_LEGS_BODY = """  SELECT ets AS booking_ts,
+         CASE WHEN p = 1 THEN 'C' || ck ELSE 'C' || ck || '-2' END AS passenger_uci,
+         CASE WHEN p = 2 OR ck % 7 = 0 THEN 'CHD' ELSE 'ADT' END AS passenger_type,
+         CAST(CASE WHEN p = 2 THEN ck % 12 WHEN ck % 11 = 0 THEN NULL ELSE ck % 90 END AS INTEGER) AS passenger_age,
+         CASE WHEN d = 1 THEN (CASE WHEN rf = 'R' THEN 'CANCELLED' ELSE 'CONFIRMED' END)
+              ELSE (CASE WHEN rf = 'A' THEN 'CANCELLED' ELSE 'CONFIRMED' END) END AS booking_status,
+         CASE WHEN d = 1 THEN org ELSE dst END AS origin_airport,
+         CASE WHEN d = 1 THEN dst ELSE org END AS destination_airport,
+         CASE WHEN d = 1 THEN (CASE WHEN k % 5 = 0 THEN 'AF' ELSE 'KL' END)
+              ELSE (CASE WHEN k % 3 = 0 THEN 'DL' ELSE 'KL' END) END AS operating_airline,
+         CASE WHEN d = 1 THEN dep ELSE rdep END AS departure_ts,
+         CASE WHEN d = 1 THEN dep ELSE rdep END + to_hours(1 + k % 11) AS arrival_ts
+  FROM {source}, (VALUES (1), (2)) ps(p), (VALUES (1), (2)) ds(d)
+  WHERE (p = 1 AND k % 107 <> 0) OR (p = 2 AND ck % 3 = 0)
+"""
+
 BASE = f"""
 src AS (
   SELECT o.o_orderkey AS k, l.l_linenumber AS ln, l.l_returnflag AS rf, l.l_linestatus AS ls,
@@ -73,25 +91,19 @@ events AS (
   FROM valid
 ),
 legs AS (
-  SELECT ets AS booking_ts,
-         CASE WHEN p = 1 THEN 'C' || ck ELSE 'C' || ck || '-2' END AS passenger_uci,
-         CASE WHEN p = 2 OR ck % 7 = 0 THEN 'CHD' ELSE 'ADT' END AS passenger_type,
-         CAST(CASE WHEN p = 2 THEN ck % 12 WHEN ck % 11 = 0 THEN NULL ELSE ck % 90 END AS INTEGER) AS passenger_age,
-         CASE WHEN d = 1 THEN (CASE WHEN rf = 'R' THEN 'CANCELLED' ELSE 'CONFIRMED' END)
-              ELSE (CASE WHEN rf = 'A' THEN 'CANCELLED' ELSE 'CONFIRMED' END) END AS booking_status,
-         CASE WHEN d = 1 THEN org ELSE dst END AS origin_airport,
-         CASE WHEN d = 1 THEN dst ELSE org END AS destination_airport,
-         CASE WHEN d = 1 THEN (CASE WHEN k % 5 = 0 THEN 'AF' ELSE 'KL' END)
-              ELSE (CASE WHEN k % 3 = 0 THEN 'DL' ELSE 'KL' END) END AS operating_airline,
-         CASE WHEN d = 1 THEN dep ELSE rdep END AS departure_ts,
-         CASE WHEN d = 1 THEN dep ELSE rdep END + to_hours(1 + k % 11) AS arrival_ts
-  FROM valid, (VALUES (1), (2)) ps(p), (VALUES (1), (2)) ds(d)
-  WHERE (p = 1 AND k % 107 <> 0) OR (p = 2 AND ck % 3 = 0)
+{_LEGS_BODY.format(source='valid')}
+),
+legs_strict AS (
+{_LEGS_BODY.format(source='(SELECT * FROM valid WHERE k % 107 <> 0) v')}
 ),
 latest AS (
   SELECT *, booking_status = 'CONFIRMED' AS is_confirmed FROM legs
   QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY {_LATEST_ORDER.format(extra='')}) = 1
 ),
+latest_strict AS (
+  SELECT *, booking_status = 'CONFIRMED' AS is_confirmed FROM legs_strict
+  QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY {_LATEST_ORDER.format(extra='')}) = 1
+),
 latest_cf AS (
   SELECT *, booking_status = 'CONFIRMED' AS is_confirmed FROM legs
   QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY {_LATEST_ORDER.format(extra="CASE WHEN booking_status = 'CONFIRMED' THEN 0 ELSE 1 END, ")}) = 1
