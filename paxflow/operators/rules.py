@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from paxflow.config import CONFIRMED, RuleConfig
 from paxflow.functions.instants import departure_window
 from paxflow.operators.status import latest_status
-from paxflow.plans.sizing import bounded_broadcast
+from paxflow.plans.sizing import bounded_broadcast, checkpoint_base
 from paxflow.schema import LEG_KEY
 
 # ---------------------------------------------------------------- leg level
@@ -107,15 +107,26 @@ def event_legs(events: DataFrame) -> DataFrame:
     return events.select("event_id", F.inline(keys))
 
 
-def with_confirmed_leg(events: DataFrame, latest: DataFrame) -> DataFrame:
+# 16-byte event ids: 2 M of them are a 32 MB broadcast.
+EVENT_ID_BROADCAST_MAX_ROWS = 2_000_000
+
+
+def with_confirmed_leg(events: DataFrame, latest: DataFrame, materialize: bool = True) -> DataFrame:
     """F8: events with at least one leg whose latest status is CONFIRMED.
 
-    Two semi joins: event legs against confirmed latest keys, then events
-    against the distinct qualifying event ids. Both sides are shuffled on
-    their keys; AQE splits a skewed left side of a semi join.
+    Event legs are semi-joined to the confirmed latest keys (shuffle on the
+    leg key; AQE splits a skewed left side) and reduced to distinct event
+    ids (partial aggregation first). With ``materialize`` the ids are
+    checkpointed to the shared folder (computed once, lineage cut) and,
+    when their count is within the bound, broadcast into the final semi
+    join so the wide event rows are never shuffled; beyond the bound both
+    sides are shuffled on the event id.
     """
     confirmed_keys = latest.filter(F.col("is_confirmed")).select(*LEG_KEY)
     ids = event_legs(events).join(confirmed_keys, list(LEG_KEY), "left_semi").select("event_id").distinct()
+    if materialize and not events.isStreaming:
+        checkpoint_base(events.sparkSession)
+        ids = bounded_broadcast(ids.checkpoint(), EVENT_ID_BROADCAST_MAX_ROWS)
     return events.join(ids, "event_id", "left_semi")
 
 

@@ -26,18 +26,24 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return F.broadcast(df) if n <= max_rows else df
 
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint location.
+def checkpoint_base(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint location, also registered as the
+    SparkContext checkpoint folder so ``DataFrame.checkpoint()`` works.
 
     Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (a bare local test session) a checkpoint folder is created under /tmp.
+    (a bare local test session) a folder is created under /tmp.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
         import tempfile
 
         base = tempfile.mkdtemp(prefix="paxflow-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/paxflow/{purpose}-{uuid.uuid4().hex}"
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
+    return base
+
+
+def shared_dir(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder under the shared checkpoint location."""
+    return f"{checkpoint_base(spark).rstrip('/')}/paxflow/{purpose}-{uuid.uuid4().hex}"

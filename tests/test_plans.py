@@ -78,3 +78,15 @@ def test_leg_store_prunes_and_pushes(spark, scratch):
     assert got == want
     outside = read_leg_store(spark, path, dt.date(2020, 1, 1), dt.date(2020, 12, 31))
     assert outside.count() == 0
+
+
+def test_event_ids_are_checkpointed_then_broadcast(spark):
+    from paxflow.operators.rules import with_confirmed_leg
+
+    events = parse_events(lines_df(spark, EVENT_LINES))
+    kept = with_confirmed_leg(events, latest_status(explode_legs(events)))
+    p = plan(kept)
+    assert "BroadcastHashJoin" in p and "LeftSemi" in p
+    assert "LogicalRDD" in kept._jdf.queryExecution().optimizedPlan().toString()  # checkpointed ids
+    lazy = with_confirmed_leg(events, latest_status(explode_legs(events)), materialize=False)
+    assert sorted(map(tuple, kept.select("booking_ts").collect())) == sorted(map(tuple, lazy.select("booking_ts").collect()))
