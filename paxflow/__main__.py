@@ -33,6 +33,7 @@ def _args(argv=None):
     p.add_argument("--state", help="stream state table path (default under spark.checkpoint.dir)")
     p.add_argument("--state-horizon", help="stream: drop state of legs departed this long ago, e.g. '400 days'")
     p.add_argument("--top", type=int, default=10)
+    p.add_argument("--spark-ui", action="store_true", help="start Spark's web UI (off by default)")
     return p.parse_args(argv)
 
 
@@ -49,7 +50,10 @@ def main(argv=None) -> None:
     from paxflow.sources.sinks import write_quarantine, write_report
 
     a = _args(argv)
-    spark = SparkSession.builder.appName("paxflow").getOrCreate()
+    builder = SparkSession.builder.appName("paxflow")
+    if not a.spark_ui:
+        builder = builder.config("spark.ui.enabled", "false")
+    spark = builder.getOrCreate()
     airports = read_airports(spark, a.airports)
     # --origin-country: origins come from the airport data through a semi
     # join (broadcast behind a size check), never through the driver.
