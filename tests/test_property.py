@@ -108,3 +108,49 @@ def test_report_matches_model(spark, events):
     airports = clean_airports(parse_airport_lines(lines_df(spark, AIRPORT_LINES)))
     got = {tuple(r) for r in report_from_lines(lines_df(spark, [to_line(e) for e in events]), airports, CFG).collect()}
     assert got == model(events, CFG)
+
+
+def event_model(events, cfg):
+    """F11 by brute force: any product in the date range, any product of
+    the airline, any product from an origin, and a leg whose latest
+    status (over all events) is CONFIRMED."""
+    latest = {}
+    for ts_min, pax, prods in events:
+        for u, t, a in pax:
+            for s, o, d, h, al in prods:
+                key = (u, o, d, h)
+                rank = (-ts_min, s.upper(), al, t, 10**9 if a is None else a)
+                if key not in latest or rank < latest[key][0]:
+                    latest[key] = (rank, s.upper())
+    out = []
+    for ts_min, pax, prods in events:
+        in_range = any(cfg.start <= (BASE + dt.timedelta(hours=h)).date() <= cfg.end for _, _, _, h, _ in prods)
+        airline = any(al == cfg.airline for *_, al in prods)
+        origin = any(o in cfg.origins for _, o, _, _, _ in prods)
+        confirmed = any(latest[(u, o, d, h)][1] == "CONFIRMED" for u, _, _ in pax for _, o, d, h, _ in prods)
+        if in_range and airline and origin and confirmed:
+            out.append((ts_min, tuple(u for u, _, _ in pax), tuple((o, d, h) for _, o, d, h, _ in prods)))
+    return sorted(out)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(event, min_size=1, max_size=10))
+def test_event_rules_match_model(spark, events):
+    from pyspark.sql import functions as F
+
+    from paxflow.operators.rules import event_rules
+    from paxflow.sources.bookings import parse_events
+
+    got = event_rules(parse_events(lines_df(spark, [to_line(e) for e in events])), CFG).select(
+        "booking_ts", F.transform("passengers", lambda p: p.uci).alias("u"), "products"
+    )
+    start = BASE - dt.timedelta(days=30)
+    rows_ = sorted(
+        (
+            int((r.booking_ts - start).total_seconds() // 60),
+            tuple(r.u),
+            tuple((p.origin_airport, p.destination_airport, int((p.departure_ts - BASE).total_seconds() // 3600)) for p in r.products),
+        )
+        for r in got.collect()
+    )
+    assert rows_ == event_model(events, CFG)
