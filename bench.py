@@ -108,8 +108,10 @@ def reference_style_report(spark, lines_dir, airports_dir, cfg):
         except Exception:  # noqa: BLE001
             return ts.strftime("%A")
 
+    from paxflow.plans.sizing import bounded_broadcast
+
     enriched = kept.join(
-        F.broadcast(airports.select(F.col("iata").alias("d"), "country")), F.col("destination_airport") == F.col("d")
+        bounded_broadcast(airports.select(F.col("iata").alias("d"), "country")), F.col("destination_airport") == F.col("d")
     ).withColumn("season", season("departure_ts")).withColumn("day_of_week", day_name("departure_ts", "destination_airport"))
     enriched.count()
     key = F.concat_ws("_", "passenger_uci", "origin_airport", "destination_airport", F.col("departure_ts").cast("string"))
@@ -263,6 +265,33 @@ def main():
     q["reference_style_report"] = timed(
         lambda: reference_style_report(spark, lines_dir, airports_dir, REPORT_CFG), reps=1, warmup=0
     )
+    # Spark jobs per report run (AQE query stages count as jobs), and the
+    # stage row counts gathered in the same run through observe().
+    from paxflow.plans.pipeline import observed_report
+
+    sc = spark.sparkContext
+
+    def jobs_of(group, fn):
+        sc.setJobGroup(group, group)
+        try:
+            fn()
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        return len(sc.statusTracker().getJobIdsForGroup(group))
+
+    holder = {}
+
+    def observed():
+        rep, counts = observed_report(read_booking_events(spark, lines_dir), read_airports(spark, airports_dir), REPORT_CFG)
+        rep.collect()
+        holder["counts"] = counts.get()
+
+    jobs = {
+        "passenger_report_observed": jobs_of("paxflow-observed", observed),
+        "reference_style_report": jobs_of(
+            "paxflow-reference-style", lambda: reference_style_report(spark, lines_dir, airports_dir, REPORT_CFG)
+        ),
+    }
     m = re.search(r"sf([0-9.]+)", SF_DIR)
     out = {
         "metric": "headline_total_sec",
@@ -274,6 +303,8 @@ def main():
         "reps": REPS,
         "setup_sec": setup,
         "speedup_vs_reference_style": round(q["reference_style_report"] / q["passenger_report"], 2),
+        "spark_jobs_per_run": jobs,
+        "stage_counts": holder.get("counts"),
     }
     print(json.dumps(out))
     spark.stop()

@@ -53,7 +53,14 @@ class StageCounts:
 
 
 def observed_report(lines: DataFrame, airports: DataFrame, cfg: RuleConfig) -> tuple[DataFrame, StageCounts]:
-    """Q1: the report plus stage row counts gathered with ``observe``."""
+    """Q1: the ordered report rows plus stage row counts gathered with
+    ``observe`` in the same job (no extra scans or count() actions).
+
+    The last observation sits above the sort: the sort's sampling job
+    re-reads the aggregate's shuffle output, and an observation below it
+    would count those rows twice.
+    """
+    from paxflow.operators.report import order_report
     obs = {name: Observation(name) for name in ("events", "legs", "latest_confirmed", "enriched", "groups")}
 
     def watch(df: DataFrame, name: str) -> DataFrame:
@@ -63,7 +70,7 @@ def observed_report(lines: DataFrame, airports: DataFrame, cfg: RuleConfig) -> t
     legs = watch(explode_legs(events, product_filter=product_key_filter(cfg.origins, cfg.start, cfg.end)), "legs")
     kept = watch(apply_rules(legs, cfg), "latest_confirmed")
     enriched = watch(enrich(kept, airports, cfg.tz_from), "enriched")
-    report = watch(passenger_report(enriched), "groups")
+    report = watch(order_report(report_rows(passenger_report(enriched))), "groups")
     return report, StageCounts(obs)
 
 
