@@ -18,6 +18,7 @@ from paxflow.operators import rules as ru
 from paxflow.operators.status import latest_status, latest_status_agg
 from paxflow.plans import oracle as q
 from paxflow.plans.pipeline import report_from_legs, rule_legs
+from paxflow.schema import LEG_COLUMNS
 from paxflow.sources import airports as ap
 from paxflow.sources import bookings as bk
 from paxflow.sources import tables as tb
@@ -32,11 +33,7 @@ ONE_DAY = dt.date(1996, 3, 15)
 CODES_TEXT = " ams, Ein ,RTM,, grq "
 HOME = "Netherlands"
 
-LEG_COLS = [
-    "booking_ts", "passenger_uci", "passenger_type", "passenger_age", "booking_status",
-    "origin_airport", "destination_airport", "operating_airline", "departure_ts", "arrival_ts",
-]
-LEG_SQL = ", ".join(LEG_COLS)
+LEG_SQL = ", ".join(LEG_COLUMNS)
 
 
 # ------------------------------------------------------------------ inputs

@@ -24,7 +24,9 @@ def parse_airport_lines(lines: DataFrame) -> DataFrame:
     not have exactly the 14 fields. Empty fields arrive as NULL, the null
     token as the literal ``\\N``, so the two stay distinguishable."""
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "escape": '"'}
-    return lines.select(F.from_csv("value", AIRPORT_RAW_DDL, opts).alias("r")).select("r.*")
+    # one-row generator: filters on the parsed fields stay above it, so
+    # each line is parsed once (see bookings.decode)
+    return lines.select(F.inline(F.array(F.from_csv("value", AIRPORT_RAW_DDL, opts))))
 
 
 def read_airports(spark: SparkSession, path) -> DataFrame:
