@@ -13,6 +13,12 @@ import datetime as dt
 from paxflow.config import DEFAULT_AIRLINE, DEFAULT_ORIGINS, RuleConfig, parse_codes
 
 
+def _day(text: str) -> dt.date:
+    if text == "today":
+        return dt.datetime.now(dt.timezone.utc).date()
+    return dt.date.fromisoformat(text)
+
+
 def _args(argv=None):
     p = argparse.ArgumentParser(prog="paxflow", description="Passenger report per country, day of week and season")
     p.add_argument("--bookings", required=True, help="booking file or directory (any Hadoop URI)")
@@ -28,7 +34,7 @@ def _args(argv=None):
     p.add_argument("--strict", action="store_true", help="drop a whole event when any member is invalid")
     p.add_argument("--glob", default="*.json", help="file name filter inside directories ('' for all)")
     p.add_argument("--quarantine", help="append rejected lines with a reason to this path")
-    p.add_argument("--day", type=dt.date.fromisoformat, help="top countries of one UTC departure day")
+    p.add_argument("--day", type=_day, help="top countries of one UTC departure day ('today' allowed)")
     p.add_argument("--stream", action="store_true", help="run continuously over new booking files")
     p.add_argument("--state", help="stream state table path (default under spark.checkpoint.dir)")
     p.add_argument("--state-horizon", help="stream: drop state of legs departed this long ago, e.g. '400 days'")
@@ -41,13 +47,13 @@ def main(argv=None) -> None:
     from pyspark.sql import SparkSession
 
     from paxflow.operators.enrich import enrich
-    from paxflow.operators.report import day_country_counts, order_report, report_rows, top_countries, top_n
+    from paxflow.operators.report import day_country_counts, order_report, report_rows, top_countries
     from paxflow.operators.rules import apply_rules, departing_from
-    from paxflow.plans.pipeline import report_from_legs, report_from_lines, rule_legs
+    from paxflow.plans.pipeline import observed_report, report_from_legs, rule_legs
     from paxflow.plans.sizing import shared_dir
     from paxflow.sources.airports import country_airports, read_airports
     from paxflow.sources.bookings import quarantine, read_booking_events
-    from paxflow.sources.sinks import write_quarantine, write_report
+    from paxflow.sources.sinks import read_report, write_quarantine, write_report
 
     a = _args(argv)
     builder = SparkSession.builder.appName("paxflow")
@@ -84,14 +90,21 @@ def main(argv=None) -> None:
         enriched = enrich(apply_rules(rule_legs(events, day_cfg), day_cfg), airports, cfg.tz_from)
         top_countries(day_country_counts(enriched, a.day), n=a.top).show(a.top, truncate=False)
         return
+    counts = None
     if a.origin_country:
         legs = departing_from(rule_legs(events, cfg), country_airports(airports, a.origin_country))
-        report = report_rows(report_from_legs(legs, airports, cfg))
+        report = order_report(report_rows(report_from_legs(legs, airports, cfg)))
     else:
-        report = report_rows(report_from_lines(events, airports, cfg))
+        report, counts = observed_report(events, airports, cfg)
+    shown = report
     if a.output:
-        write_report(order_report(report), a.output)
-    top_n(report, a.top).show(a.top, truncate=False)
+        # one job computes and writes the report; the summary then reads
+        # the small written file instead of recomputing the plan
+        write_report(report, a.output)
+        shown = order_report(read_report(spark, a.output))
+    shown.limit(a.top).show(a.top, truncate=False)
+    if counts is not None:
+        print("rows per stage:", counts.get())
 
 
 if __name__ == "__main__":
