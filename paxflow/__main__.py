@@ -34,6 +34,7 @@ def _args(argv=None):
     p.add_argument("--strict", action="store_true", help="drop a whole event when any member is invalid")
     p.add_argument("--glob", default="*.json", help="file name filter inside directories ('' for all)")
     p.add_argument("--quarantine", help="append rejected lines with a reason to this path")
+    p.add_argument("--unknown-airports", help="write destinations without a country (with leg counts) here")
     p.add_argument("--day", type=_day, help="top countries of one UTC departure day ('today' allowed)")
     p.add_argument("--stream", action="store_true", help="run continuously over new booking files")
     p.add_argument("--state", help="stream state table path (default under spark.checkpoint.dir)")
@@ -46,7 +47,7 @@ def _args(argv=None):
 def main(argv=None) -> None:
     from pyspark.sql import SparkSession
 
-    from paxflow.operators.enrich import enrich
+    from paxflow.operators.enrich import enrich, unknown_destinations
     from paxflow.operators.report import day_country_counts, order_report, report_rows, top_countries
     from paxflow.operators.rules import apply_rules, departing_from
     from paxflow.plans.pipeline import observed_report, report_from_legs, rule_legs
@@ -85,6 +86,9 @@ def main(argv=None) -> None:
     events = read_booking_events(spark, a.bookings, glob=glob)
     if a.quarantine:
         write_quarantine(quarantine(events, strict=cfg.strict), a.quarantine)
+    if a.unknown_airports:
+        unknown = unknown_destinations(rule_legs(events, cfg.with_(start=None, end=None, origins=None)), airports)
+        unknown.coalesce(1).write.mode("overwrite").option("header", True).csv(a.unknown_airports)
     if a.day:
         day_cfg = cfg.with_(start=a.day, end=a.day)
         enriched = enrich(apply_rules(rule_legs(events, day_cfg), day_cfg), airports, cfg.tz_from)

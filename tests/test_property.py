@@ -108,6 +108,8 @@ def test_report_matches_model(spark, events):
     airports = clean_airports(parse_airport_lines(lines_df(spark, AIRPORT_LINES)))
     got = {tuple(r) for r in report_from_lines(lines_df(spark, [to_line(e) for e in events]), airports, CFG).collect()}
     assert got == model(events, CFG)
+    for _, _, _, total, adults, children, _ in got:
+        assert adults + children <= total
 
 
 def event_model(events, cfg):
