@@ -1,4 +1,5 @@
-"""Command line: ``spark-submit -m paxflow ...`` or ``python -m paxflow ...``.
+"""Command line: ``python -m paxflow ...`` or, on a cluster,
+``spark-submit --py-files paxflow.zip paxflow/__main__.py ...``.
 
 Batch report (default), one-day top countries (``--day``) or the
 continuous stream (``--stream``). The caller's Spark configuration
