@@ -45,3 +45,8 @@ def test_first_destination(spark):
 
     got = [r.first_destination for r in first_destination(parse_events(lines_df(spark, EVENT_LINES[4:6]))).collect()]
     assert got == ["LHR", "JFK"]
+
+
+def test_empty_airport_dimension_gives_empty_report(spark):
+    airports = clean_airports(parse_airport_lines(lines_df(spark, [])))
+    assert report_from_lines(lines_df(spark, EVENT_LINES), airports, CFG).count() == 0
