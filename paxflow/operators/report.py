@@ -39,7 +39,8 @@ def passenger_report(enriched: DataFrame) -> DataFrame:
 def _rounded_avg(total: str, n: str) -> Column:
     """Average rounded half up to hundredths, computed exactly with
     integer arithmetic and one final IEEE division by 100, so no x.xx5
-    value is rounded the binary way; null when there is no age."""
+    value is rounded the binary way; null when there is no age. (Ages are
+    non-negative; ``div`` truncates, which is half-up for them.)"""
     return F.expr(f"CASE WHEN {n} > 0 THEN CAST(({total} * 200 + {n}) div ({n} * 2) AS DOUBLE) / 100 END")
 
 
