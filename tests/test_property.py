@@ -156,3 +156,23 @@ def test_event_rules_match_model(spark, events):
         for r in got.collect()
     )
     assert rows_ == event_model(events, CFG)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(event, min_size=2, max_size=10), st.randoms(use_true_random=False))
+def test_stream_replay_equals_batch(spark, scratch, events, rnd):
+    from golden import write_files
+
+    from paxflow.streaming import stream as streaming
+
+    airports = clean_airports(parse_airport_lines(lines_df(spark, AIRPORT_LINES)))
+    lines = [to_line(e) for e in events]
+    batch = {tuple(r) for r in report_from_lines(lines_df(spark, lines), airports, CFG).collect()}
+    shuffled = lines[:]
+    rnd.shuffle(shuffled)
+    base = scratch("prop-stream")
+    write_files(spark, f"{base}/in", shuffled, one_per_line=True)
+    legs = streaming.stream_legs(streaming.stream_lines(spark, f"{base}/in", 3), CFG)
+    streaming.start_leg_state(legs, f"{base}/state", f"{base}/ckpt", available_now=True).awaitTermination()
+    got = {tuple(r) for r in streaming.report_from_state(spark, f"{base}/state", airports, CFG).collect()}
+    assert got == batch
