@@ -1,11 +1,13 @@
 """Declared schemas. Nothing in the engine infers a schema."""
 
 # Raw booking event, one JSON document per line. `_corrupt_record` catches
-# lines that are not JSON at all.
+# lines that are not JSON at all. Numeric members are read as text and cast
+# later, so "30" is accepted and a bad value only affects its own field
+# instead of turning the whole line into a corrupt record.
 BOOKING_EVENT_DDL = (
     "timestamp STRING, "
     "event STRUCT<DataElement: STRUCT<travelrecord: STRUCT<"
-    "passengersList: ARRAY<STRUCT<uci: STRING, passengerType: STRING, age: INT, tattoo: INT>>, "
+    "passengersList: ARRAY<STRUCT<uci: STRING, passengerType: STRING, age: STRING, tattoo: STRING>>, "
     "productsList: ARRAY<STRUCT<bookingStatus: STRING, flight: STRUCT<"
     "originAirport: STRING, destinationAirport: STRING, departureDate: STRING, "
     "arrivalDate: STRING, operatingAirline: STRING>>>>>>, "

@@ -62,8 +62,14 @@ def _raw(df: DataFrame) -> DataFrame:
     return decode(df) if "event" not in df.columns else df
 
 
+def _int(c: Column) -> Column:
+    """Text (or JSON number read as text) -> INT, null when not an integer."""
+    return c.try_cast("int")
+
+
 def _passenger_ok(p: Column) -> Column:
-    return p.isNotNull() & p.uci.isNotNull() & p.passengerType.isNotNull() & p.tattoo.isNotNull()
+    age_ok = p.age.isNull() | _int(p.age).isNotNull()
+    return p.isNotNull() & p.uci.isNotNull() & p.passengerType.isNotNull() & _int(p.tattoo).isNotNull() & age_ok
 
 
 def _product_ok(d: Column) -> Column:
@@ -107,8 +113,8 @@ def _event_columns(record: Column, origins=None) -> list[Column]:
         lambda p: F.struct(
             p.uci.alias("uci"),
             F.upper(F.trim(p.passengerType)).alias("passenger_type"),
-            p.age.alias("age"),
-            p.tattoo.alias("tattoo"),
+            _int(p.age).alias("age"),
+            _int(p.tattoo).alias("tattoo"),
         ),
     )
     def keep(d: Column) -> Column:

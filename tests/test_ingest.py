@@ -139,3 +139,14 @@ def test_missing_path_raises(spark, scratch):
 
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_booking_events(spark, scratch("missing") + "/nothing").count()
+
+
+def test_numeric_members_as_text_or_bad_only_affect_their_field(spark):
+    good = _event('[{"uci":"A","passengerType":"ADT","age":"30","tattoo":"1"}]', f"[{PROD}]")
+    bad_age = _event('[{"uci":"B","passengerType":"ADT","age":"old","tattoo":1},' + GOOD_PAX + "]", f"[{PROD}]")
+    legs = explode_legs(parse_events(lines_df(spark, [good, bad_age])))
+    got = sorted(rows(legs.select("passenger_uci", "passenger_age")), key=lambda r: r[0])
+    assert got == [("A", 30), ("A", 30), ("B", None)]
+    assert rows(quarantine(lines_df(spark, [good, bad_age]))) == []
+    strict = [r.reason for r in quarantine(lines_df(spark, [good, bad_age]), strict=True).collect()]
+    assert strict == ["invalid_member"]
