@@ -127,3 +127,16 @@ def test_event_has_confirmed_latest_leg(spark):
 def test_origin_set_from_dimension(spark):
     codes = spark.createDataFrame([("AMS",), ("AMS",), ("EIN",)], "iata STRING")
     assert ru.departing_from(legs4(spark), codes).count() == 3
+
+
+def test_event_rules_materialized_or_not_agree(spark):
+    lines = [
+        MULTI,
+        _line("2019-03-02T10:00:00Z", [("CANCELLED", "AMS", "JFK", "2019-06-15T10:00:00Z", "KL")]),
+        _line("2019-03-01T10:00:00Z", [("CONFIRMED", "AMS", "LHR", "2019-06-20T10:00:00Z", "KL")], uci="P2"),
+        _line("2019-03-01T10:00:00Z", [("CONFIRMED", "EIN", "LHR", "2019-07-20T10:00:00Z", "KL")], uci="P3"),
+    ]
+    events = parse_events(lines_df(spark, lines))
+    a = sorted(r.passengers[0].uci for r in ru.event_rules(events, CFG).collect())
+    b = sorted(r.passengers[0].uci for r in ru.event_rules(events, CFG, materialize=False).collect())
+    assert a == b == ["P1", "P2"]
