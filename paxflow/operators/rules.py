@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from paxflow.config import CONFIRMED, RuleConfig
 from paxflow.functions.instants import departure_window
 from paxflow.operators.status import latest_status
-from paxflow.plans.sizing import bounded_broadcast, checkpoint_base
+from paxflow.plans.sizing import bounded_broadcast
+from paxflow.plans.sizing import materialize as materialize_df
 from paxflow.schema import LEG_KEY
 
 # ---------------------------------------------------------------- leg level
@@ -125,8 +126,7 @@ def with_confirmed_leg(events: DataFrame, latest: DataFrame, materialize: bool =
     confirmed_keys = latest.filter(F.col("is_confirmed")).select(*LEG_KEY)
     ids = event_legs(events).join(confirmed_keys, list(LEG_KEY), "left_semi").select("event_id").distinct()
     if materialize and not events.isStreaming:
-        checkpoint_base(events.sparkSession)
-        ids = bounded_broadcast(ids.checkpoint(), EVENT_ID_BROADCAST_MAX_ROWS)
+        ids = bounded_broadcast(materialize_df(ids), EVENT_ID_BROADCAST_MAX_ROWS)
     return events.join(ids, "event_id", "left_semi")
 
 
@@ -176,8 +176,7 @@ def event_rules(
     from paxflow.sources.bookings import explode_legs
 
     if materialize and not events.isStreaming:
-        checkpoint_base(events.sparkSession)
-        events = events.checkpoint()
+        events = materialize_df(events)
     if latest is None:
         latest = latest_status(explode_legs(events), cfg.tie_break)
     kept = any_departure_between(events, cfg.start, cfg.end)

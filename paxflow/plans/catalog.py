@@ -213,7 +213,9 @@ confirmed_events AS (
 )
 def event_confirmed_semi(spark, sf):
     """F8: events holding at least one leg whose latest status is CONFIRMED."""
-    ev = events(spark, sf)
+    from paxflow.plans.sizing import materialize
+
+    ev = materialize(events(spark, sf))  # feeds two branches: parse once
     latest = latest_status(bk.explode_legs(ev))
     return event_view(ru.with_confirmed_leg(ev, latest))
 

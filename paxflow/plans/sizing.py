@@ -44,6 +44,14 @@ def checkpoint_base(spark: SparkSession) -> str:
     return base
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder and cut its
+    lineage (reliable ``checkpoint()``; survives executor loss, unlike a
+    cache or a local checkpoint). For inputs that feed several branches."""
+    checkpoint_base(df.sparkSession)
+    return df.checkpoint()
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared checkpoint location."""
     return f"{checkpoint_base(spark).rstrip('/')}/paxflow/{purpose}-{uuid.uuid4().hex}"
