@@ -90,3 +90,11 @@ def test_event_ids_are_checkpointed_then_broadcast(spark):
     assert "LogicalRDD" in kept._jdf.queryExecution().optimizedPlan().toString()  # checkpointed ids
     lazy = with_confirmed_leg(events, latest_status(explode_legs(events)), materialize=False)
     assert sorted(map(tuple, kept.select("booking_ts").collect())) == sorted(map(tuple, lazy.select("booking_ts").collect()))
+
+
+def test_lines_are_parsed_once(spark):
+    legs = explode_legs(parse_events(lines_df(spark, EVENT_LINES)))
+    physical = legs._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("from_json(") == 1  # the validity filter does not copy it
+    airports_plan = airports(spark)._jdf.queryExecution().executedPlan().toString()
+    assert airports_plan.count("from_csv(") == 1
