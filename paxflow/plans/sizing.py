@@ -30,15 +30,17 @@ def checkpoint_base(spark: SparkSession) -> str:
     """The cluster's shared checkpoint location, also registered as the
     SparkContext checkpoint folder so ``DataFrame.checkpoint()`` works.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (a bare local test session) a folder is created under /tmp.
+    Reads ``spark.checkpoint.dir`` from the session. Where it is unset, a
+    ``local[...]`` session (driver and executors are one process) gets a
+    folder of its own; on a cluster a missing setting is an error, because
+    no machine-local folder is visible to every executor.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="paxflow-ckpt-")
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = f"/tmp/paxflow-{sc.applicationId}"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     return base
