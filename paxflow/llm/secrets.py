@@ -1,0 +1,217 @@
+"""Secret scan: known key formats plus sliding-window entropy, in native expressions.
+
+A text becomes arrays of spans without leaving the JVM. Positions come from
+splitting the text at the matches and summing lengths, so any number of
+matches is found in one pass. Candidate strings without a known format are
+scanned by a window of ``WINDOW`` characters whose Shannon entropy is kept
+up to date by incremental character counts, per character class; windows
+over the class's threshold merge into spans unless the candidate is on the
+allow-list.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Known formats. Each is matched leftmost and non-overlapping; matches whose
+# checked part is shorter than the minimum are dropped after matching.
+ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ACCESS = r"AKIA[A-Z0-9]+"
+HEX = r"[0-9a-f]+"
+BASE_KINDS = (("assign", ASSIGN, 2, 12), ("access", ACCESS, 0, 18), ("hex", HEX, 0, 16))
+
+# Entropy scan.
+CANDIDATE = r"[A-Za-z0-9+/=_-]{20,}"
+WINDOW = 20
+HEX_BITS = 3.0
+MIXED_BITS = 3.6
+# Strings that are long but not secret: words and numbers with separators
+# (paths, slugs, dates), UUIDs, filler and sample keys.
+ALLOWED = (
+    r"^[-_/=+]*([A-Za-z]+|[0-9]{1,8})([-_/=+]+([A-Za-z]+|[0-9]{1,8}))*[-_/=+]*$",
+    r"^[0-9]+$",
+    r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
+    r"(?i)example|placeholder|changeme|xxxxx|0123456789|abcdefgh",
+)
+SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
+SCALE = 1_000_000
+# Prefix sums are built in blocks, so the cost of growing an array stays linear.
+BLOCK = 256
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over ``value``, with ``value`` evaluated once: an expression
+    used inside a lambda would be computed again for every element."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _grow(values: Column, first: Column) -> Column:
+    """``first`` plus the sum of all elements before each element."""
+    return F.aggregate(
+        values,
+        F.struct(first.alias("at"), F.array().cast("array<bigint>").alias("seen")),
+        lambda s, v: F.struct((s["at"] + v).alias("at"), F.array_append(s["seen"], s["at"]).alias("seen")),
+        lambda s: s["seen"],
+    )
+
+
+def _prefix_sums(lengths: Column) -> Column:
+    """The sum of all elements before each element of a bigint array."""
+    zero = F.lit(0).cast("bigint")
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / BLOCK).cast("int")),
+        lambda b: F.slice(lengths, b * BLOCK + 1, F.lit(BLOCK)),
+    )
+
+    def placed(blocks: Column) -> Column:
+        sums = F.transform(blocks, lambda b: F.aggregate(b, zero, lambda s, v: s + v))
+        return F.flatten(F.zip_with(blocks, _grow(sums, zero), _grow))
+
+    return F.when(F.size(lengths) > 0, let(blocks, placed)).otherwise(F.array().cast("array<bigint>"))
+
+
+def matches(text: Column, pattern: str, checked: int = 0) -> Column:
+    """array<struct<start, end, hit, part>> of all leftmost matches, in code
+    points; ``part`` is group ``checked``."""
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    part = F.regexp_extract_all(text, F.lit(pattern), F.lit(checked)) if checked else hits
+    # The piece before each match and the match: their lengths add up to the positions.
+    pieces = F.zip_with(hits, F.split(text, pattern, -1), lambda h, g: F.struct(h.alias("hit"), F.length(g).cast("bigint").alias("gap")))
+    pieces = F.zip_with(
+        F.filter(pieces, lambda p: p["hit"].isNotNull()),
+        part,
+        lambda p, q: F.struct(p["hit"].alias("hit"), p["gap"].alias("gap"), q.alias("part")),
+    )
+
+    def placed(pieces: Column) -> Column:
+        at = _prefix_sums(F.transform(pieces, lambda p: p["gap"] + F.length(p["hit"])))
+        return F.zip_with(
+            pieces,
+            at,
+            lambda p, a: F.struct(
+                (a + p["gap"]).alias("start"),
+                (a + p["gap"] + F.length(p["hit"])).alias("end"),
+                p["hit"].alias("hit"),
+                p["part"].alias("part"),
+            ),
+        )
+
+    none = F.array().cast("array<struct<start:bigint,end:bigint,hit:string,part:string>>")
+    return F.when(text.rlike(pattern), let(pieces, placed)).otherwise(none)
+
+
+def _entropy_spans(hit: Column, start: Column, window: int, bits: Column) -> Column:
+    """Merged windows of ``hit`` with at least ``bits`` of entropy.
+
+    With counts c in a window of w characters, entropy = log2(w) - sum(c *
+    log2(c)) / w. Moving the window by one changes two counts, so the sum is
+    a running total of differences; they are scaled integers, so it is exact.
+    """
+    costs = F.array(*[F.lit(round(SCALE * c * math.log2(c)) if c else 0).cast("bigint") for c in range(window + 2)])
+    limit = ((F.lit(math.log2(window)) - bits) * F.lit(window * SCALE)).cast("bigint")
+
+    def differences(codes: Column) -> Column:
+        def cost(c: Column) -> Column:
+            return F.get(costs, c)
+
+        def change(x: Column, i: Column) -> Column:
+            first = F.greatest(i - (window - 1), F.lit(0))
+            same = F.size(F.filter(F.slice(codes, first + 1, i - first), lambda y: y == x))
+            add = let(same, lambda c: cost(c + 1) - cost(c))
+            left = F.get(codes, i - window)
+            of_left = F.size(F.filter(F.slice(codes, F.greatest(i - window, F.lit(0)) + 1, F.lit(window)), lambda y: y == left))
+            drop = let(of_left, lambda c: cost(c) - cost(c - 1))
+            return add - F.when(i >= window, drop).otherwise(F.lit(0).cast("bigint"))
+
+        return F.transform(codes, change)
+
+    def begins(changes: Column) -> Column:
+        sums = F.zip_with(_prefix_sums(changes), changes, lambda before, own: before + own)
+        marked = F.transform(sums, lambda s, i: F.when((s <= limit) & (i >= window - 1), i - (window - 1)))
+        return F.filter(marked, lambda b: b.isNotNull())
+
+    def merged(b: Column) -> Column:
+        gap_before = lambda x, k: (k == 0) | (x - F.get(b, k - 1) > window)
+        gap_after = lambda x, k: (k == F.size(b) - 1) | (F.get(b, k + 1) - x > window)
+        return F.zip_with(
+            F.filter(b, gap_before),
+            F.filter(b, gap_after),
+            lambda x, y: F.struct((start + x).alias("start"), (start + y + window).alias("end")),
+        )
+
+    codes = F.transform(F.split(hit, ""), lambda ch: F.instr(F.lit(SYMBOLS), ch))
+    return let(let(let(codes, differences), begins), merged)
+
+
+def _tagged(spans: Column, kind: str, order: int) -> Column:
+    return F.transform(
+        spans,
+        lambda s: F.struct(
+            s["start"].cast("bigint").alias("start"), s["end"].cast("bigint").alias("end"), F.lit(kind).alias("kind"), F.lit(order).alias("ord")
+        ),
+    )
+
+
+def _joined(spans: Column) -> Column:
+    by_start = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["ord"], s["end"], s["kind"])))
+    return F.array_join(
+        F.transform(by_start, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+
+
+def secret_spans(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = WINDOW,
+    hex_bits: float = HEX_BITS,
+    mixed_bits: float = MIXED_BITS,
+    allowed: tuple[str, ...] = ALLOWED,
+) -> DataFrame:
+    """One row per input row: ``id_col, assign, access, hex, entropy``, each an
+    array of (start, end, kind, ord); offsets in code points, end exclusive.
+
+    No shuffle and no state across rows: repeated rows repeat their result,
+    a null or empty text has no spans, an empty table no rows, and other
+    columns are ignored.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    raw = docs.select(F.col(id_col).alias("id"), text.alias("t"))
+    found = raw.select(
+        "id",
+        *[matches(F.col("t"), pattern, checked).alias(kind) for kind, pattern, checked, _ in BASE_KINDS],
+        matches(F.col("t"), CANDIDATE).alias("cand"),
+    )
+    def suppressed(hit: Column) -> Column:
+        out = F.lit(False)
+        for pattern in allowed:
+            out = out | hit.rlike(pattern)
+        return out
+
+    kept = F.filter(F.col("cand"), lambda c: ~suppressed(c["hit"]))
+    bits = lambda c: F.when(c["hit"].rlike("^[0-9a-fA-F]+$"), F.lit(float(hex_bits))).otherwise(F.lit(float(mixed_bits)))
+    entropy = F.flatten(F.transform(kept, lambda c: _entropy_spans(c["hit"], c["start"], window, bits(c))))
+    base = [
+        _tagged(F.filter(F.col(kind), lambda s, n=least: F.length(s["part"]) >= n), kind, k).alias(kind)
+        for k, (kind, _, _, least) in enumerate(BASE_KINDS)
+    ]
+    entropy = F.when(F.size("cand") > 0, entropy).otherwise(F.array().cast("array<struct<start:bigint,end:bigint>>"))
+    return found.select(F.col("id").alias(id_col), *base, _tagged(entropy, "entropy", len(BASE_KINDS)).alias("entropy"))
+
+
+def secret_digest(spans: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Counts, the digest of the known formats and all spans as text."""
+    base = F.concat("assign", "access", "hex")
+    return spans.select(
+        id_col,
+        F.size("assign").cast("long").alias("n_assign"),
+        F.size("access").cast("long").alias("n_access"),
+        F.size("hex").cast("long").alias("n_hex"),
+        F.sha2(_joined(base), 256).alias("base_sha256"),
+        _joined(F.concat(base, "entropy")).alias("spans"),
+        F.size("entropy").cast("long").alias("n_entropy"),
+    )
