@@ -17,12 +17,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Known formats. Each is matched leftmost and non-overlapping; matches whose
-# checked part is shorter than the minimum are dropped after matching.
+# Known formats, matched leftmost and non-overlapping. A value that is too
+# short drops its match after matching; the runs of the other two kinds end
+# where their characters end, so their least length can be part of the pattern.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-ACCESS = r"AKIA[A-Z0-9]+"
-HEX = r"[0-9a-f]+"
-BASE_KINDS = (("assign", ASSIGN, 2, 12), ("access", ACCESS, 0, 18), ("hex", HEX, 0, 16))
+ASSIGN_MIN = 12
+ACCESS = r"AKIA[A-Z0-9]{14,}"
+HEX = r"[0-9a-f]{16,}"
+BASE_KINDS = ("assign", "access", "hex")
 
 # Entropy scan.
 CANDIDATE = r"[A-Za-z0-9+/=_-]{20,}"
@@ -183,7 +185,9 @@ def secret_spans(
     raw = docs.select(F.col(id_col).alias("id"), text.alias("t"))
     found = raw.select(
         "id",
-        *[matches(F.col("t"), pattern, checked).alias(kind) for kind, pattern, checked, _ in BASE_KINDS],
+        F.filter(matches(F.col("t"), ASSIGN, 2), lambda s: F.length(s["part"]) >= ASSIGN_MIN).alias("assign"),
+        matches(F.col("t"), ACCESS).alias("access"),
+        matches(F.col("t"), HEX).alias("hex"),
         matches(F.col("t"), CANDIDATE).alias("cand"),
     )
     def suppressed(hit: Column) -> Column:
@@ -192,13 +196,12 @@ def secret_spans(
             out = out | hit.rlike(pattern)
         return out
 
+    def threshold(hit: Column) -> Column:
+        return F.when(hit.rlike("^[0-9a-fA-F]+$"), F.lit(float(hex_bits))).otherwise(F.lit(float(mixed_bits)))
+
     kept = F.filter(F.col("cand"), lambda c: ~suppressed(c["hit"]))
-    bits = lambda c: F.when(c["hit"].rlike("^[0-9a-fA-F]+$"), F.lit(float(hex_bits))).otherwise(F.lit(float(mixed_bits)))
-    entropy = F.flatten(F.transform(kept, lambda c: _entropy_spans(c["hit"], c["start"], window, bits(c))))
-    base = [
-        _tagged(F.filter(F.col(kind), lambda s, n=least: F.length(s["part"]) >= n), kind, k).alias(kind)
-        for k, (kind, _, _, least) in enumerate(BASE_KINDS)
-    ]
+    entropy = F.flatten(F.transform(kept, lambda c: _entropy_spans(c["hit"], c["start"], window, threshold(c["hit"]))))
+    base = [_tagged(F.col(kind), kind, k).alias(kind) for k, kind in enumerate(BASE_KINDS)]
     entropy = F.when(F.size("cand") > 0, entropy).otherwise(F.array().cast("array<struct<start:bigint,end:bigint>>"))
     return found.select(F.col("id").alias(id_col), *base, _tagged(entropy, "entropy", len(BASE_KINDS)).alias("entropy"))
 
