@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paxflow.llm.exact_dedup import exact_dedup
 from paxflow.llm.mixing import mix_plan
+from paxflow.llm.pii import pii_digest, pii_spans
 from paxflow.llm.secrets import secret_digest, secret_spans
+from paxflow.llm.tokens import token_digests
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -17,6 +19,20 @@ def op1_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secret_digest(secret_spans(documents(spark, sf)))
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_token_shards(spark: SparkSession, sf: str) -> DataFrame:
+    return token_digests(documents(spark, sf), tokenizer_file())
+
+
+def op6_pii_anchors(spark: SparkSession, sf: str) -> DataFrame:
+    return pii_digest(pii_spans(documents(spark, sf)))
+
+
 def op7_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mix_plan(documents(spark, sf))
 
@@ -27,6 +43,8 @@ def op8_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op5_token_shards": op5_token_shards,
+    "op6_pii_anchors": op6_pii_anchors,
     "op7_mix_sources": op7_mix_sources,
     "op8_exact_dedup": op8_exact_dedup,
 }

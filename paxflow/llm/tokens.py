@@ -1,0 +1,382 @@
+"""Token ids in binary shards with a minimal perfect hash index.
+
+Format, all in one folder:
+
+* ``ids/shard-NNNNN.bin``  raw little-endian ids, 2 bytes each where the
+  vocabulary has at most 65 536 entries, else 4; documents in ascending id
+  order over all shards, no separators beyond the end id.
+* ``shards/`` (Parquet)  one row per shard: shard, first (ids before it), ids.
+* ``index/`` (Parquet)   one row per bucket of keys: a minimal perfect hash
+  (``seeds``) and its ``records`` (fingerprint, shard, offset, length).
+
+A key is a document id and its occurrence number. Access is constant time:
+hash the key to its bucket, the seed to its slot, compare the stored
+fingerprint, read one byte range.
+"""
+
+from __future__ import annotations
+
+import json
+import os
+import re
+import zlib
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from paxflow.plans.sizing import shared_dir
+
+END_ID = 0
+# Average keys per index bucket, and keys per seed.
+BUCKET_KEYS = 2048
+SEED_KEYS = 3
+# Word pieces whose ids a task remembers.
+CACHE_WORDS = 1 << 18
+CHUNK_CHARS = 1 << 20
+RECORD = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("length", "<u8")])
+
+
+# ------------------------------------------------------------------ encoding
+
+
+class Encoder:
+    """Ids of whole texts from the tokenizers library.
+
+    A byte-level tokenizer splits a text before it merges, and never between
+    a space and what follows. So a text made of words, spaces and line feeds
+    can be cut before each space, and the ids of pieces met before are
+    reused. Texts with other white space or an added token's string, and
+    tokenizers of any other kind, go to the library whole.
+    """
+
+    PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+    OTHER_SPACE = re.compile(r"[^\S \n]")
+
+    def __init__(self, spec: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(spec)
+        parts = json.loads(spec)
+        split = parts.get("pre_tokenizer") or {}
+        self.by_piece = (
+            split.get("type") == "ByteLevel"
+            and split.get("use_regex", True)
+            and not split.get("add_prefix_space")
+            and not any(parts.get(k) for k in ("normalizer", "truncation", "padding"))
+        )
+        self.added = [t["content"] for t in parts.get("added_tokens", [])]
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.pool, self.first, self.length = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def learn(self, pieces: list[str]) -> None:
+        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        length = np.array([len(f) for f in found], np.int64)
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces)), strict=True))
+        self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(length) - length])
+        self.length = np.concatenate([self.length, length])
+        self.pool = np.concatenate([self.pool, *found])
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, with the end id."""
+        whole = [not self.by_piece or bool(self.OTHER_SPACE.search(t)) or any(a in t for a in self.added) for t in texts]
+        pieces = [[] if w else self.PIECE.findall(t) for t, w in zip(texts, whole, strict=True)]
+        flat = [p for some in pieces for p in some]
+        if len(self.known) > CACHE_WORDS:
+            self.clear()
+        new = set(flat).difference(self.known)
+        if new:
+            self.learn(sorted(new))
+        codes = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        lengths = self.length[codes] if len(codes) else np.empty(0, np.int64)
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.pool[np.repeat(self.first[codes] - (ends - lengths), lengths) + np.arange(total)] if total else self.pool[:0]
+        piece_ends = np.concatenate([[0], ends])[np.cumsum([0] + [len(p) for p in pieces])]
+        out = []
+        for k, text in enumerate(texts):
+            if whole[k]:
+                own = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            else:
+                own = ids[piece_ends[k] : piece_ends[k + 1]]
+            out.append(np.append(own, np.uint32(END_ID)))
+        return out
+
+
+# ------------------------------------------------------------------ storage
+
+
+def file_system(uri: str):
+    """(file system, path) of a shared folder, local or remote."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri)
+
+
+def shard_path(folder: str, shard: int) -> str:
+    return f"{folder}/ids/shard-{shard:05d}.bin"
+
+
+@dataclass(frozen=True)
+class TokenStore:
+    """A written folder: what a reader needs to know."""
+
+    folder: str
+    buckets: int
+    id_bytes: int
+
+    def shards(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.folder}/shards")
+
+    def index(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.folder}/index")
+
+
+def key_columns(key: Column, occurrence: Column) -> tuple[Column, Column]:
+    """Two independent hashes of a document key: placement and fingerprint."""
+    name = F.concat_ws("#", F.coalesce(key.cast("string"), F.lit("")), key.isNull().cast("string"), occurrence.cast("string"))
+    return F.xxhash64(name), F.xxhash64(F.lit("fingerprint"), name)
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """SplitMix64's finaliser."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def perfect_hash(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(seeds, slots): a minimal perfect hash of distinct 64-bit keys by hash and displace.
+
+    Keys share a seed per group; groups are placed from the largest down,
+    each with the first seed that sends its keys to free slots. A group of
+    one key names its free slot directly (-1 - slot).
+    """
+    n = len(keys)
+    group = (mix(keys) % np.uint64(max(1, n // SEED_KEYS))).astype(np.int64)
+    seeds, slots, taken = np.zeros(max(1, n // SEED_KEYS), np.int64), np.full(n, -1, np.int64), np.zeros(n, bool)
+    order = np.argsort(group, kind="stable")
+    starts = np.flatnonzero(np.r_[True, np.diff(group[order]) > 0]) if n else np.empty(0, np.int64)
+    groups = np.split(order, starts[1:])
+    for own in sorted((g for g in groups if len(g) > 1), key=lambda g: (-len(g), g[0])):
+        base = np.uint64(1)
+        while True:
+            tries = np.arange(64, dtype=np.uint64) + base
+            at = (mix(keys[own][None, :] ^ mix(tries)[:, None]) % np.uint64(n)).astype(np.int64)
+            ranked = np.sort(at, axis=1)
+            good = ~taken[at].any(axis=1) & (np.diff(ranked, axis=1) > 0).all(axis=1)
+            if good.any():
+                k = int(np.argmax(good))
+                seeds[group[own[0]]], slots[own] = int(tries[k]), at[k]
+                taken[at[k]] = True
+                break
+            base += np.uint64(64)
+    free = iter(np.flatnonzero(~taken))
+    for own in (g for g in groups if len(g) == 1):
+        slots[own[0]] = next(free)
+        seeds[group[own[0]]] = -1 - slots[own[0]]
+    return seeds, slots
+
+
+def slots_of(keys: np.ndarray, seeds: np.ndarray, n: int) -> np.ndarray:
+    seed = seeds[(mix(keys) % np.uint64(len(seeds))).astype(np.int64)]
+    hashed = (mix(keys ^ mix(seed.astype(np.uint64))) % np.uint64(max(1, n))).astype(np.int64)
+    return np.where(seed < 0, -1 - seed, hashed)
+
+
+def write_tokens(
+    docs: DataFrame,
+    tokenizer_file: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    folder: str | None = None,
+) -> TokenStore:
+    """Encode and write every row of ``docs`` in ascending id order.
+
+    Null texts are empty (one end id). A null id sorts first. Rows that
+    repeat an id get occurrence numbers 0, 1, ... in the order of their
+    texts' hashes. Each task writes its shard under a name of its attempt
+    and renames it when complete, so a repeated task leaves the same file.
+    """
+    spark = docs.sparkSession
+    folder = folder or shared_dir(spark, "llm-tokens")
+    with open(tokenizer_file, encoding="utf-8") as f:
+        spec = f.read()
+    from tokenizers import Tokenizer
+
+    id_bytes = 2 if Tokenizer.from_str(spec).get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+    shipped = spark.sparkContext.broadcast(spec)
+    file_system(folder)[0].create_dir(f"{file_system(folder)[1]}/ids", recursive=True)
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
+    id_type = rows.schema["id"].dataType.simpleString()
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        encoder, out, offset = Encoder(shipped.value), None, 0
+        task = TaskContext.get()
+        store, root = file_system(folder)
+        final = shard_path(root, task.partitionId())
+        draft = f"{final}.{task.taskAttemptId()}"
+        for batch in batches:
+            if out is None:
+                out = store.open_output_stream(draft)
+            texts, lengths, start = batch.column(1).to_pylist(), [], 0
+            while start < len(texts):
+                end, chars = start, 0
+                while end < len(texts) and (end == start or chars + len(texts[end]) <= CHUNK_CHARS):
+                    chars += len(texts[end])
+                    end += 1
+                found = encoder.encode(texts[start:end])
+                out.write(np.concatenate(found).astype(f"<u{id_bytes}").tobytes())
+                lengths.extend(map(len, found))
+                start = end
+            length = np.array(lengths, np.int64)
+            offsets = offset + np.cumsum(length) - length
+            offset += int(length.sum())
+            shard = np.full(len(length), task.partitionId(), np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(shard), pa.array(offsets), pa.array(length)], ["id", "shard", "offset", "length"]
+            )
+        if out is not None:
+            out.close()
+            store.move(draft, final)
+
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+        encode, f"id {id_type}, shard int, offset bigint, length bigint"
+    )
+    placed.write.parquet(f"{folder}/rows")
+    placed = spark.read.parquet(f"{folder}/rows")
+    # One row per shard, as many as there are tasks.
+    sums = placed.groupBy("shard").agg(F.sum("length").alias("ids"), F.count("*").alias("rows"))
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    sums.select(
+        "shard", "ids", "rows", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("first"),
+        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first_row"),
+    ).write.parquet(f"{folder}/shards")
+    buckets = write_index(spark, folder)
+    return TokenStore(folder, buckets, id_bytes)
+
+
+def write_index(spark: SparkSession, folder: str) -> int:
+    placed = spark.read.parquet(f"{folder}/rows")
+    buckets = max(1, placed.count() // BUCKET_KEYS)
+    # Rows of one id follow each other, so the occurrence is the distance to the first of them.
+    in_shard = Window.partitionBy("shard").orderBy("offset")
+    numbered = placed.withColumn("row", F.row_number().over(in_shard) - 1).join(
+        spark.read.parquet(f"{folder}/shards").select("shard", "first_row"), "shard"
+    )
+    numbered = numbered.withColumn("row", F.col("row") + F.col("first_row"))
+    firsts = numbered.groupBy("id").agg(F.min("row").alias("first_of_id")).withColumnRenamed("id", "of")
+    keyed = numbered.join(firsts, F.col("id").eqNullSafe(F.col("of")))
+    key, fingerprint = key_columns(F.col("id"), F.col("row") - F.col("first_of_id"))
+    entries = keyed.select(key.alias("key"), fingerprint.alias("fingerprint"), "shard", "offset", "length").withColumn(
+        "bucket", F.pmod("key", F.lit(buckets))
+    )
+
+    def build(part: pd.DataFrame) -> pd.DataFrame:
+        prints = part["fingerprint"].to_numpy().astype(np.uint64)
+        keys = mix(part["key"].to_numpy().astype(np.uint64)) ^ prints
+        if len(np.unique(keys)) < len(keys):
+            raise ValueError("two document keys share both hashes")
+        seeds, slots = perfect_hash(keys)
+        records = np.zeros(len(part), RECORD)
+        records["fingerprint"][slots] = (prints >> np.uint64(32)).astype(np.uint32)
+        for name in ("shard", "offset", "length"):
+            records[name][slots] = part[name].to_numpy()
+        return pd.DataFrame(
+            {"bucket": [part["bucket"].iloc[0]], "keys": [len(part)], "seeds": [seeds.astype("<i8").tobytes()], "records": [records.tobytes()]}
+        )
+
+    index = entries.groupBy("bucket").applyInPandas(build, "bucket bigint, keys int, seeds binary, records binary")
+    index.write.parquet(f"{folder}/index")
+    return buckets
+
+
+# ------------------------------------------------------------------ reading
+
+
+def look_up(store: TokenStore, wanted: DataFrame) -> DataFrame:
+    """Keyed access for a table of (id, occurrence): adds shard, offset, length.
+
+    Keys that are not in the store are left out (but for a 32-bit
+    fingerprint's chance of a false match).
+    """
+    key, fingerprint = key_columns(F.col("id"), F.col("occurrence"))
+    asked = wanted.select("id", "occurrence", key.alias("key"), fingerprint.alias("fingerprint")).withColumn(
+        "bucket", F.pmod("key", F.lit(store.buckets))
+    )
+    id_type = wanted.schema["id"].dataType.simpleString()
+
+    def probe(asked: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
+        out = asked[["id", "occurrence"]].copy()
+        if index.empty or asked.empty:
+            return out.iloc[:0].assign(shard=np.int32(0), offset=0, length=0)
+        seeds = np.frombuffer(index["seeds"].iloc[0], "<i8")
+        records = np.frombuffer(index["records"].iloc[0], RECORD)
+        prints = asked["fingerprint"].to_numpy().astype(np.uint64)
+        found = records[slots_of(mix(asked["key"].to_numpy().astype(np.uint64)) ^ prints, seeds, len(records))]
+        for name, kind in (("shard", np.int32), ("offset", np.int64), ("length", np.int64)):
+            out[name] = found[name].astype(kind)
+        return out[found["fingerprint"] == (prints >> np.uint64(32)).astype(np.uint32)]
+
+    index = store.index(wanted.sparkSession).select("bucket", "seeds", "records")
+    return asked.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(
+        probe, f"id {id_type}, occurrence bigint, shard int, offset bigint, length bigint"
+    )
+
+
+def read_digests(store: TokenStore, wanted: DataFrame) -> DataFrame:
+    """Read the payload of each wanted (id, occurrence) from the shard files:
+    ``id, occurrence, start, n_tokens, ids_crc32``. The digest is over the
+    ids as little-endian unsigned 32-bit integers."""
+    spark = wanted.sparkSession
+    id_type = wanted.schema["id"].dataType.simpleString()
+    width, folder = store.id_bytes, store.folder
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, root = file_system(folder)
+        open_shard, source = None, None
+        for batch in batches:
+            crcs, counts = [], []
+            for shard, offset, length in zip(*(batch.column(k).to_numpy() for k in (2, 3, 4)), strict=True):
+                if shard != open_shard:
+                    if source is not None:
+                        source.close()
+                    open_shard, source = shard, files.open_input_file(shard_path(root, int(shard)))
+                raw = source.read_at(int(length) * width, int(offset) * width)
+                ids = np.frombuffer(raw, f"<u{width}").astype("<u4")
+                counts.append(len(ids))
+                crcs.append(zlib.crc32(ids.tobytes()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), batch.column(2), batch.column(3), pa.array(counts, pa.int64()), pa.array(crcs, pa.int64())],
+                ["id", "occurrence", "shard", "offset", "n_tokens", "ids_crc32"],
+            )
+        if source is not None:
+            source.close()
+
+    placed = look_up(store, wanted).repartitionByRange("shard", "offset").sortWithinPartitions("shard", "offset")
+    digests = placed.mapInArrow(
+        read, f"id {id_type}, occurrence bigint, shard int, offset bigint, n_tokens bigint, ids_crc32 bigint"
+    )
+    return digests.join(store.shards(spark).select("shard", "first"), "shard").select(
+        "id", "occurrence", (F.col("first") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32"
+    )
+
+
+def token_digests(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Write ``docs`` as token shards, read them back by key: ``id_col,
+    start, n_tokens, ids_crc32``, one row per input row (repeated ids have
+    one row per repetition). An empty table gives an empty result."""
+    store = write_tokens(docs, tokenizer_file, id_col, text_col)
+    counts = docs.groupBy(F.col(id_col).alias("id")).agg(F.count("*").alias("n"))
+    wanted = counts.select("id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("occurrence"))
+    return read_digests(store, wanted).select(F.col("id").alias(id_col), "start", "n_tokens", "ids_crc32")
