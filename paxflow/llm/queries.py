@@ -9,6 +9,7 @@ from paxflow.llm.mixing import mix_plan
 from paxflow.llm.pii import pii_digest, pii_spans
 from paxflow.llm.secrets import secret_digest, secret_spans
 from paxflow.llm.tokens import token_digests
+from paxflow.llm.toxicity import toxicity
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -19,6 +20,10 @@ def op1_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secret_digest(secret_spans(documents(spark, sf)))
 
 
+def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
 def tokenizer_file() -> str:
     import public_tokenizers
 
@@ -43,6 +48,7 @@ def op8_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op4_toxicity": op4_toxicity,
     "op5_token_shards": op5_token_shards,
     "op6_pii_anchors": op6_pii_anchors,
     "op7_mix_sources": op7_mix_sources,

@@ -19,6 +19,8 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,7 +39,7 @@ END_ID = 0
 BUCKET_KEYS = 2048
 SEED_KEYS = 3
 # Word pieces whose ids a task remembers.
-CACHE_WORDS = 1 << 18
+CACHE_WORDS = 1 << 19
 CHUNK_CHARS = 1 << 20
 RECORD = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("length", "<u8")])
 
@@ -71,6 +73,11 @@ class Encoder:
             and not any(parts.get(k) for k in ("normalizer", "truncation", "padding"))
         )
         self.added = [t["content"] for t in parts.get("added_tokens", [])]
+        # A byte-level token has one character per byte.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.id_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.id_bytes[number] = len(token)
         self.clear()
 
     def clear(self) -> None:
@@ -78,9 +85,16 @@ class Encoder:
         self.pool, self.first, self.length = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def learn(self, pieces: list[str]) -> None:
-        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        length = np.array([len(f) for f in found], np.int64)
-        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces)), strict=True))
+        """Encode pieces not met before. Those that start with a space and
+        end without one cannot join their neighbours, so they are encoded as
+        one string and its ids dealt out by the bytes that they stand for."""
+        joint = [p for p in pieces if p[0] in " \n" and p[-1] not in " \n"]
+        alone = [p for p in pieces if not (p[0] in " \n" and p[-1] not in " \n")]
+        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(["".join(joint), *alone], add_special_tokens=False)]
+        ends = np.cumsum([len(p.encode()) for p in joint])
+        of_joint = np.diff(np.searchsorted(np.cumsum(self.id_bytes[found[0]]), ends, side="right"), prepend=0)
+        length = np.concatenate([of_joint, [len(f) for f in found[1:]]]).astype(np.int64)
+        self.known.update(zip([*joint, *alone], range(len(self.known), len(self.known) + len(pieces)), strict=True))
         self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(length) - length])
         self.length = np.concatenate([self.length, length])
         self.pool = np.concatenate([self.pool, *found])
@@ -111,6 +125,16 @@ class Encoder:
         return out
 
 
+def encoder_of_process(spec: str) -> Encoder:
+    """The worker process's encoder. Workers are reused between tasks, and
+    the code of a task is not, so what was learned hangs on ``sys.modules``."""
+    holder = sys.modules.setdefault("_paxflow_token_encoders", types.ModuleType("_paxflow_token_encoders"))
+    name = f"of_{zlib.crc32(spec.encode()):08x}"
+    if not hasattr(holder, name):
+        setattr(holder, name, Encoder(spec))
+    return getattr(holder, name)
+
+
 # ------------------------------------------------------------------ storage
 
 
@@ -221,7 +245,7 @@ def write_tokens(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, out, offset = Encoder(shipped.value), None, 0
+        encoder, out, offset = encoder_of_process(shipped.value), None, 0
         task = TaskContext.get()
         store, root = file_system(folder)
         final = shard_path(root, task.partitionId())
