@@ -8,6 +8,7 @@ from paxflow.llm.exact_dedup import exact_dedup
 from paxflow.llm.mixing import mix_plan
 from paxflow.llm.pii import pii_digest, pii_spans
 from paxflow.llm.secrets import secret_digest, secret_spans
+from paxflow.llm.substring import remove_repeats, removal_digest
 from paxflow.llm.tokens import token_digests
 from paxflow.llm.toxicity import toxicity
 
@@ -46,6 +47,10 @@ def op8_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(documents(spark, sf))
 
 
+def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return removal_digest(remove_repeats(documents(spark, sf)))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op4_toxicity": op4_toxicity,
@@ -53,6 +58,7 @@ QUERIES = {
     "op6_pii_anchors": op6_pii_anchors,
     "op7_mix_sources": op7_mix_sources,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 SQL = {
@@ -91,4 +97,17 @@ SQL = {
         FROM documents
         WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op10_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        w AS (SELECT doc_id, unnest(range(1, len(words) - 11)) AS pos, words FROM d WHERE len(words) >= 13),
+        r AS (SELECT doc_id, pos, array_to_string(words[pos:pos + 12], ' ') AS run FROM w),
+        f AS (SELECT doc_id, pos, doc_id > min(doc_id) OVER (PARTITION BY run) AS repeated FROM r),
+        g AS (SELECT doc_id, list_distinct(flatten(list(range(pos, pos + 13)))) AS gone FROM f WHERE repeated GROUP BY doc_id),
+        k AS (
+            SELECT d.doc_id, len(words) AS n_words, coalesce(len(gone), 0) AS n_removed,
+                   CASE WHEN gone IS NULL THEN words ELSE
+                       list_transform(list_filter(range(1, len(words) + 1), lambda x: NOT list_contains(gone, x)), lambda x: words[x]) END AS kept
+            FROM d LEFT JOIN g ON d.doc_id = g.doc_id)
+        SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
+    """,
 }
