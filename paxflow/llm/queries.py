@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paxflow.llm.exact_dedup import exact_dedup
 from paxflow.llm.mixing import mix_plan
+from paxflow.llm.ngram_join import jaccard_components
 from paxflow.llm.pii import pii_digest, pii_spans
 from paxflow.llm.secrets import secret_digest, secret_spans
 from paxflow.llm.substring import remove_repeats, removal_digest
@@ -21,6 +22,10 @@ def op1_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secret_digest(secret_spans(documents(spark, sf)))
 
 
+def op2_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf))
+
+
 def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
 
@@ -53,6 +58,7 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_ngram_join": op2_ngram_join,
     "op4_toxicity": op4_toxicity,
     "op5_token_shards": op5_token_shards,
     "op6_pii_anchors": op6_pii_anchors,
