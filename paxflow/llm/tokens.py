@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import sys
 import types
 import zlib
@@ -32,15 +31,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paxflow.llm.words import Splitter, buffer_of, mix, slices
 from paxflow.plans.sizing import shared_dir
 
 END_ID = 0
 # Average keys per index bucket, and keys per seed.
 BUCKET_KEYS = 2048
 SEED_KEYS = 3
-# Word pieces whose ids a task remembers.
-CACHE_WORDS = 1 << 19
-CHUNK_CHARS = 1 << 20
+# Word pieces whose ids a worker process remembers.
+CACHE_WORDS = 1 << 20
 RECORD = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("length", "<u8")])
 
 
@@ -51,15 +50,15 @@ class Encoder:
     """Ids of whole texts from the tokenizers library.
 
     A byte-level tokenizer splits a text before it merges, and never between
-    a space and what follows. So a text made of words, spaces and line feeds
-    can be cut before each space, and the ids of pieces met before are
-    reused. Texts with other white space or an added token's string, and
-    tokenizers of any other kind, go to the library whole.
+    a visible character and the white space after it. So texts of words,
+    spaces and line feeds are cut there, all texts of a slice at once, and
+    the ids of pieces met before are reused. A piece is known by its length,
+    a 64-bit hash and its first and last eight bytes; should two pieces agree
+    in the hash only, their texts are encoded whole. So are texts with other
+    white space or an added token's string, and all texts if the tokenizer
+    is of any other kind.
     """
 
-    PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-    OTHER_SPACE = re.compile(r"[^\S \n]")
-
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
@@ -72,59 +71,134 @@ class Encoder:
             and not split.get("add_prefix_space")
             and not any(parts.get(k) for k in ("normalizer", "truncation", "padding"))
         )
-        self.added = [t["content"] for t in parts.get("added_tokens", [])]
+        self.added = [t["content"].encode() for t in parts.get("added_tokens", [])]
         # A byte-level token has one character per byte.
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.id_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         for token, number in vocabulary.items():
             self.id_bytes[number] = len(token)
+        self.splitter = Splitter(lower=False)
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.pool, self.first, self.length = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def learn(self, pieces: list[str]) -> None:
-        """Encode pieces not met before. Those that start with a space and
-        end without one cannot join their neighbours, so they are encoded as
-        one string and its ids dealt out by the bytes that they stand for."""
-        joint = [p for p in pieces if p[0] in " \n" and p[-1] not in " \n"]
-        alone = [p for p in pieces if not (p[0] in " \n" and p[-1] not in " \n")]
-        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(["".join(joint), *alone], add_special_tokens=False)]
-        ends = np.cumsum([len(p.encode()) for p in joint])
-        of_joint = np.diff(np.searchsorted(np.cumsum(self.id_bytes[found[0]]), ends, side="right"), prepend=0)
-        length = np.concatenate([of_joint, [len(f) for f in found[1:]]]).astype(np.int64)
-        self.known.update(zip([*joint, *alone], range(len(self.known), len(self.known) + len(pieces)), strict=True))
-        self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(length) - length])
-        self.length = np.concatenate([self.length, length])
+        """Forget all pieces. ``known`` has, by hash: hash, first and last bytes, place and number of ids in the pool."""
+        self.pool = np.empty(0, np.uint32)
+        self.known = np.empty(0, [("hash", "u8"), ("head", "u8"), ("tail", "u8"), ("first", "i8"), ("count", "i8")])
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, raw: bytes, start: np.ndarray, end: np.ndarray, new: np.ndarray) -> None:
+        """Encode new pieces. Those that start with white space and end
+        without cannot join their neighbours, so they are encoded as one
+        string and its ids dealt out by the bytes that they stand for."""
+        pieces = [raw[x:y] for x, y in zip(start.tolist(), end.tolist(), strict=True)]
+        joint = np.array([p[0] in b" \n" and p[-1] not in b" \n" for p in pieces], bool)
+        together = [p for p, j in zip(pieces, joint, strict=True) if j]
+        found = self._whole([b"".join(together).decode(), *(p.decode() for p, j in zip(pieces, joint, strict=True) if not j)])
+        ends = np.cumsum([len(p) for p in together])
+        count = np.zeros(len(pieces), np.int64)
+        count[joint] = np.diff(np.searchsorted(np.cumsum(self.id_bytes[found[0]]), ends, side="right"), prepend=0)
+        count[~joint] = [len(f) for f in found[1:]]
+        order = np.argsort(~joint, kind="stable")
+        new["count"][order] = count[order]
+        new["first"][order] = len(self.pool) + np.cumsum(count[order]) - count[order]
         self.pool = np.concatenate([self.pool, *found])
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text, with the end id."""
-        whole = [not self.by_piece or bool(self.OTHER_SPACE.search(t)) or any(a in t for a in self.added) for t in texts]
-        pieces = [[] if w else self.PIECE.findall(t) for t, w in zip(texts, whole, strict=True)]
-        flat = [p for some in pieces for p in some]
+        self.known = np.insert(self.known, np.searchsorted(self.known["hash"], new["hash"]), new)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, lengths): the ids of all texts, each followed by the end id."""
+        raw, bounds = buffer_of(texts)
+        if not self.by_piece:
+            return self._replaced(texts, np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64), np.ones(len(texts), bool))
+        gap = (raw == 0x20) | (raw == 0x0A)
+        opens = gap.copy()
+        opens[1:] &= ~gap[:-1]
+        opens[bounds[:-1][bounds[:-1] < len(raw)]] = True
+        start = np.flatnonzero(opens)
+        end = np.r_[start[1:], len(raw)] if len(start) else start
+        hashed = self.splitter.hashes(raw, start, end)
+        hashes, example, which = np.unique(hashed, return_index=True, return_inverse=True)
         if len(self.known) > CACHE_WORDS:
             self.clear()
-        new = set(flat).difference(self.known)
-        if new:
-            self.learn(sorted(new))
-        codes = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
-        lengths = self.length[codes] if len(codes) else np.empty(0, np.int64)
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.pool[np.repeat(self.first[codes] - (ends - lengths), lengths) + np.arange(total)] if total else self.pool[:0]
-        piece_ends = np.concatenate([[0], ends])[np.cumsum([0] + [len(p) for p in pieces])]
-        out = []
-        for k, text in enumerate(texts):
-            if whole[k]:
-                own = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-            else:
-                own = ids[piece_ends[k] : piece_ends[k + 1]]
-            out.append(np.append(own, np.uint32(END_ID)))
+        seen = np.zeros(len(hashes), self.known.dtype)
+        seen["hash"], seen["head"], seen["tail"] = hashes, *_ends(raw, start[example], end[example])
+        at = np.searchsorted(self.known["hash"], hashes)
+        missing = at == len(self.known)
+        missing[~missing] = self.known["hash"][at[~missing]] != hashes[~missing]
+        if missing.any():
+            self._learn(raw.tobytes(), start[example[missing]], end[example[missing]], seen[missing])
+        entry = self.known[np.searchsorted(self.known["hash"], hashes)]
+        head, tail = _ends(raw, start, end)
+        odd = (entry["head"][which] != head) | (entry["tail"][which] != tail)
+        count = entry["count"][which]
+        last = np.cumsum(count)
+        total = int(last[-1]) if len(last) else 0
+        place = np.repeat(entry["first"][which] - (last - count), count)
+        place += np.arange(total)
+        piece_of = np.searchsorted(start, bounds)
+        cuts = np.r_[0, last][piece_of]
+        whole = self._foreign(raw, bounds)
+        if odd.any():
+            whole[np.searchsorted(bounds, start[odd], side="right") - 1] = True
+        return self._replaced(texts, self.pool[place], cuts, whole)
+
+    def _replaced(self, texts: pa.Array, ids: np.ndarray, cuts: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lengths = np.diff(cuts) + 1
+        if not whole.any():
+            return np.insert(ids, cuts[1:], np.uint32(END_ID)), lengths
+        own = dict(zip(np.flatnonzero(whole).tolist(), self._whole(texts.filter(pa.array(whole)).to_pylist()), strict=True))
+        parts = []
+        for k in range(len(texts)):
+            parts += [own.get(k, ids[cuts[k] : cuts[k + 1]]), np.full(1, END_ID, np.uint32)]
+        for k, found in own.items():
+            lengths[k] = len(found) + 1
+        return np.concatenate(parts), lengths
+
+    def _foreign(self, raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Texts that hold white space other than space and line feed, or an added token."""
+        at = [np.flatnonzero(_CONTROL[raw])]
+        lead = np.flatnonzero(_LEAD[raw[:-1]])
+        second, third = raw[lead + 1], raw[np.minimum(lead + 2, len(raw) - 1)]
+        first = raw[lead]
+        at.append(
+            lead[
+                ((first == 0xC2) & ((second == 0x85) | (second == 0xA0)))
+                | ((first == 0xE1) & (second == 0x9A) & (third == 0x80))
+                | ((first == 0xE2) & (second == 0x80) & ((third <= 0x8A) | (third == 0xA8) | (third == 0xA9) | (third == 0xAF)))
+                | ((first == 0xE2) & (second == 0x81) & (third == 0x9F))
+                | ((first == 0xE3) & (second == 0x80) & (third == 0x80))
+            ]
+        )
+        data = raw.tobytes() if self.added else b""
+        for token in self.added:
+            k = data.find(token)
+            while k >= 0:
+                at.append(np.array([k]))
+                k = data.find(token, k + 1)
+        out = np.zeros(len(bounds) - 1, bool)
+        out[np.searchsorted(bounds, np.concatenate(at), side="right") - 1] = True
         return out
 
 
+_CONTROL = np.zeros(256, bool)
+_CONTROL[[0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F]] = True
+_LEAD = np.zeros(256, bool)
+_LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
+def _ends(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and the last eight bytes of each piece (zeros beyond it) as integers."""
+    size = end - start
+    head, tail = np.zeros(len(start), np.uint64), np.zeros(len(start), np.uint64)
+    top = max(0, len(raw) - 1)
+    for k in range(8):
+        inside = size > k
+        head |= np.where(inside, raw[np.minimum(start + k, top)], 0).astype(np.uint64) << np.uint64(8 * k)
+        tail |= np.where(inside, raw[np.maximum(end - 1 - k, 0)], 0).astype(np.uint64) << np.uint64(8 * k)
+    return head, tail
+
+
 def encoder_of_process(spec: str) -> Encoder:
     """The worker process's encoder. Workers are reused between tasks, and
     the code of a task is not, so what was learned hangs on ``sys.modules``."""
@@ -170,13 +244,6 @@ def key_columns(key: Column, occurrence: Column) -> tuple[Column, Column]:
     return F.xxhash64(name), F.xxhash64(F.lit("fingerprint"), name)
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """SplitMix64's finaliser."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def perfect_hash(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(seeds, slots): a minimal perfect hash of distinct 64-bit keys by hash and displace.
 
@@ -253,17 +320,12 @@ def write_tokens(
         for batch in batches:
             if out is None:
                 out = store.open_output_stream(draft)
-            texts, lengths, start = batch.column(1).to_pylist(), [], 0
-            while start < len(texts):
-                end, chars = start, 0
-                while end < len(texts) and (end == start or chars + len(texts[end]) <= CHUNK_CHARS):
-                    chars += len(texts[end])
-                    end += 1
-                found = encoder.encode(texts[start:end])
-                out.write(np.concatenate(found).astype(f"<u{id_bytes}").tobytes())
-                lengths.extend(map(len, found))
-                start = end
-            length = np.array(lengths, np.int64)
+            lengths = []
+            for part in slices(batch, 1):
+                ids, counts = encoder.encode(part.column(1))
+                out.write(ids.astype(f"<u{id_bytes}").tobytes())
+                lengths.append(counts)
+            length = np.concatenate(lengths) if lengths else np.empty(0, np.int64)
             offsets = offset + np.cumsum(length) - length
             offset += int(length.sum())
             shard = np.full(len(length), task.partitionId(), np.int32)

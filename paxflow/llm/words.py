@@ -49,6 +49,16 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
+def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, bounds): the texts' UTF-8 bytes and where each begins, and the end; null is empty."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    if data is None or not len(texts):
+        return np.empty(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 class Splitter:
     def __init__(self, lower: bool):
         self.lower = lower
@@ -63,11 +73,7 @@ class Splitter:
         return self.power, self.inverse
 
     def split(self, texts: pa.Array) -> Words:
-        texts = pc.fill_null(texts, "").cast(pa.large_string())
-        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-        data = texts.buffers()[2]
-        raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None and len(texts) else np.empty(0, np.uint8)
-        bounds = offsets - offsets[0]
+        raw, bounds = buffer_of(texts)
         if self.lower:
             raw = _LOWER[raw]
         space = _SPACE[raw]
@@ -79,11 +85,14 @@ class Splitter:
         after[: max(0, len(raw) - 1)] = space[1:]
         after[bounds - 1] = True
         ends = np.flatnonzero(~space & after[:-1]) + 1
+        return Words(self.hashes(raw, starts, ends), np.searchsorted(starts, bounds), starts, ends, raw)
+
+    def hashes(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A hash of each byte range."""
         power, inverse = self._powers(len(raw) + 1)
         sums = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[: len(raw)], out=sums[1:])
-        hashed = (sums[ends] - sums[starts]) * inverse[starts]
-        return Words(mix(hashed ^ (ends - starts).astype(np.uint64)), np.searchsorted(starts, bounds), starts, ends, raw)
+        return mix(((sums[ends] - sums[starts]) * inverse[starts]) ^ (ends - starts).astype(np.uint64))
 
 
 def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
