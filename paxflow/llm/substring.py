@@ -18,7 +18,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +29,7 @@ from paxflow.llm.words import Splitter, Words, combine, mix, runs, slices
 WINDOW = 13
 GRAM = 5
 # Shared anchors per shard: the size of an FM-index, not a limit on what it finds.
-SHARD_ANCHORS = 20_000
+SHARD_ANCHORS = 8_000
 # Segments that a task remembers having sent.
 SENT_SEGMENTS = 500_000
 NO_ID = -(1 << 63)
@@ -73,49 +72,61 @@ class WaveletMatrix:
 
 
 class FMIndex:
-    """An FM-index of several sequences of symbols 1..n, none longer than ``longest``."""
+    """An FM-index of several sequences of symbols 1..n for patterns of at
+    most ``depth`` symbols: suffixes are sorted by that many symbols, which
+    is all that backward search of such patterns looks at."""
 
-    def __init__(self, symbols: np.ndarray, ends: np.ndarray, longest: int):
-        self.text, self.place = self._with_separators(symbols, ends)
-        self.order = self._suffix_order(self.text, longest + 1)
-        before = self.text[self.order - 1]
-        self.first = np.searchsorted(np.sort(self.text), np.arange(int(self.text.max(initial=0)) + 2))
-        self.bwt = WaveletMatrix(before, max(1, int(self.text.max(initial=0)).bit_length()))
-
-    @staticmethod
-    def _with_separators(symbols: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def __init__(self, symbols: np.ndarray, ends: np.ndarray, depth: int):
         owner = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-        place = np.arange(len(symbols)) + owner
-        text = np.zeros(len(symbols) + len(ends), np.int64)
-        text[place] = symbols
-        return text, place
+        self.place = np.arange(len(symbols)) + owner
+        self.text = np.zeros(len(symbols) + len(ends), np.int64)
+        self.text[self.place] = symbols
+        top = int(self.text.max(initial=0))
+        self.order = self._suffix_order(self.text, max(1, top.bit_length()), depth)
+        self.first = np.searchsorted(np.sort(self.text), np.arange(top + 2))
+        self.bwt = WaveletMatrix(self.text[self.order - 1], max(1, top.bit_length()))
 
     @staticmethod
-    def _suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-        """Suffixes sorted by their first ``depth`` symbols or up to the separator, by doubling."""
-        rank, width, n = text.copy(), 1, len(text)
-        order = np.argsort(rank, kind="stable")
-        while width < depth:
-            follow = np.zeros(n, np.int64)
-            # A suffix that has met its separator is complete; what follows must not count.
-            follow[: n - width] = rank[width:] + 1
-            follow[rank == 0] = 0
-            pair = rank * (n + 2) + follow
-            order = np.argsort(pair, kind="stable")
-            changed = np.r_[0, np.diff(pair[order]) != 0]
+    def _suffix_order(text: np.ndarray, bits: int, depth: int) -> np.ndarray:
+        """Suffixes by their first ``depth`` symbols or up to the separator:
+        as many symbols as one integer holds, then by doubling."""
+        n, width = len(text), max(1, 62 // bits)
+        packed, ended = np.zeros(n, np.int64), np.zeros(n, bool)
+        for k in range(width):
+            symbol = np.zeros(n, np.int64)
+            symbol[: n - k] = text[k:]
+            symbol[ended] = 0
+            packed = packed << bits | symbol
+            ended |= symbol == 0
+        while True:
+            order = np.argsort(packed)
+            ranked = packed[order]
             rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(changed)
-            width *= 2
-        return order
+            rank[order] = np.cumsum(np.r_[1, ranked[1:] != ranked[:-1]])
+            if width >= depth:
+                return order
+            # A suffix that has met its separator is complete; what follows must not count.
+            follow = np.zeros(n, np.int64)
+            follow[: n - width] = rank[width:]
+            follow[ended] = 0
+            still = np.ones(n, bool)
+            still[: n - width] = ended[width:]
+            ended |= still
+            packed, width = rank * (n + 2) + follow, 2 * width
 
     def search(self, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix intervals of the runs of ``length`` symbols that begin at ``starts`` (positions in the indexed symbols)."""
-        low, high = np.zeros(len(starts), np.int64), np.full(len(starts), len(self.text), np.int64)
+        """Matching statistics of the runs of ``length`` indexed symbols that
+        begin at ``starts``: suffix intervals by backward search. A run that
+        is alone after a few symbols stays alone: its interval is left as it
+        is then, of size one."""
         at = self.place[starts] + length - 1
-        for k in range(length):
-            symbol = self.text[at - k]
-            low = self.first[symbol] + self.bwt.rank(symbol, low)
-            high = self.first[symbol] + self.bwt.rank(symbol, high)
+        low, high = self.first[self.text[at]], self.first[self.text[at] + 1]
+        for k in range(1, length):
+            open_ = np.flatnonzero(high - low > 1)
+            symbol = self.text[at[open_] - k]
+            both = self.bwt.rank(np.r_[symbol, symbol], np.r_[low[open_], high[open_]])
+            low[open_] = self.first[symbol] + both[: len(open_)]
+            high[open_] = self.first[symbol] + both[len(open_) :]
         return low, high
 
 
@@ -231,34 +242,36 @@ def segments(rows: DataFrame, bits: np.ndarray, window: int, gram: int, once: bo
     return rows.mapInArrow(emit, schema)
 
 
-def earliest(part: pd.DataFrame, window: int) -> pd.DataFrame:
-    """One shard: the smallest id that has each window of each distinct segment."""
-    split = Splitter(lower=False).split(pa.array(part["words"], pa.binary()).cast(pa.string()))
-    count = np.diff(split.first)
+def earliest(part: pa.Table, window: int) -> pa.Table:
+    """One shard: the smallest id that has each window of each distinct
+    segment, for the segments where that can matter."""
+    part = part.combine_chunks()
+    own_low, own_high = part.column("low").to_numpy(), part.column("high").to_numpy()
+    split = Splitter(lower=False).split(part.column("words").combine_chunks().cast(pa.string()))
     _, symbols = np.unique(split.hash, return_inverse=True)
-    index = FMIndex(symbols + 1, split.first[1:], int(count.max()))
     starts, owner = runs(split, window)
+    index = FMIndex(symbols + 1, split.first[1:], window)
     low, high = index.search(starts, window)
-    segment_at = np.empty(len(index.text), np.int64)
-    segment_at[:] = -1
+    alone = high - low == 1
+    smallest = own_low[owner]
+    segment_at = np.zeros(len(index.text), np.int64)
     segment_at[index.place] = split.text_of
-    id_at = np.where(segment_at >= 0, part["low"].to_numpy()[segment_at], np.iinfo(np.int64).max)[index.order]
+    id_at = np.r_[own_low[segment_at[index.order]], np.iinfo(np.int64).max]
     # Windows have one length, so their intervals are equal or disjoint.
-    begin, which = np.unique(low, return_inverse=True)
-    end = np.zeros(len(begin), np.int64)
-    end[which] = high
-    bounds = np.c_[begin, end].ravel()
-    padded = np.r_[id_at, np.iinfo(np.int64).max]
-    smallest = np.minimum.reduceat(padded, bounds)[::2][which]
-    useful = np.zeros(len(part), bool)
-    np.logical_or.at(useful, owner, smallest < part["high"].to_numpy()[owner])
-    cuts = np.searchsorted(owner, np.arange(len(part) + 1))
-    kept = np.flatnonzero(useful)
-    return pd.DataFrame(
+    begin, example, which = np.unique(low[~alone], return_index=True, return_inverse=True)
+    if len(begin):
+        bounds = np.c_[begin, high[~alone][example]].ravel()
+        smallest[~alone] = np.minimum.reduceat(id_at, bounds)[::2][which]
+    useful = np.unique(owner[smallest < own_high[owner]])
+    cuts = np.searchsorted(owner, np.arange(part.num_rows + 1))
+    sizes = np.diff(cuts)[useful]
+    inside = np.isin(owner, useful)
+    offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+    return pa.table(
         {
-            "key": part["key"].to_numpy()[kept],
-            "name": part["name"].to_numpy()[kept],
-            "smallest": [smallest[cuts[k] : cuts[k + 1]] for k in kept],
+            "key": part.column("key").take(pa.array(useful)),
+            "name": part.column("name").take(pa.array(useful)),
+            "smallest": pa.ListArray.from_arrays(offsets, pa.array(smallest[inside])),
         }
     )
 
@@ -280,10 +293,10 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int)
         .agg(F.min("id").alias("low"), F.max("id").alias("high"), F.first("words").alias("words"))
     )
 
-    def of_shard(part: pd.DataFrame) -> pd.DataFrame:
+    def of_shard(part: pa.Table) -> pa.Table:
         return earliest(part, window)
 
-    known = distinct.groupBy("shard").applyInPandas(of_shard, "key bigint, name bigint, smallest array<bigint>")
+    known = distinct.groupBy("shard").applyInArrow(of_shard, "key bigint, name bigint, smallest array<bigint>")
     places = segments(rows, bits, window, gram, once=False)
     flagged = places.join(known, ["key", "name"]).select(
         "id", "mark", "start", F.transform("smallest", lambda s: s < F.col("id")).alias("repeated")
