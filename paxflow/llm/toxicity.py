@@ -33,9 +33,9 @@ MIN_SHARE = 0.004
 MIN_ODDS = 3.0
 TOXIC_BYTES = 2048
 SHARED_BYTES = 24_000
-WINDOW = 48
-STRIDE = 24
-LEVEL = 5
+WINDOW = 64
+STRIDE = 32
+LEVEL = 12
 GAINS = (2, 3, 4, 5, 6, 8)
 
 
@@ -154,17 +154,23 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float,
     return (*own.tolist(), float(w[-1] - own @ mean))
 
 
-def train(rows: DataFrame) -> Model:
-    """A model from ``rows`` (id, text, toxic); null texts and labels are left out.
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """A model from labelled rows outside the held-out fold.
 
-    Half of the sample trains the dictionaries, the other half the curve.
+    Rows are chosen by id and text length alone; only the texts chosen, a
+    bounded number, are read as texts. Several labels of an id count as their
+    largest, several texts as the first in order. Half of the sample trains
+    the dictionaries, the other half the curve.
     """
-    usable = rows.filter("text is not null and toxic is not null").filter(F.length("text") <= TRAIN_CHARS)
-    drawn = F.md5(F.col("id").cast("string"))
+    marks = labels.groupBy(F.col(id_col).alias("id")).agg(F.max("toxic").alias("toxic")).filter(~held_out(F.col("id")))
+    short = docs.filter(F.length(text_col) <= TRAIN_CHARS)
+    usable = short.select(F.col(id_col).alias("id")).distinct().join(marks, "id").withColumn("draw", F.md5(F.col("id").cast("string")))
     sample: dict[int, list[str]] = {}
     for label, most in ((1, TRAIN_TOXIC), (0, TRAIN_ORDINARY)):
-        chosen = usable.filter(F.col("toxic") == label).select(drawn.alias("draw"), "text").orderBy("draw", "text").limit(most)
-        sample[label] = [r.text for r in chosen.collect()]
+        chosen = usable.filter(F.col("toxic") == label).orderBy("draw").limit(most).select("id", "draw")
+        texts = short.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+        found = texts.groupBy("draw").agg(F.min("text").alias("text")).collect()
+        sample[label] = [r.text for r in sorted(found, key=lambda r: r.draw)]
     if min(map(len, sample.values())) < 8:
         return Model(b"", b"", ())
     toxic, ordinary = train_dictionaries(sample[1][::2], sample[0][::2])
@@ -197,12 +203,6 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     return kept.mapInArrow(score, StructType([*fields, StructField("score", DoubleType())]))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Training rows (id, text, toxic): labelled rows outside the held-out fold; several labels of an id count as their largest."""
-    marks = labels.groupBy(F.col(id_col).alias("id")).agg(F.max("toxic").alias("toxic")).filter(~held_out(F.col("id")))
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(marks, "id")
-
-
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``id_col, held_out, score, predicted``.
 
@@ -210,7 +210,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     rows of each class every score is 0. Repeated rows get equal scores, an
     empty table gives an empty result, other columns are never inputs.
     """
-    model = train(labelled(docs, labels, id_col, text_col))
+    model = train(docs, labels, id_col, text_col)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     scored = score_texts(rows, model, "id", "text")
     return scored.select(
