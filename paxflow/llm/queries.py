@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from paxflow.llm.exact_dedup import exact_dedup
+from paxflow.llm.lm import lm_scores
 from paxflow.llm.mixing import mix_plan
 from paxflow.llm.ngram_join import jaccard_components
 from paxflow.llm.pii import pii_digest, pii_spans
@@ -26,6 +27,10 @@ def op2_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_components(documents(spark, sf))
 
 
+def op3_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return lm_scores(documents(spark, sf))
+
+
 def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
 
@@ -59,6 +64,7 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_ngram_join": op2_ngram_join,
+    "op3_lm_scores": op3_lm_scores,
     "op4_toxicity": op4_toxicity,
     "op5_token_shards": op5_token_shards,
     "op6_pii_anchors": op6_pii_anchors,
