@@ -31,7 +31,7 @@ GRAM = 5
 # Shared anchors per shard: the size of an FM-index, not a limit on what it finds.
 SHARD_ANCHORS = 8_000
 # Segments that a task remembers having sent.
-SENT_SEGMENTS = 500_000
+SENT_SEGMENTS = 100_000
 NO_ID = -(1 << 63)
 
 

@@ -16,10 +16,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Texts are handled in slices of about this many bytes; a longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -60,8 +61,10 @@ def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Splitter:
-    def __init__(self, lower: bool):
+    def __init__(self, lower: bool, letters_only: bool = False):
+        """``letters_only``: every ASCII byte but letters and digits parts words."""
         self.lower = lower
+        self.parts = _PUNCTUATION if letters_only else _SPACE
         self.power = np.ones(1, np.uint64)
         self.inverse = np.ones(1, np.uint64)
 
@@ -76,7 +79,7 @@ class Splitter:
         raw, bounds = buffer_of(texts)
         if self.lower:
             raw = _LOWER[raw]
-        space = _SPACE[raw]
+        space = self.parts[raw]
         before = np.empty(len(raw) + 1, bool)
         before[1:] = space
         before[bounds] = True
