@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from paxflow.llm.decontaminate import contaminated
 from paxflow.llm.exact_dedup import exact_dedup
 from paxflow.llm.lm import lm_scores
 from paxflow.llm.mixing import mix_plan
@@ -57,6 +58,10 @@ def op8_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(documents(spark, sf))
 
 
+def op9_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return contaminated(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return removal_digest(remove_repeats(documents(spark, sf)))
 
@@ -70,6 +75,7 @@ QUERIES = {
     "op6_pii_anchors": op6_pii_anchors,
     "op7_mix_sources": op7_mix_sources,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_decontaminate": op9_decontaminate,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
