@@ -36,6 +36,7 @@ from paxflow.llm.components import components
 from paxflow.llm.keyfilter import hits, key_filter
 from paxflow.llm.store import stored
 from paxflow.llm.words import Splitter, Words, combine, mix, runs, slices
+from paxflow.plans.sizing import bounded_broadcast
 
 SHINGLE = 5
 ORDER_SALTS = (0, 0x51ED270B, 0x2545F491)
@@ -43,6 +44,8 @@ ORDER_SALTS = (0, 0x51ED270B, 0x2545F491)
 CHUNK_SETS = 2000
 BLOCK_SETS = 1000
 COLUMNS = 4096
+# Cluster rows (32 bytes each) up to this many may be sent to every task; more are joined by shuffle.
+SMALL_LIST = 1_000_000
 MANY = 0  # owner of a token that several classes of the slice hold
 
 
@@ -54,7 +57,7 @@ def overlap_needed(n: np.ndarray) -> np.ndarray:
 def spare(n: np.ndarray) -> np.ndarray:
     """Tokens by which the first prefix is longer than it must be; two linked
     sets share that many prefix tokens (of the smaller allowance)."""
-    return np.maximum(1, n // 20)
+    return np.maximum(1, n // 10)
 
 
 def shingle_sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -180,8 +183,9 @@ def _first_pass(rows: DataFrame, n: int) -> DataFrame:
     return stored(sent.groupBy("bucket").applyInPandas(count, "sig bigint, shared bigint, id bigint, n bigint"), "shingles")
 
 
-def _sets(rows: DataFrame, sigs: DataFrame, n: int) -> DataFrame:
-    """``sig, tokens`` of the classes listed, one row each."""
+def _sets(rows: DataFrame, sigs: DataFrame, n: int, chunks: int) -> DataFrame:
+    """``chunk, sig, tokens`` of the classes listed, one row each (and of a
+    few others that the filter lets through; they are not told apart here)."""
     bits = rows.sparkSession.sparkContext.broadcast(key_filter(sigs.select(F.col("sig").alias("key"))))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,8 +203,8 @@ def _sets(rows: DataFrame, sigs: DataFrame, n: int) -> DataFrame:
                     ["sig", "tokens"],
                 )
 
-    once = rows.mapInArrow(emit, "sig bigint, tokens binary").groupBy("sig").agg(F.first("tokens").alias("tokens"))
-    return once.join(sigs, "sig")
+    sent = rows.mapInArrow(emit, "sig bigint, tokens binary").withColumn("chunk", F.pmod(F.xxhash64("sig"), F.lit(chunks)))
+    return sent.repartition("chunk").groupBy("chunk", "sig").agg(F.first("tokens").alias("tokens"))
 
 
 # ------------------------------------------------------------------ rarity
@@ -210,17 +214,23 @@ def with_frequencies(sets: DataFrame) -> DataFrame:
     """``sets`` (sig, tokens, chunk, ...) plus ``counts``: in how many sets each token occurs (uint32)."""
     buckets = bucket_count(sets)
 
-    def tell(part: pd.DataFrame) -> pd.DataFrame:
-        key, count = np.unique(np.frombuffer(b"".join(part["tokens"]), np.uint64), return_counts=True)
-        cut = _by_bucket(key, buckets)
-        return pd.DataFrame(
-            {
-                "bucket": np.array([b for b, _ in cut], np.int32),
-                "chunk": np.full(len(cut), part["chunk"].iloc[0]),
-                "keys": [key[s].tobytes() for _, s in cut],
-                "counts": [count[s].astype(np.uint32).tobytes() for _, s in cut],
-            }
-        )
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A chunk lies in one file; should it be read in parts, its counts arrive in parts.
+        for batch in batches:
+            chunk = batch.column(0).to_numpy()
+            for own in np.unique(chunk).tolist():
+                tokens = batch.column(1).filter(pa.array(chunk == own)).to_pylist()
+                key, count = np.unique(np.frombuffer(b"".join(tokens), np.uint64), return_counts=True)
+                cut = _by_bucket(key, buckets)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([b for b, _ in cut], pa.int32()),
+                        pa.array([own] * len(cut), pa.int64()),
+                        pa.array([key[s].tobytes() for _, s in cut], pa.binary()),
+                        pa.array([count[s].astype(np.uint32).tobytes() for _, s in cut], pa.binary()),
+                    ],
+                    ["bucket", "chunk", "keys", "counts"],
+                )
 
     def add(part: pd.DataFrame) -> pd.DataFrame:
         key = np.frombuffer(b"".join(part["keys"]), np.uint64)
@@ -239,10 +249,9 @@ def with_frequencies(sets: DataFrame) -> DataFrame:
     def merge(sets: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         if sets.empty:
             return sets.assign(counts=[])
-        key = np.frombuffer(b"".join(told["keys"]), np.uint64)
-        count = np.frombuffer(b"".join(told["counts"]), np.uint32)
-        order = np.argsort(key)
-        key, count = np.r_[key[order], np.uint64(0)], np.r_[count[order], np.uint32(0)]
+        key, first = np.unique(np.frombuffer(b"".join(told["keys"]), np.uint64), return_index=True)
+        count = np.frombuffer(b"".join(told["counts"]), np.uint32)[first]
+        key, count = np.r_[key, np.uint64(0)], np.r_[count, np.uint32(0)]
         out = []
         for raw in sets["tokens"]:
             own = np.frombuffer(raw, np.uint64)
@@ -250,7 +259,7 @@ def with_frequencies(sets: DataFrame) -> DataFrame:
             out.append(np.where((key[at] == own) & (at < len(key) - 1), count[at], 1).astype(np.uint32).tobytes())
         return sets.assign(counts=out)
 
-    told = sets.groupBy("chunk").applyInPandas(tell, "bucket int, chunk bigint, keys binary, counts binary")
+    told = sets.select("chunk", "tokens").mapInArrow(tell, "bucket int, chunk bigint, keys binary, counts binary")
     totals = told.groupBy("bucket").applyInPandas(add, "chunk bigint, keys binary, counts binary")
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sets.schema.fields)
     return sets.groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInPandas(merge, f"{columns}, counts binary")
@@ -401,16 +410,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         members.filter("n > 0").groupBy("sig").agg(F.min("id").alias("low"), F.max("n").alias("n"), F.count("*").alias("size")), "classes"
     )
     # The least number of prefix tokens that a linked class must share (see spare).
-    needed = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * 4 / F.lit(5)) / F.lit(20)))
+    needed = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * 4 / F.lit(5)) / F.lit(10)))
     partners = stored(classes.join(shared, "sig").filter(F.col("shared") >= needed).select("sig", "size"), "partners")
 
     chunks = max(1, partners.count() // CHUNK_SETS)
-    sets = stored(_sets(rows, partners, n).withColumn("chunk", F.pmod(F.xxhash64("sig"), F.lit(chunks))), "sets")
+    sets = stored(_sets(rows, partners, n, chunks), "sets")
     ordered = stored(with_frequencies(sets), "ordered")
     clusters = components(candidate_edges(ordered)).select(F.col("node").alias("sig"), F.col("component").alias("cluster"))
-    clusters = stored(clusters, "clusters")
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / F.lit(BLOCK_SETS)).alias("blocks"))
-    clustered = ordered.join(clusters.join(sizes, "cluster"), "sig")
+    clusters = stored(clusters.join(classes.select("sig", "size"), "sig"), "clusters")
+    blocks = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / F.lit(BLOCK_SETS)).alias("blocks"))
+    clustered = ordered.select("sig", "tokens", "counts").join(bounded_broadcast(clusters.join(blocks, "cluster"), SMALL_LIST), "sig")
     links = stored(_verified(_units(clustered)), "links")
 
     found = components(links.filter("sig <> other").select(F.col("sig").alias("a"), F.col("other").alias("b")))
