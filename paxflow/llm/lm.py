@@ -341,7 +341,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                 word, text, times, owner = word[order], text[order], times[order], owner[order]
                 cuts = np.searchsorted(owner, np.arange(buckets + 1))
                 listed = [b for b in range(buckets) if cuts[b + 1] > cuts[b]]
-                info = turn % buckets
+                info = (task * 7919 + turn * 104729) % buckets
                 if info not in listed:
                     listed.append(info)
                 cut = [slice(cuts[b], cuts[b + 1]) for b in listed]
