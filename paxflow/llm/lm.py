@@ -2,12 +2,13 @@
 
 A text is the bytes of its words, lower-cased, each followed by a space, and
 an end symbol. The tree's states are contexts of up to ``DEPTH`` bytes: a
-context stays if it is frequent enough (``MIN_SHARE`` of all training bytes,
-so there are never more than DEPTH / MIN_SHARE of them) and its next-symbol
-distribution diverges from that of the next shorter context. Distributions
-are smoothed with the shorter context's, down to a uniform one, so every
-text has a probability. Scoring walks an automaton whose state is always the
-longest suffix in the tree.
+context stays if it is frequent enough (``MIN_SHARE`` of all training bytes)
+and its next-symbol distribution diverges from that of the next shorter
+context; of these the ``MAX_CONTEXTS`` that diverge most in all, by
+frequency times divergence, make up the model. Distributions are smoothed
+with the shorter context's, down to a uniform one, so every text has a
+probability. Scoring walks an automaton whose state is always the longest
+suffix in the tree.
 
 Counting runs over all training texts: tasks count byte runs, owners of a
 context's last two bytes add them up and test divergence; only states reach
@@ -33,10 +34,12 @@ from pyspark.sql import functions as F
 from paxflow.llm.store import stored
 from paxflow.llm.words import Splitter, Words, mix, slices
 
-DEPTH = 6
-MIN_SHARE = 2e-6
+DEPTH = 5
+MIN_SHARE = 2e-7
 # Least Kullback-Leibler divergence (nats per symbol) from the shorter context.
-MIN_DIVERGENCE = 0.02
+MIN_DIVERGENCE = 0.002
+# Size of the model: the contexts with the largest divergence in all are kept.
+MAX_CONTEXTS = 120_000
 HOT_SHARE = 1e-4
 END = 0x0A
 GAP = 0x20
@@ -117,7 +120,7 @@ class Tree:
 
 
 def build_tree(contexts: dict[bytes, dict[int, int]]) -> Tree:
-    """The automaton of the contexts kept; they must include the suffixes of each."""
+    """The automaton of the contexts kept."""
     seen = sorted({s for counts in contexts.values() for s in counts})
     column = np.full(256, len(seen), np.int16)
     column[seen] = np.arange(len(seen))
@@ -171,8 +174,8 @@ def _context_counts(runs: np.ndarray, counts: np.ndarray, depth: int) -> tuple[n
     return keys[start], np.add.reduceat(counts[order], start) if len(start) else counts[:0]
 
 
-def _kept_contexts(runs: np.ndarray, counts: np.ndarray, least: float) -> list[tuple[int, int, bytes, bytes]]:
-    """(depth, context, symbols, counts) of the contexts of two bytes and more that stay, and all shorter ones."""
+def _kept_contexts(runs: np.ndarray, counts: np.ndarray, least: float) -> list[tuple[int, int, float, bytes, bytes]]:
+    """(depth, context, gain, symbols, counts) of the contexts of two bytes and more that stay, and all shorter ones."""
     out = []
     kept_before = shorter = None
     for depth in range(1, DEPTH + 1):
@@ -183,6 +186,7 @@ def _kept_contexts(runs: np.ndarray, counts: np.ndarray, least: float) -> list[t
         names = context[start]
         if depth <= 2:
             keep = total >= (least if depth == 2 else 1)
+            gain = np.full(len(total), np.inf)
         else:
             # Divergence from the context without its first byte.
             tail_keys = keys & np.uint64((1 << 8 * depth) - 1)
@@ -190,6 +194,7 @@ def _kept_contexts(runs: np.ndarray, counts: np.ndarray, least: float) -> list[t
             q = s_found[np.searchsorted(s_keys, tail_keys)] / s_total[np.searchsorted(s_names, tail_keys >> np.uint64(8))]
             p = found / np.repeat(total, np.diff(np.r_[start, len(keys)]))
             divergence = np.add.reduceat(p * np.log(p / q), start) if len(start) else p
+            gain = total * divergence
             tails = names & np.uint64((1 << 8 * (depth - 1)) - 1)
             keep = (total >= least) & (divergence >= MIN_DIVERGENCE) & np.isin(tails, kept_before)
         shorter, kept_before = (keys, found, names, total), names[keep]
@@ -197,7 +202,7 @@ def _kept_contexts(runs: np.ndarray, counts: np.ndarray, least: float) -> list[t
         symbol = (keys & np.uint64(0xFF)).astype(np.uint8)
         for k in np.flatnonzero(keep).tolist():
             span = slice(ends[k], ends[k + 1])
-            out.append((depth, int(names[k]), symbol[span].tobytes(), found[span].astype("<i8").tobytes()))
+            out.append((depth, int(names[k]), float(gain[k]), symbol[span].tobytes(), found[span].astype("<i8").tobytes()))
     return out
 
 
@@ -260,17 +265,18 @@ def train(rows: DataFrame) -> tuple[Tree, np.ndarray]:
         counts = np.frombuffer(b"".join(part["counts"]), "<u4").astype(np.int64)
         if part["bucket"].iloc[0] < 0:
             name, which = np.unique(runs, return_inverse=True)
-            kept = [(-1, 0, name.tobytes(), np.bincount(which, counts).astype("<i8").tobytes())]
+            kept = [(-1, 0, 0.0, name.tobytes(), np.bincount(which, counts).astype("<i8").tobytes())]
         else:
             kept = _kept_contexts(*_context_counts(runs, counts, DEPTH), least)
-        return pd.DataFrame(kept, columns=["depth", "context", "symbols", "counts"])
+        return pd.DataFrame(kept, columns=["depth", "context", "gain", "symbols", "counts"])
 
     sent = rows.mapInArrow(count, "bucket int, runs binary, counts binary")
-    kept = sent.groupBy("bucket").applyInPandas(keep, "depth int, context bigint, symbols binary, counts binary")
+    found = stored(sent.groupBy("bucket").applyInPandas(keep, "depth int, context bigint, gain double, symbols binary, counts binary"), "contexts")
+    # Beyond the one and two byte contexts (at most 2**16), MAX_CONTEXTS at most; ties go to the smaller context.
+    best = found.filter("depth > 2").orderBy(F.desc("gain"), "depth", "context").limit(MAX_CONTEXTS)
     contexts: dict[bytes, dict[int, int]] = {b"": {}}
     hot: dict[int, int] = {}
-    # At most DEPTH / MIN_SHARE states, and 2 / HOT_SHARE words from each task.
-    for row in kept.toLocalIterator():
+    for row in found.filter("depth <= 2").unionByName(best).toLocalIterator():
         counts = np.frombuffer(row.counts, "<i8").tolist()
         if row.depth < 0:
             for n, c in zip(np.frombuffer(row.symbols, np.uint64).tolist(), counts, strict=True):
