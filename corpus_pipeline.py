@@ -15,7 +15,7 @@ from paxflow.llm.decontaminate import contaminated
 from paxflow.llm.mixing import mix_plan
 from paxflow.llm.ngram_join import jaccard_components
 from paxflow.llm.queries import tokenizer_file
-from paxflow.llm.tokens import token_digests
+from paxflow.llm.token_store import token_digests
 from paxflow.llm.toxicity import score_texts, train
 from paxflow.plans.sizing import bounded_broadcast, shared_dir
 

@@ -10,9 +10,9 @@ from paxflow.llm.lm import lm_scores
 from paxflow.llm.mixing import mix_plan
 from paxflow.llm.ngram_join import jaccard_components
 from paxflow.llm.pii import pii_digest, pii_spans
-from paxflow.llm.secrets import secret_digest, secret_spans
+from paxflow.llm.secret_scan import secret_digest, secret_spans
 from paxflow.llm.substring import remove_repeats, removal_digest
-from paxflow.llm.tokens import token_digests
+from paxflow.llm.token_store import token_digests
 from paxflow.llm.toxicity import toxicity
 
 

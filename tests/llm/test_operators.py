@@ -9,16 +9,16 @@ import pyarrow as pa
 import pytest
 from brute import jaccard, pii, repeats, secrets, sha, unigram
 
-from paxflow.llm import secrets as sec
+from paxflow.llm import secret_scan as sec
 from paxflow.llm.exact_dedup import exact_dedup, extendible_index
 from paxflow.llm.lm import lm_scores
 from paxflow.llm.mixing import mix_plan
 from paxflow.llm.ngram_join import jaccard_components
 from paxflow.llm.pii import luhn, pii_digest, pii_spans
 from paxflow.llm.queries import tokenizer_file
-from paxflow.llm.secrets import secret_digest, secret_spans
+from paxflow.llm.secret_scan import secret_digest, secret_spans
 from paxflow.llm.substring import FMIndex, remove_repeats, removal_digest
-from paxflow.llm.tokens import Encoder, look_up, perfect_hash, read_digests, slots_of, token_digests, write_tokens
+from paxflow.llm.token_store import Encoder, look_up, perfect_hash, read_digests, slots_of, token_digests, write_tokens
 
 TWO = "doc_id long, text string"
 
