@@ -39,7 +39,6 @@ def _args(argv=None):
     p.add_argument("--day", type=_day, help="top countries of one UTC departure day ('today' allowed)")
     p.add_argument("--stream", action="store_true", help="run continuously over new booking files")
     p.add_argument("--state", help="stream state table path (default under spark.checkpoint.dir)")
-    p.add_argument("--state-horizon", help="stream: drop state of legs departed this long ago, e.g. '400 days'")
     p.add_argument("--top", type=int, default=10)
     p.add_argument("--spark-ui", action="store_true", help="start Spark's web UI (off by default)")
     return p.parse_args(argv)
@@ -77,9 +76,8 @@ def main(argv=None) -> None:
 
         base = a.state or shared_dir(spark, "stream")
         legs = st.stream_legs(st.stream_lines(spark, a.bookings, glob=glob), cfg)
-        query = st.start_leg_state(
-            legs, f"{base}/state", f"{base}/checkpoint", cfg.tie_break, state_horizon=a.state_horizon
-        )
+        show = st.show_top_countries(spark, f"{base}/state", airports, cfg, a.top)
+        query = st.start_leg_state(legs, f"{base}/state", f"{base}/checkpoint", cfg.tie_break, after_batch=show)
         print(f"state table: {base}/state  (read it with paxflow.streaming.stream.read_leg_state)")
         query.awaitTermination()
         return
@@ -89,7 +87,7 @@ def main(argv=None) -> None:
         write_quarantine(quarantine(events, strict=cfg.strict), a.quarantine)
     if a.unknown_airports:
         unknown = unknown_destinations(rule_legs(events, cfg.with_(start=None, end=None, origins=None)), airports)
-        unknown.coalesce(1).write.mode("overwrite").option("header", True).csv(a.unknown_airports)
+        unknown.write.mode("overwrite").option("header", True).csv(a.unknown_airports)
     if a.day:
         day_cfg = cfg.with_(start=a.day, end=a.day)
         enriched = enrich(apply_rules(rule_legs(events, day_cfg), day_cfg), airports, cfg.tz_from)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # Fixed values that define the report's semantics.
 DEFAULT_AIRLINE = "KL"
@@ -23,7 +23,7 @@ def _as_date(value) -> dt.date | None:
         return value
     if isinstance(value, dt.datetime):
         return value.date()
-    return dt.date.fromisoformat(str(value)[:10])
+    return dt.date.fromisoformat(str(value).strip())
 
 
 def parse_codes(text: str | None) -> tuple[str, ...]:
@@ -51,7 +51,6 @@ class RuleConfig:
     tz_from: str = "origin"
     tie_break: str = "cancelled_first"
     strict: bool = False
-    extra: dict = field(default_factory=dict, compare=False)
 
     def __post_init__(self):
         object.__setattr__(self, "start", _as_date(self.start))
@@ -59,8 +58,8 @@ class RuleConfig:
         origins = self.origins
         if isinstance(origins, str):
             origins = parse_codes(origins)
-        if origins is not None:  # None: no origin rule (e.g. origins joined from data)
-            object.__setattr__(self, "origins", tuple(c.strip().upper() for c in origins))
+        if origins is not None:  # None: no origin rule (e.g. origins joined from data); empty: the defaults
+            object.__setattr__(self, "origins", tuple(c.strip().upper() for c in origins) or DEFAULT_ORIGINS)
         if self.start and self.end and self.end < self.start:
             raise ValueError(f"end date {self.end} is before start date {self.start}")
         if self.tz_from not in TZ_FROM:

@@ -32,12 +32,15 @@ def instant_micros(text) -> Column:
     """ISO-8601 text -> epoch microseconds (BIGINT), null when unparsable.
 
     Accepts ``Z`` or a numeric offset, with or without fractions; a value
-    without offset is read as UTC, a bare date as UTC midnight. The common
-    ``...Z`` form costs one parse; no regular expressions are involved.
+    without offset is read as UTC, a bare date as UTC midnight. A full date
+    must come first: the parser itself would complete a bare clock time with
+    the day of the run, and a bare year or month. The common ``...Z`` form
+    costs one parse; no regular expressions are involved.
     """
-    s = _col(text)
+    s = F.trim(_col(text))
+    dated = F.like(s, F.lit("____-__-__%"))
     zoned = F.try_to_timestamp(s)
-    parsed = F.when(F.endswith(s, F.lit("Z")), zoned).otherwise(
+    parsed = F.when(~dated, F.lit(None).cast("timestamp")).when(F.endswith(s, F.lit("Z")), zoned).otherwise(
         F.coalesce(
             F.try_to_timestamp(F.concat(s, F.lit("Z"))),
             F.try_to_timestamp(F.concat(s, F.lit("T00:00:00Z"))),

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from paxflow.config import CONFIRMED, RuleConfig
 from paxflow.functions.instants import departure_window
 from paxflow.operators.status import latest_status
-from paxflow.plans.sizing import bounded_broadcast
-from paxflow.plans.sizing import materialize as materialize_df
+from paxflow.plans.sizing import bounded_broadcast, stored
 from paxflow.schema import LEG_KEY
 
 # ---------------------------------------------------------------- leg level
@@ -85,8 +84,10 @@ def any_departing_from(events: DataFrame, origins) -> DataFrame:
 
 
 def event_legs(events: DataFrame) -> DataFrame:
-    """Leg keys of every event (event_id + key), one generator."""
-    keys = F.flatten(
+    """Every event's legs as narrow facts, one generator: event_id, booking_ts,
+    the leg key and what decides the latest status. Legs need a complete key
+    only; airline and arrival may be missing."""
+    legs = F.flatten(
         F.transform(
             F.filter("passengers", lambda p: p.uci.isNotNull()),
             lambda p: F.transform(
@@ -98,35 +99,32 @@ def event_legs(events: DataFrame) -> DataFrame:
                 ),
                 lambda d: F.struct(
                     p.uci.alias("passenger_uci"),
+                    p.passenger_type.alias("passenger_type"),
+                    p.age.alias("passenger_age"),
+                    d.booking_status.alias("booking_status"),
                     d.origin_airport.alias("origin_airport"),
                     d.destination_airport.alias("destination_airport"),
                     d.departure_ts.alias("departure_ts"),
+                    d.arrival_ts.alias("arrival_ts"),
+                    d.operating_airline.alias("operating_airline"),
                 ),
             ),
         )
     )
-    return events.select("event_id", F.inline(keys))
+    carried = [c for c in ("event_id", "booking_ts", "candidate") if c in events.columns]
+    return events.select(*carried, F.inline(legs))
 
 
-# 16-byte event ids: 2 M of them are a 32 MB broadcast.
-EVENT_ID_BROADCAST_MAX_ROWS = 2_000_000
-
-
-def with_confirmed_leg(events: DataFrame, latest: DataFrame, materialize: bool = True) -> DataFrame:
+def with_confirmed_leg(events: DataFrame, latest: DataFrame) -> DataFrame:
     """F8: events with at least one leg whose latest status is CONFIRMED.
 
     Event legs are semi-joined to the confirmed latest keys (shuffle on the
     leg key; AQE splits a skewed left side) and reduced to distinct event
-    ids (partial aggregation first). With ``materialize`` the ids are
-    checkpointed to the shared folder (computed once, lineage cut) and,
-    when their count is within the bound, broadcast into the final semi
-    join so the wide event rows are never shuffled; beyond the bound both
-    sides are shuffled on the event id.
+    ids (partial aggregation first), which select the events. AQE turns
+    either join into a broadcast where its runtime statistics allow it.
     """
     confirmed_keys = latest.filter(F.col("is_confirmed")).select(*LEG_KEY)
     ids = event_legs(events).join(confirmed_keys, list(LEG_KEY), "left_semi").select("event_id").distinct()
-    if materialize and not events.isStreaming:
-        ids = bounded_broadcast(materialize_df(ids), EVENT_ID_BROADCAST_MAX_ROWS)
     return events.join(ids, "event_id", "left_semi")
 
 
@@ -159,28 +157,29 @@ def qualifying_products(events: DataFrame, cfg: RuleConfig) -> DataFrame:
     )
 
 
-def event_rules(
-    events: DataFrame, cfg: RuleConfig, latest: DataFrame | None = None, materialize: bool = True
-) -> DataFrame:
+def event_rules(events: DataFrame, cfg: RuleConfig) -> DataFrame:
     """date -> airline -> origin -> has a confirmed latest leg.
 
     Each test is "any product", so one product may satisfy the date and
     another the airline; :func:`qualifying_products` re-checks per product.
-    ``latest`` defaults to the latest status over all legs of ``events``.
 
-    ``events`` feeds three branches (latest status, candidate legs, final
-    semi join). With ``materialize`` they are checkpointed once to the
-    shared folder, so the input is parsed once instead of three times
-    (measured 30 % faster on sf0.1; JSON parsing is the dominant cost).
+    Only narrow facts are stored, as Parquet: id, key, status and whether
+    the event passes the three tests (a candidate). Latest status runs on
+    the keys that candidates have, whole groups at a time, so it is exact
+    for them; the wide events are read again and selected by id.
     """
-    from paxflow.sources.bookings import explode_legs
-
-    if materialize and not events.isStreaming:
-        events = materialize_df(events)
-    if latest is None:
-        latest = latest_status(explode_legs(events), cfg.tie_break)
-    kept = any_departure_between(events, cfg.start, cfg.end)
-    kept = any_operated_by(kept, cfg.airline)
+
+    def passing(product) -> Column:
+        return F.exists("products", product)
+
+    candidate = passing(_product_in_window(cfg.start, cfg.end)) & passing(lambda d: d.operating_airline == F.lit(cfg.airline))
     if cfg.origins is not None:
-        kept = any_departing_from(kept, cfg.origins)
-    return with_confirmed_leg(kept, latest)
+        candidate = candidate & passing(lambda d: d.origin_airport.isin(*cfg.origins))
+    candidate = F.coalesce(candidate, F.lit(False))
+    facts = stored(event_legs(events.withColumn("candidate", candidate)), "event-legs")
+    asked = facts.filter("candidate")
+    complete = facts.filter("operating_airline is not null and arrival_ts is not null").drop("event_id", "candidate")
+    grouped = complete.join(asked.select(*LEG_KEY).distinct(), list(LEG_KEY), "left_semi")
+    confirmed = latest_status(grouped, cfg.tie_break).filter(F.col("is_confirmed")).select(*LEG_KEY)
+    ids = asked.join(confirmed, list(LEG_KEY), "left_semi").select("event_id").distinct()
+    return events.join(ids, "event_id", "left_semi")

@@ -17,7 +17,7 @@ from paxflow.operators import report as rp
 from paxflow.operators import rules as ru
 from paxflow.operators.status import latest_status, latest_status_agg
 from paxflow.plans import oracle as q
-from paxflow.plans.pipeline import report_from_legs, rule_legs
+from paxflow.plans.pipeline import observed_report, report_from_legs, rule_legs
 from paxflow.schema import LEG_COLUMNS
 from paxflow.sources import airports as ap
 from paxflow.sources import bookings as bk
@@ -25,6 +25,7 @@ from paxflow.sources import tables as tb
 
 # Fixed parameters of the registered queries.
 REPORT_CFG = RuleConfig(start=dt.date(1995, 1, 1), end=dt.date(1998, 12, 31))
+_EMPTY_CFG = RuleConfig(start=dt.date(2031, 1, 1), end=dt.date(2031, 12, 31))
 EVENT_CFG = RuleConfig(start=dt.date(1996, 1, 1), end=dt.date(1996, 6, 30))
 LEG_RANGE = (dt.date(1996, 1, 1), dt.date(1996, 12, 31))
 EVENT_RANGE = (dt.date(1996, 1, 1), dt.date(1996, 3, 31))
@@ -213,9 +214,7 @@ confirmed_events AS (
 )
 def event_confirmed_semi(spark, sf):
     """F8: events holding at least one leg whose latest status is CONFIRMED."""
-    from paxflow.plans.sizing import materialize
-
-    ev = materialize(events(spark, sf))  # feeds two branches: parse once
+    ev = events(spark, sf)
     latest = latest_status(bk.explode_legs(ev))
     return event_view(ru.with_confirmed_leg(ev, latest))
 
@@ -532,26 +531,23 @@ def top_country_per_day_q(spark, sf):
     return rp.top_country_per_day(enriched)
 
 
-STREAM_FILES = 16
 STREAM_FILES_PER_TRIGGER = 4
 
 
 def _replay_files(spark, sf, purpose: str) -> str:
-    """Booking lines written as .json files under the shared folder,
-    spread round-robin (a block of identical lines cannot pile up in one
-    file)."""
+    """Booking lines written as .json files under the shared folder, as
+    many files as the lines have partitions."""
     from paxflow.plans.sizing import shared_dir
     from paxflow.sources.sinks import write_lines
 
     path = shared_dir(spark, purpose)
-    src = lines(spark, sf)
-    write_lines(src, f"{path}/in", files=STREAM_FILES)
+    write_lines(lines(spark, sf), f"{path}/in")
     return path
 
 
 @register("stream_top_countries", q.with_base(*_report_sql(REPORT_CFG)[:2]) + _TOP_DAY_SQL)
 def stream_top_countries(spark, sf):
-    """S14, ST1-ST7, O4: the lines replayed as a file stream, a few files
+    """S14, ST1-ST7: the lines replayed as a file stream, a few files
     per trigger, latest status kept in the state store (cancellations
     retract), then the top country per day. Must equal the batch answer."""
     from paxflow.streaming import stream as st
@@ -571,9 +567,14 @@ WHERE booking_status = 'CONFIRMED' AND operating_airline = 'KL' AND origin_airpo
 GROUP BY ALL"""
 
 
-@register("stream_daily_counts", q.with_base(q.enrich_cte("e", "legs", "origin")) + _STREAM_COUNTS_SQL)
+_STREAM_PLACED_SQL = f"""
+SELECT *, row_number() OVER (ORDER BY bookings DESC, window_start, country) AS position FROM ({_STREAM_COUNTS_SQL})"""
+
+
+@register("stream_daily_counts", q.with_base(q.enrich_cte("e", "legs", "origin")) + _STREAM_PLACED_SQL)
 def stream_daily_counts(spark, sf):
-    """A7/ST1 literal streaming form: windowed count, complete mode."""
+    """A7/ST1/O4 literal streaming form: windowed count, complete mode,
+    sorted busiest first (``position`` in that order)."""
     from paxflow.streaming import stream as st
 
     base = _replay_files(spark, sf, "stream-counts")
@@ -586,59 +587,114 @@ def stream_daily_counts(spark, sf):
 
 @register("scan_roundtrip", q.with_base() + f"\nSELECT {LEG_SQL} FROM legs")
 def scan_roundtrip(spark, sf):
-    """Lines written as *.json files next to a decoy file, scanned
-    back from the directory with the default *.json filter."""
+    """Lines written as *.json files next to a decoy file of another
+    name in the same folder, scanned back with the default *.json filter."""
     from paxflow.plans.sizing import shared_dir
     from paxflow.sources.sinks import write_lines
 
     path = shared_dir(spark, "scan")
-    write_lines(lines(spark, sf), path, files=8)
-    decoy = spark.createDataFrame([("not a booking",)], "value STRING")
-    write_lines(decoy, f"{path}/notes", extension=".txt")
+    write_lines(lines(spark, sf), path)
+    # appended to the folder itself: only the name filter keeps its line, a valid event, out
+    decoy = spark.createDataFrame([(_DECOY_LINE,)], "value STRING")
+    decoy.write.mode("append").text(path)
     return bk.explode_legs(bk.parse_events(bk.read_booking_events(spark, path)))
 
 
+_DECOY_LINE = (
+    '{"timestamp":"1995-01-01T00:00:00Z","event":{"DataElement":{"travelrecord":{"passengersList":[{"uci":"DECOY",'
+    '"passengerType":"ADT","age":1,"tattoo":1}],"productsList":[{"bookingStatus":"CONFIRMED","flight":{"originAirport":"AMS",'
+    '"destinationAirport":"EIN","departureDate":"1995-01-02","arrivalDate":"1995-01-02","operatingAirline":"KL"}}]}}}}'
+)
+
+
+def _written_report(spark, sf, name, fmt=None):
+    from paxflow.plans.sizing import shared_dir
+    from paxflow.sources.sinks import read_report, write_report
+
+    path = f"{shared_dir(spark, 'report')}/{name}"
+    write_report(rp.report_rows(_report(spark, sf, REPORT_CFG)), path, fmt)
+    return read_report(spark, path, fmt)
+
+
 @register("report_roundtrip", q.with_base(*_report_sql(REPORT_CFG)) + "\n" + _FINAL_SQL)
 def report_roundtrip(spark, sf):
-    """K1-K5: the final report written as labelled CSV and as JSON, read
-    back (CSV) with the declared schema."""
+    """K1, K2, K5: the final report written as labelled CSV, read back with the declared schema."""
+    return _written_report(spark, sf, "report.csv")
+
+
+@register("report_roundtrip_json", q.with_base(*_report_sql(REPORT_CFG)) + "\n" + _FINAL_SQL)
+def report_roundtrip_json(spark, sf):
+    """K3, K5: the same as JSON lines."""
+    return _written_report(spark, sf, "report.json")
+
+
+_POSITION_SQL = f"""
+SELECT *, row_number() OVER (ORDER BY passenger_count DESC, season, day_of_week, country) AS position FROM ({_FINAL_SQL})"""
+
+
+@register("report_roundtrip_json_array", q.with_base(*_report_sql(REPORT_CFG)) + _POSITION_SQL)
+def report_roundtrip_json_array(spark, sf):
+    """K3, K4: the same as one JSON array; ``position`` is the place in the
+    array, which must be the report order."""
     from paxflow.plans.sizing import shared_dir
-    from paxflow.sources.sinks import read_report, write_report
+    from paxflow.sources.sinks import REPORT_DDL, write_report
+
+    path = f"{shared_dir(spark, 'report')}/array"
+    write_report(rp.report_rows(_report(spark, sf, REPORT_CFG)), path, "json_array")
+    fields = ",".join(c.replace(" ", ":", 1) for c in REPORT_DDL.split(", "))
+    rows = spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json("value", f"array<struct<{fields}>>")))
+    return rows.select("col.*", (F.col("pos") + 1).cast("long").alias("position"))
+
+
+@register("empty_report", q.with_base(*_report_sql(_EMPTY_CFG)) + "\nSELECT * FROM rep")
+def empty_report(spark, sf):
+    """Q2: a departure range without departures gives an empty report."""
+    return _report(spark, sf, _EMPTY_CFG)
+
+
+@register(
+    "quarantine_roundtrip",
+    q.with_base() + "\nSELECT 'malformed_json' AS reason, count(*) AS rejects FROM src WHERE k % 101 = 0 AND ln = 1"
+    "\nUNION ALL SELECT 'missing_travelrecord', count(*) FROM src WHERE k % 103 = 0 AND ln = 2",
+)
+def quarantine_roundtrip(spark, sf):
+    """K7: rejects appended as JSON lines in two runs, read back and counted (half of the rows are one run's)."""
+    from paxflow.plans.sizing import shared_dir
+    from paxflow.sources.sinks import write_quarantine
+
+    path = shared_dir(spark, "rejects")
+    rejects = bk.quarantine(lines(spark, sf))
+    write_quarantine(rejects.filter("reason = 'malformed_json'"), path)
+    write_quarantine(rejects.filter("reason <> 'malformed_json'"), path)
+    return spark.read.schema("value STRING, reason STRING").json(path).groupBy("reason").agg(F.count("*").alias("rejects"))
 
-    report = rp.report_rows(_report(spark, sf, REPORT_CFG))
-    path = shared_dir(spark, "report")
-    write_report(report, f"{path}/report.csv")
-    write_report(report, f"{path}/report.json")
-    return read_report(spark, f"{path}/report.csv")
 
+@register(
+    "quarantine_legs",
+    q.with_base() + "\nSELECT 'missing_uci' AS reason, 2 * count(*) AS legs FROM src"
+    "\nWHERE k % 107 = 0 AND NOT (k % 101 = 0 AND ln = 1) AND NOT (k % 103 = 0 AND ln = 2) AND NOT (k % 109 = 0 AND ln = 3)",
+)
+def quarantine_legs_q(spark, sf):
+    """Passenger x product pairs that give no leg, per reason."""
+    return bk.quarantine_legs(lines(spark, sf)).groupBy("reason").agg(F.count("*").alias("legs"))
 
-_STAGE_SQL = """
-SELECT 'lines' AS stage, count(*) AS row_count FROM src
-UNION ALL SELECT 'events', count(*) FROM events
+
+_STAGE_SQL = f"""
+SELECT 'events' AS stage, count(*) AS row_count FROM events
 UNION ALL SELECT 'legs', count(*) FROM legs
-UNION ALL SELECT 'latest', count(*) FROM latest
-UNION ALL SELECT 'rules', count(*) FROM r
+  WHERE origin_airport IN ({q._in(REPORT_CFG.origins)}) AND {q.date_pred("departure_ts", REPORT_CFG.start, REPORT_CFG.end)}
+UNION ALL SELECT 'latest_confirmed', count(*) FROM r
 UNION ALL SELECT 'enriched', count(*) FROM e
 UNION ALL SELECT 'groups', count(*) FROM rep"""
 
 
 @register("stage_counts", q.with_base(*_report_sql(REPORT_CFG)) + _STAGE_SQL)
 def stage_counts(spark, sf):
-    """Q1, Q2: row counts per stage as one result (aggregates of each
-    stage; exchanges are reused across the branches)."""
-    raw = lines(spark, sf)
-    ev = bk.parse_events(raw)
-    lg = bk.explode_legs(ev)
-    lt = latest_status(lg)
-    r = ru.apply_rules(lg, REPORT_CFG)
-    e = en.enrich(r, airports(spark, sf), REPORT_CFG.tz_from)
-    g = rp.passenger_report(e)
-    parts = [("lines", raw), ("events", ev), ("legs", lg), ("latest", lt), ("rules", r), ("enriched", e), ("groups", g)]
-    out = None
-    for name, df in parts:
-        c = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("stage"), "row_count")
-        out = c if out is None else out.unionByName(c)
-    return out
+    """Q1: row counts per stage, observed while the report itself is
+    computed once (one parse of the feed, no count per stage)."""
+    report, counts = observed_report(lines(spark, sf), airports(spark, sf), REPORT_CFG)
+    report.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(sorted(counts.get().items()), "stage STRING, row_count BIGINT")
 
 
 @register("passenger_report_from_store", q.with_base(*_report_sql(REPORT_CFG)) + "\nSELECT * FROM rep")

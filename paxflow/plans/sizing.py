@@ -46,12 +46,13 @@ def checkpoint_base(spark: SparkSession) -> str:
     return base
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder and cut its
-    lineage (reliable ``checkpoint()``; survives executor loss, unlike a
-    cache or a local checkpoint). For inputs that feed several branches."""
-    checkpoint_base(df.sparkSession)
-    return df.checkpoint()
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` computed once, as Parquet in the shared folder: cuts lineage,
+    survives executor loss, and readers prune its columns and push filters
+    into it (a checkpointed RDD allows neither)."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:

@@ -56,8 +56,9 @@ def clean_airports(raw: DataFrame) -> DataFrame:
 
     Rows with fewer than 14 fields are skipped (extra trailing fields are
     allowed). ``\\N`` takes the field default, numbers that do not parse
-    become 0. An empty zone stays empty (callers then fall back to another
-    airport), an unknown zone becomes UTC. On duplicate IATA codes the row
+    become 0. A zone is trimmed; an empty or
+    blank one is empty (callers then fall back to another airport), an
+    unknown one becomes UTC. On duplicate IATA codes the row
     with the highest airport_id wins.
     """
     kept = raw.filter(F.col("_bad").isNull() | F.col("source").isNotNull())
@@ -73,7 +74,8 @@ def clean_airports(raw: DataFrame) -> DataFrame:
         else:
             cols[c] = F.when(_token(c), F.lit(TEXT_DEFAULTS[c])).otherwise(F.coalesce(F.col(c), F.lit("")))
     typed = kept.select(*[v.alias(k) for k, v in cols.items()])
-    zone = F.col("tz_database")
+    # The parser behind valid_zone trims, the conversions that use the zone do not.
+    zone = F.trim(F.col("tz_database"))
     typed = typed.withColumn(
         "tz", F.when((zone == "") | valid_zone(zone), zone).otherwise(F.lit("UTC"))
     )

@@ -132,10 +132,11 @@ def _event_columns(record: Column, origins=None) -> list[Column]:
             d.flight.operatingAirline.alias("operating_airline"),
         ),
     )
+    # Hashes of the columns themselves would skip nulls, so a value that moves
+    # to a neighbouring null field would keep the id; the JSON text does not.
+    text = F.to_json(F.struct("timestamp", "event"), {"ignoreNullFields": "false"})
     return [
-        F.struct(
-            F.xxhash64("timestamp", "event").alias("h1"), F.xxhash64(F.lit(7), "timestamp", "event").alias("h2")
-        ).alias("event_id"),
+        F.struct(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(7), text).alias("h2")).alias("event_id"),
         utc_instant("timestamp").alias("booking_ts"),
         passengers.alias("passengers"),
         products.alias("products"),
@@ -229,6 +230,49 @@ def explode_legs(events: DataFrame, product_filter=None, keep_event_id: bool = F
     return events.select(*cols, F.inline(legs))
 
 
+def quarantine_legs(source: DataFrame) -> DataFrame:
+    """S5/S9 at leg level: every passenger x product pair of a kept event
+    that gives no leg (booking_ts, reason, passenger, product as JSON text
+    of the fields as they were read).
+
+    Reasons, first that applies: missing_passenger, missing_uci,
+    missing_product, missing_origin, missing_destination, missing_airline,
+    invalid_departure, invalid_arrival. Legs and these rows together are
+    all passenger x product pairs of the events that :func:`parse_events` keeps.
+    """
+    raw = _raw(source).filter(_reason(False).isNull())
+    record = F.col(_RECORD)
+
+    def why(p: Column, d: Column) -> Column:
+        f = d.flight
+        return (
+            F.when(p.isNull(), "missing_passenger")
+            .when(p.uci.isNull(), "missing_uci")
+            .when(d.isNull() | f.isNull(), "missing_product")
+            .when(f.originAirport.isNull(), "missing_origin")
+            .when(f.destinationAirport.isNull(), "missing_destination")
+            .when(f.operatingAirline.isNull(), "missing_airline")
+            .when(utc_instant(f.departureDate).isNull(), "invalid_departure")
+            .when(utc_instant(f.arrivalDate).isNull(), "invalid_arrival")
+        )
+
+    pairs = F.flatten(
+        F.transform(
+            record.passengersList,
+            lambda p: F.transform(
+                record.productsList,
+                lambda d: F.struct(
+                    utc_instant("timestamp").alias("booking_ts"),
+                    why(p, d).alias("reason"),
+                    F.to_json(F.struct(p.alias("v")), {"ignoreNullFields": "false"}).alias("passenger"),
+                    F.to_json(F.struct(d.alias("v")), {"ignoreNullFields": "false"}).alias("product"),
+                ),
+            ),
+        )
+    )
+    return raw.select(F.inline(F.filter(pairs, lambda x: x["reason"].isNotNull())))
+
+
 def legs_from_lines(source: DataFrame, strict: bool = False, product_filter=None) -> DataFrame:
     """S3: booking lines (or a decoded scan) -> passenger-leg table."""
     return explode_legs(parse_events(source, strict=strict), product_filter=product_filter)

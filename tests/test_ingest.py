@@ -26,6 +26,7 @@ def test_timestamp_forms(spark):
             "2019-06-15",
             "junk",
             None,
+            "12:30:00Z", "T12:30:00Z", "12:30", "2019", "2019-06", "2019-6-1", " 2019-06-15T22:30:00Z ",
         ],
     )
     base = dt.datetime(2019, 6, 15, 22, 30)
@@ -38,6 +39,8 @@ def test_timestamp_forms(spark):
         dt.datetime(2019, 6, 15),
         None,
         None,
+        *[None] * 6,
+        base,
     ]
 
 
@@ -88,10 +91,10 @@ def test_unparsable_departure_drops_the_leg(spark):
 
 def test_airports_fixture(spark):
     dim = {r.iata: r for r in clean_airports(parse_airport_lines(lines_df(spark, AIRPORT_LINES))).collect()}
-    assert sorted(dim) == ["AMS", "JFK", "LHR"]
-    assert dim["AMS"].country == "Netherlands" and dim["AMS"].tz == "Europe/Amsterdam"
-    assert dim["JFK"].timezone_offset == -5.0
-    assert dim["LHR"].altitude == 83
+    assert sorted(dim) == ["EIN", "KEF", "KIX"]
+    assert dim["EIN"].country == "Netherlands" and dim["EIN"].tz == "Europe/Amsterdam"
+    assert dim["KIX"].timezone_offset == 9.0
+    assert dim["KEF"].altitude == 171
 
 
 def test_airport_defaults_duplicates_and_zones(spark, scratch):
@@ -118,6 +121,40 @@ def test_airport_defaults_duplicates_and_zones(spark, scratch):
         )
 
 
+def test_padded_and_blank_zones(spark):
+    from paxflow.operators.enrich import enrich
+
+    lines = [
+        f'{k},"A","X","Land","{code}",\\N,0,0,0,0,E,"{zone}","airport","S"'
+        for k, (code, zone) in enumerate([("LPD", " Europe/London"), ("RPD", "Europe/London "), ("BLK", "  "), ("BAD", " Mars/Base ")])
+    ]
+    dim = clean_airports(parse_airport_lines(lines_df(spark, lines)))
+    assert {r.iata: r.tz for r in dim.collect()} == {"LPD": "Europe/London", "RPD": "Europe/London", "BLK": "", "BAD": "UTC"}
+    legs = spark.createDataFrame(
+        [("p", o, "RPD", dt.datetime(2020, 7, 4, 23, 30)) for o in ("LPD", "RPD", "BLK", "BAD")],
+        "passenger_uci STRING, origin_airport STRING, destination_airport STRING, departure_ts TIMESTAMP_NTZ",
+    )
+    days = {r.origin_airport: r.day_of_week for r in enrich(legs, dim).collect()}
+    assert days == {"LPD": "Sunday", "RPD": "Sunday", "BLK": "Sunday", "BAD": "Saturday"}
+
+
+def test_legs_and_rejected_legs_are_all_pairs(spark):
+    from paxflow.sources.bookings import quarantine_legs
+
+    no_origin = PROD.replace('"originAirport":"AMS",', "")
+    bad_date = PROD.replace("2019-06-15T22:30:00Z", "12:30:00Z")
+    lines = [
+        _event(f"[{GOOD_PAX},{BAD_PAX}]", f"[{PROD},null,{no_origin},{bad_date}]"),
+        _event(f"[{GOOD_PAX},null]", f"[{PROD}]"),
+        _event("[]", f"[{PROD}]"),
+    ]
+    rejects = quarantine_legs(lines_df(spark, lines))
+    got = sorted(r.reason for r in rejects.collect())
+    assert got == ["invalid_departure", "missing_origin", "missing_passenger", "missing_product", *["missing_uci"] * 4]
+    assert explode_legs(parse_events(lines_df(spark, lines))).count() + len(got) == 2 * 4 + 2 * 1
+    assert '"departureDate":"12:30:00Z"' in rejects.filter("reason = 'invalid_departure'").first().product
+
+
 def test_directory_scan_is_not_recursive_and_filters_names(spark, scratch):
     from golden import EVENT_LINES, write_files
 

@@ -13,33 +13,42 @@ ENRICHED_DDL = (
 T = dt.datetime
 
 
+NOON = T(2022, 2, 10, 12)  # a Thursday
+
+
 def enriched(spark):
+    """Three countries and two days; a tie in size, a group of infants without ages, a child among adults."""
     return spark.createDataFrame(
         [
-            ("P1", "ADT", 30, "AMS", "JFK", T(2019, 4, 15, 10), "US", "Monday", "Spring"),
-            ("P2", "ADT", 35, "AMS", "JFK", T(2019, 4, 15, 10), "US", "Monday", "Spring"),
-            ("P3", "CHD", 8, "AMS", "JFK", T(2019, 4, 14, 10), "US", "Sunday", "Spring"),
-            ("P4", "ADT", 40, "AMS", "LHR", T(2019, 4, 15, 10), "UK", "Monday", "Spring"),
+            ("K1", "ADT", 71, "RTM", "OSL", NOON, "Norway", "Thursday", "Winter"),
+            ("K2", "ADT", 18, "RTM", "OSL", NOON, "Norway", "Thursday", "Winter"),
+            ("K3", "CHD", 11, "GRQ", "BGO", NOON, "Norway", "Thursday", "Winter"),
+            ("K4", "INF", None, "RTM", "LIS", NOON, "Portugal", "Thursday", "Winter"),
+            ("K5", "INF", None, "MST", "OPO", NOON, "Portugal", "Thursday", "Winter"),
+            ("K6", "ADT", 27, "RTM", "LIS", T(2022, 2, 13, 6), "Portugal", "Sunday", "Winter"),
+            ("K1", "ADT", 71, "RTM", "MLA", T(2022, 2, 13, 6), "Malta", "Sunday", "Winter"),
         ],
         ENRICHED_DDL,
     )
 
 
 def test_groups_counts_average(spark):
-    got = {(r.country, r.day_of_week): r for r in rp.passenger_report(enriched(spark)).collect()}
-    assert len(got) == 3
-    us = got[("US", "Monday")]
-    assert (us.passenger_count, us.adults_count, us.children_count, us.average_age) == (2, 2, 0, 32.5)
-    child = got[("US", "Sunday")]
-    assert (child.passenger_count, child.adults_count, child.children_count) == (1, 0, 1)
+    got = {(r.country, r.day_of_week): tuple(r)[3:] for r in rp.passenger_report(enriched(spark)).collect()}
+    assert got == {
+        ("Norway", "Thursday"): (3, 2, 1, 33.33),
+        ("Portugal", "Thursday"): (2, 0, 0, None),
+        ("Portugal", "Sunday"): (1, 1, 0, 27.0),
+        ("Malta", "Sunday"): (1, 1, 0, 71.0),
+    }
 
 
 def test_report_rows_null_zero_counts_and_order(spark):
     out = rows(rp.order_report(rp.report_rows(rp.passenger_report(enriched(spark)))))
     assert out == [
-        ("US", "Monday", "Spring", 2, 2, None, 32.5),
-        ("UK", "Monday", "Spring", 1, 1, None, 40.0),
-        ("US", "Sunday", "Spring", 1, None, 1, 8.0),
+        ("Norway", "Thursday", "Winter", 3, 2, 1, 33.33),
+        ("Portugal", "Thursday", "Winter", 2, None, None, None),
+        ("Malta", "Sunday", "Winter", 1, 1, None, 71.0),
+        ("Portugal", "Sunday", "Winter", 1, 1, None, 27.0),
     ]
 
 
@@ -60,21 +69,21 @@ def test_average_null_without_ages(spark):
 
 def test_top_n_and_rank(spark):
     rep = rp.passenger_report(enriched(spark))
-    assert [r.country for r in rp.top_n(rep, 2).collect()] == ["US", "UK"]
+    assert [r.country for r in rp.top_n(rep, 3).collect()] == ["Norway", "Portugal", "Malta"]
     ranked = {(r.country, r.day_of_week): r["rank"] for r in rp.rank_within_season_day(rep).collect()}
-    assert ranked == {("US", "Monday"): 1, ("UK", "Monday"): 2, ("US", "Sunday"): 1}
-    assert rp.rank_within_season_day(rep, 1).count() == 2
+    assert ranked == {("Norway", "Thursday"): 1, ("Portugal", "Thursday"): 2, ("Malta", "Sunday"): 1, ("Portugal", "Sunday"): 1}
+    assert rp.rank_within_season_day(rep, 1).count() == 3
 
 
 def test_day_counts_and_windows(spark):
     e = enriched(spark)
-    day = {r.country: r.passengers for r in rp.day_country_counts(e, dt.date(2019, 4, 15)).collect()}
-    assert day == {"US": 2, "UK": 1}
+    day = {r.country: r.passengers for r in rp.day_country_counts(e, dt.date(2022, 2, 10)).collect()}
+    assert day == {"Norway": 3, "Portugal": 2}
     dup = e.unionByName(e)
-    assert {r.country: r.passengers for r in rp.day_country_counts(dup, dt.date(2019, 4, 15)).collect()} == day
-    raw = rp.day_country_counts(dup, dt.date(2019, 4, 15), distinct=False)
-    assert {r.country: r.passengers for r in raw.collect()} == {"US": 4, "UK": 2}
-    win = {(r.window_start, r.country): r.bookings for r in rp.daily_country_counts(e).collect()}
-    assert win == {(T(2019, 4, 15), "US"): 2, (T(2019, 4, 14), "US"): 1, (T(2019, 4, 15), "UK"): 1}
-    top = rows(rp.top_country_per_day(e).orderBy("departure_day"))
-    assert top == [(dt.date(2019, 4, 14), "US", 1), (dt.date(2019, 4, 15), "US", 2)]
+    assert {r.country: r.passengers for r in rp.day_country_counts(dup, dt.date(2022, 2, 10)).collect()} == day
+    raw = rp.day_country_counts(dup, dt.date(2022, 2, 10), distinct=False)
+    assert {r.country: r.passengers for r in raw.collect()} == {"Norway": 6, "Portugal": 4}
+    win = {(r.window_start.day, r.country): r.bookings for r in rp.daily_country_counts(e).collect()}
+    assert win == {(10, "Norway"): 3, (10, "Portugal"): 2, (13, "Portugal"): 1, (13, "Malta"): 1}
+    top = sorted(rows(rp.top_country_per_day(e)))
+    assert top == [(dt.date(2022, 2, 10), "Norway", 3), (dt.date(2022, 2, 13), "Malta", 1), (dt.date(2022, 2, 13), "Portugal", 1)]

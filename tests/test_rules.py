@@ -17,26 +17,39 @@ LEG_DDL = (
 T = dt.datetime
 
 
-def legs4(spark):
+WINDOW = (dt.date(2022, 11, 5), dt.date(2022, 11, 20))
+
+
+def boundary_legs(spark):
+    """One leg per way to miss a rule, and two that meet them all."""
+    booked, inside = T(2022, 8, 14, 5), T(2022, 11, 12, 3)
+
+    def leg(uci, status="CONFIRMED", origin="MST", departure=inside, airline="KL"):
+        return (uci, "ADT", 44, status, origin, "TLL", departure, departure + dt.timedelta(hours=3), airline, booked)
+
     return spark.createDataFrame(
         [
-            ("PASS1", "ADT", 30, "CONFIRMED", "AMS", "JFK", T(2019, 6, 15, 10), T(2019, 6, 15, 18), "KL", T(2019, 3, 1)),
-            ("PASS2", "ADT", 35, "CONFIRMED", "AMS", "LHR", T(2019, 6, 20, 10), T(2019, 6, 20, 11), "KL", T(2019, 3, 1)),
-            ("PASS3", "CHD", 8, "CANCELLED", "AMS", "CDG", T(2019, 6, 25, 10), T(2019, 6, 25, 11), "AF", T(2019, 3, 1)),
-            ("PASS4", "ADT", 40, "CONFIRMED", "JFK", "LAX", T(2019, 7, 1, 10), T(2019, 7, 1, 16), "KL", T(2019, 3, 1)),
+            leg("first day", departure=T(2022, 11, 5)),
+            leg("last day", origin="GRQ", departure=T(2022, 11, 20, 23, 59)),
+            leg("too late", departure=T(2022, 11, 21)),
+            leg("too early", departure=T(2022, 11, 4, 23, 59)),
+            leg("cancelled", status="CANCELLED"),
+            leg("other airline", airline="BT"),
+            leg("other origin", origin="HEL"),
         ],
         LEG_DDL,
     )
 
 
 def test_leg_filters(spark):
-    legs = legs4(spark)
-    assert ru.departing_between(legs, dt.date(2019, 6, 1), dt.date(2019, 6, 30)).count() == 3
-    assert ru.operated_by(legs, "KL").count() == 3
-    assert ru.departing_from(legs, ("AMS", "EIN")).count() == 3
-    assert ru.confirmed_now(legs).count() == 3
-    cfg = RuleConfig(start=dt.date(2019, 6, 1), end=dt.date(2019, 6, 30))
-    assert sorted(r.passenger_uci for r in ru.apply_rules(legs, cfg).collect()) == ["PASS1", "PASS2"]
+    legs = boundary_legs(spark)
+    names = lambda df: {r.passenger_uci for r in df.collect()}
+    every = names(legs)
+    assert names(ru.departing_between(legs, *WINDOW)) == every - {"too late", "too early"}
+    assert names(ru.operated_by(legs, "KL")) == every - {"other airline"}
+    assert names(ru.departing_from(legs, ("MST", "GRQ"))) == every - {"other origin"}
+    assert names(ru.confirmed_now(legs)) == every - {"cancelled"}
+    assert names(ru.apply_rules(legs, RuleConfig(start=WINDOW[0], end=WINDOW[1]))) == {"first day", "last day"}
 
 
 def test_date_bounds_are_inclusive_utc_days(spark):
@@ -85,21 +98,25 @@ def _line(ts, products, uci="P1"):
     )
 
 
-MULTI = _line(
-    "2019-03-01T10:00:00Z",
+RANGE = RuleConfig(start=WINDOW[0], end=WINDOW[1])
+# The middle product alone meets every rule: the others miss the date, the airline, the status and the origin.
+FIVE = _line(
+    "2022-08-14T05:00:00Z",
     [
-        ("CONFIRMED", "AMS", "JFK", "2019-06-15T10:00:00Z", "KL"),
-        ("CONFIRMED", "LHR", "AMS", "2019-06-16T10:00:00Z", "KL"),
-        ("CONFIRMED", "AMS", "CDG", "2019-06-17T10:00:00Z", "AF"),
+        ("CONFIRMED", "RTM", "TLL", "2022-11-21T00:00:00Z", "KL"),
+        ("CONFIRMED", "RTM", "VNO", "2022-11-06T07:00:00Z", "BT"),
+        ("confirmed", "EIN", "RIX", "2022-11-20T23:00:00Z", "KL"),
+        ("CANCELLED", "EIN", "TLL", "2022-11-07T07:00:00Z", "KL"),
+        ("CONFIRMED", "VNO", "EIN", "2022-11-08T07:00:00Z", "KL"),
     ],
 )
 CFG = RuleConfig(start=dt.date(2019, 6, 1), end=dt.date(2019, 6, 30))
 
 
-def test_only_first_product_qualifies(spark):
-    ev = ru.qualifying_products(parse_events(lines_df(spark, [MULTI])), CFG)
+def test_only_the_product_that_meets_all_rules_qualifies(spark):
+    ev = ru.qualifying_products(parse_events(lines_df(spark, [FIVE])), RANGE)
     got = [(p.origin_airport, p.destination_airport) for p in ev.collect()[0].products]
-    assert got == [("AMS", "JFK")]
+    assert got == [("EIN", "RIX")]
 
 
 def test_event_any_leg_vs_leg_level(spark):
@@ -125,18 +142,36 @@ def test_event_has_confirmed_latest_leg(spark):
 
 
 def test_origin_set_from_dimension(spark):
-    codes = spark.createDataFrame([("AMS",), ("AMS",), ("EIN",)], "iata STRING")
-    assert ru.departing_from(legs4(spark), codes).count() == 3
+    codes = spark.createDataFrame([("MST",), ("MST",), ("AMS",)], "iata STRING")
+    assert ru.departing_from(boundary_legs(spark), codes).count() == 5
 
 
-def test_event_rules_materialized_or_not_agree(spark):
+def test_event_rules_follow_the_latest_status(spark):
     lines = [
-        MULTI,
-        _line("2019-03-02T10:00:00Z", [("CANCELLED", "AMS", "JFK", "2019-06-15T10:00:00Z", "KL")]),
-        _line("2019-03-01T10:00:00Z", [("CONFIRMED", "AMS", "LHR", "2019-06-20T10:00:00Z", "KL")], uci="P2"),
-        _line("2019-03-01T10:00:00Z", [("CONFIRMED", "EIN", "LHR", "2019-07-20T10:00:00Z", "KL")], uci="P3"),
+        FIVE,
+        _line("2022-08-15T05:00:00Z", [("CANCELLED", "EIN", "RIX", "2022-11-20T23:00:00Z", "KL")]),
+        _line("2022-08-14T05:00:00Z", [("CONFIRMED", "AMS", "TLL", "2022-11-10T10:00:00Z", "KL")], uci="P2"),
+        _line("2022-08-14T05:00:00Z", [("CONFIRMED", "AMS", "TLL", "2022-12-10T10:00:00Z", "KL")], uci="P3"),
+        # once confirmed, cancelled by a later event outside the rules of the first
+        _line("2022-08-14T05:00:00Z", [("CONFIRMED", "AMS", "RIX", "2022-11-11T10:00:00Z", "KL")], uci="P4"),
+        _line("2022-08-16T05:00:00Z", [("CANCELLED", "AMS", "RIX", "2022-11-11T10:00:00Z", "BT")], uci="P4"),
     ]
     events = parse_events(lines_df(spark, lines))
-    a = sorted(r.passengers[0].uci for r in ru.event_rules(events, CFG).collect())
-    b = sorted(r.passengers[0].uci for r in ru.event_rules(events, CFG, materialize=False).collect())
-    assert a == b == ["P1", "P2"]
+    got = sorted(r.passengers[0].uci for r in ru.event_rules(events, RANGE).collect())
+    # P1 stays: the event's other legs are still confirmed
+    assert got == ["P1", "P2"]
+
+
+def test_events_that_differ_by_a_missing_date_are_told_apart(spark):
+    """Equal values in neighbouring fields: only the event that has the confirmed leg stays."""
+    when = "2022-11-10T10:00:00Z"
+    template = _line("2022-08-14T05:00:00Z", [("CONFIRMED", "AMS", "TLL", when, "KL")], uci="Q")
+    both = f'"departureDate":"{when}","arrivalDate":"{when}"'
+    no_arrival = template.replace(both, f'"departureDate":"{when}"')
+    no_departure = template.replace(both, f'"arrivalDate":"{when}"')
+    events = parse_events(lines_df(spark, [no_arrival, no_departure, template]))
+    assert len({tuple(r.event_id) for r in events.collect()}) == 3
+    latest = latest_status(explode_legs(events))
+    kept = ru.with_confirmed_leg(events, latest).collect()
+    assert sorted(p.arrival_ts is None for r in kept for p in r.products) == [False, True]
+    assert all(r.products[0].departure_ts is not None for r in kept)
