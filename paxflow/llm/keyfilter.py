@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paxflow.llm.memory import frees_memory
+
 BITS_PER_KEY = 12
 MAX_BYTES = 64 << 20
 BLOCK_BYTES = 1 << 16
@@ -40,6 +42,7 @@ def key_filter(keys: DataFrame, column: str = "key") -> np.ndarray:
     while n_bytes < min(wanted, MAX_BYTES):
         n_bytes *= 2
 
+    @frees_memory
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = batch.column(0).to_numpy().astype(np.int64).view(np.uint64)
@@ -49,6 +52,7 @@ def key_filter(keys: DataFrame, column: str = "key") -> np.ndarray:
             at.sort()
             yield pa.RecordBatch.from_arrays([pa.array(at // (BLOCK_BYTES * 8)), pa.array(at % (BLOCK_BYTES * 8))], ["block", "bit"])
 
+    @frees_memory
     def fill(part):
         import pandas as pd
 

@@ -31,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paxflow.llm.memory import frees_memory
 from paxflow.llm.store import stored
 from paxflow.llm.words import Splitter, Words, mix, slices
 
@@ -231,6 +232,7 @@ def train(rows: DataFrame) -> tuple[Tree, np.ndarray]:
         runs, counts = np.concatenate([r for r, _ in held]), np.concatenate([c for _, c in held])
         return _context_counts(runs, counts, DEPTH)
 
+    @frees_memory
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter, held, hot = Splitter(lower=True), [], {}
         tokens = 0
@@ -260,6 +262,7 @@ def train(rows: DataFrame) -> tuple[Tree, np.ndarray]:
                 ["bucket", "runs", "counts"],
             )
 
+    @frees_memory
     def keep(part: pd.DataFrame) -> pd.DataFrame:
         runs = np.frombuffer(b"".join(part["runs"]), np.uint64)
         counts = np.frombuffer(b"".join(part["counts"]), "<u4").astype(np.int64)
@@ -318,6 +321,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     buckets = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     id_type = rows.schema["id"].dataType.simpleString()
 
+    @frees_memory
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         column, width, follow, log10, frequent = shipped.value
         tree, splitter, turn = Tree(column, width, follow, log10), Splitter(lower=True), 0
@@ -377,6 +381,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         f" ids array<{id_type}>, tokens array<bigint>, scores array<double>, cuts binary, hot binary, hot_times binary",
     )
 
+    @frees_memory
     def own(part: pa.Table) -> pa.Table:
         column = {n: part.column(n).to_pylist() for n in ("slice", "rows", "words", "texts", "times", "trained", "cuts", "hot", "hot_times")}
         word = np.frombuffer(b"".join(column["words"]), np.uint64)
@@ -433,6 +438,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     spread = math.log10(n_train + 0.5 * (vocabulary + 1))
     end_part, end_known = math.log10(train_rows + 0.5), int(train_rows > 0)
 
+    @frees_memory
     def finish(part: pa.Table) -> pa.Table:
         base = np.sum([np.array(b) for b in part.column("base").to_pylist()], axis=0)
         known = np.sum([np.array(b) for b in part.column("known").to_pylist()], axis=0)

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from paxflow.llm.components import components
 from paxflow.llm.keyfilter import hits, key_filter
+from paxflow.llm.memory import frees_memory
 from paxflow.llm.store import stored
 from paxflow.llm.words import Splitter, Words, combine, mix, runs, slices
 from paxflow.plans.sizing import bounded_broadcast
@@ -111,6 +112,7 @@ def _first_pass(rows: DataFrame, n: int) -> DataFrame:
     """``id, n, sig`` per row and ``sig, shared`` per class and bucket, in one table."""
     buckets = bucket_count(rows)
 
+    @frees_memory
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = Splitter(lower=True)
         turn = 0
@@ -150,6 +152,7 @@ def _first_pass(rows: DataFrame, n: int) -> DataFrame:
                     ["bucket", "keys", "owners", "shared", "ids", "sizes", "sigs"],
                 )
 
+    @frees_memory
     def count(part: pd.DataFrame) -> pd.DataFrame:
         key = np.frombuffer(b"".join(part["keys"]), np.uint64)
         owner = np.frombuffer(b"".join(part["owners"]), np.int64)
@@ -188,6 +191,7 @@ def _sets(rows: DataFrame, sigs: DataFrame, n: int, chunks: int) -> DataFrame:
     few others that the filter lets through; they are not told apart here)."""
     bits = rows.sparkSession.sparkContext.broadcast(key_filter(sigs.select(F.col("sig").alias("key"))))
 
+    @frees_memory
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter, sent = Splitter(lower=True), set()
         for batch in batches:
@@ -214,6 +218,7 @@ def with_frequencies(sets: DataFrame) -> DataFrame:
     """``sets`` (sig, tokens, chunk, ...) plus ``counts``: in how many sets each token occurs (uint32)."""
     buckets = bucket_count(sets)
 
+    @frees_memory
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A chunk lies in one file; should it be read in parts, its counts arrive in parts.
         for batch in batches:
@@ -232,6 +237,7 @@ def with_frequencies(sets: DataFrame) -> DataFrame:
                     ["bucket", "chunk", "keys", "counts"],
                 )
 
+    @frees_memory
     def add(part: pd.DataFrame) -> pd.DataFrame:
         key = np.frombuffer(b"".join(part["keys"]), np.uint64)
         count = np.frombuffer(b"".join(part["counts"]), np.uint32).astype(np.int64)
@@ -246,6 +252,7 @@ def with_frequencies(sets: DataFrame) -> DataFrame:
             out.append((chunk, key[a:b][common].tobytes(), np.minimum(total[a:b][common], 0xFFFFFFFF).astype(np.uint32).tobytes()))
         return pd.DataFrame(out, columns=["chunk", "keys", "counts"])
 
+    @frees_memory
     def merge(sets: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         if sets.empty:
             return sets.assign(counts=[])
@@ -276,6 +283,7 @@ def prefix(tokens: np.ndarray, counts: np.ndarray, salt: int) -> np.ndarray:
 def candidate_edges(ordered: DataFrame) -> DataFrame:
     """``a, b``: each class and the smallest class that shares one of its prefix tokens."""
 
+    @frees_memory
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, sigs = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
@@ -361,6 +369,7 @@ def verify(sets: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def _verified(sets: DataFrame) -> DataFrame:
     """``sig, other, links`` from units of sets: columns unit, cluster, block, sig, size, tokens, counts."""
 
+    @frees_memory
     def check(part: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"sig": np.empty(0, np.int64), "other": np.empty(0, np.int64), "links": np.empty(0, np.int64)})]
         for _, own in part.groupby("cluster", sort=False):

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paxflow.llm.memory import frees_memory
+
 KINDS = ("email", "ip", "card", "phone", "url_login", "iban", "ssn", "account")
 SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
 CUES = {"iban": "iban", "ssn": "ssn", "social security": "ssn", "account": "account", "acct": "account"}
@@ -129,6 +131,7 @@ def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
 
+    @frees_memory
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = anchors()
         kind = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])

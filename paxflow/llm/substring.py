@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paxflow.llm.keyfilter import hits, key_filter
+from paxflow.llm.memory import frees_memory
 from paxflow.llm.store import stored
 from paxflow.llm.words import Splitter, Words, combine, mix, runs, slices
 
@@ -154,6 +155,7 @@ def _ids(batch: pa.RecordBatch) -> np.ndarray:
 def shared_anchors(rows: DataFrame, window: int, gram: int) -> DataFrame:
     """``key``: anchors that occur under at least two ids."""
 
+    @frees_memory
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = Splitter(lower=False)
         for batch in batches:
@@ -188,6 +190,7 @@ def segments(rows: DataFrame, bits: np.ndarray, window: int, gram: int, once: bo
     """
     shipped = rows.sparkSession.sparkContext.broadcast(bits)
 
+    @frees_memory
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter, held = Splitter(lower=False), shipped.value
         sent: dict[int, tuple[int, int]] = {}
@@ -293,6 +296,7 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int)
         .agg(F.min("id").alias("low"), F.max("id").alias("high"), F.first("words").alias("words"))
     )
 
+    @frees_memory
     def of_shard(part: pa.Table) -> pa.Table:
         return earliest(part, window)
 
@@ -331,6 +335,7 @@ def remove_repeats(
             hit = hits(bits.value, batch.column(4).to_numpy().view(np.uint64))
             yield batch.filter(pa.array(hit == wanted))
 
+    @frees_memory
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = Splitter(lower=False)
         for whole in batches:

@@ -31,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paxflow.llm.memory import frees_memory
 from paxflow.llm.words import Splitter, buffer_of, mix, slices
 from paxflow.plans.sizing import shared_dir
 
@@ -310,6 +311,7 @@ def write_tokens(
     order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
     id_type = rows.schema["id"].dataType.simpleString()
 
+    @frees_memory
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder, out, offset = encoder_of_process(shipped.value), None, 0
@@ -368,6 +370,7 @@ def write_index(spark: SparkSession, folder: str) -> int:
         "bucket", F.pmod("key", F.lit(buckets))
     )
 
+    @frees_memory
     def build(part: pd.DataFrame) -> pd.DataFrame:
         prints = part["fingerprint"].to_numpy().astype(np.uint64)
         keys = mix(part["key"].to_numpy().astype(np.uint64)) ^ prints
@@ -402,6 +405,7 @@ def look_up(store: TokenStore, wanted: DataFrame) -> DataFrame:
     )
     id_type = wanted.schema["id"].dataType.simpleString()
 
+    @frees_memory
     def probe(asked: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
         out = asked[["id", "occurrence"]].copy()
         if index.empty or asked.empty:
@@ -428,6 +432,7 @@ def read_digests(store: TokenStore, wanted: DataFrame) -> DataFrame:
     id_type = wanted.schema["id"].dataType.simpleString()
     width, folder = store.id_bytes, store.folder
 
+    @frees_memory
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = file_system(folder)
         open_shard, source = None, None

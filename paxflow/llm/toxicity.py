@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paxflow.llm.memory import frees_memory
+
 # Training uses at most this many labelled rows of each class, the first by
 # the MD5 of their id, among rows of at most TRAIN_CHARS characters.
 TRAIN_TOXIC = 3000
@@ -191,6 +193,7 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     fields = [f for f in docs.schema.fields if f.name != "score"]
     kept = docs.select(*[F.col(f"`{f.name}`") for f in fields])
 
+    @frees_memory
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = model.scorer()
         for batch in batches:
