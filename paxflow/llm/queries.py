@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from paxflow.llm import secret_scan
 from paxflow.llm.decontaminate import contaminated
 from paxflow.llm.exact_dedup import exact_dedup
 from paxflow.llm.lm import lm_scores
@@ -79,7 +80,79 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
 }
 
+def _located(kind: str, order: int, pattern: str) -> str:
+    """All leftmost matches of a pattern with their positions: lengths of the pieces between them and of themselves, added up."""
+    return f"""
+        SELECT doc_id, '{kind}' AS kind, {order} AS ord, hit, before + length(gap) AS start, before + length(gap) + length(hit) AS stop FROM (
+            SELECT doc_id, hits[i] AS hit, gaps[i] AS gap,
+                   coalesce(sum(length(gaps[i]) + length(hits[i])) OVER (
+                       PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+            FROM (SELECT doc_id, hits, gaps, unnest(range(1, len(hits) + 1)) AS i FROM (
+                SELECT doc_id, regexp_extract_all(t, '{pattern}') AS hits, string_split_regex(t, '{pattern}') AS gaps FROM d)))"""
+
+
+def _any_case(*words: str) -> str:
+    return "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in words)
+
+
+_ASSIGN = (
+    f"(?:{_any_case('password', 'passwd', 'secret', 'token')}|{_any_case('api')}_?{_any_case('key')})"
+    # a quote inside SQL text is doubled
+    r"""["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+"""
+)
+_SECRETS_SQL = f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    assign AS ({_located("assign", 0, "@ASSIGN@")}),
+    candidates AS ({_located("candidate", 3, secret_scan.CANDIDATE)}),
+    tested AS (
+        SELECT doc_id, hit, start, CASE WHEN regexp_matches(hit, '^[0-9a-fA-F]+$') THEN {secret_scan.HEX_BITS} ELSE {secret_scan.MIXED_BITS} END AS bits
+        FROM candidates WHERE {" AND ".join(f"NOT regexp_matches(hit, '{p}')" for p in secret_scan.ALLOWED)}),
+    windows AS (
+        SELECT doc_id, start AS cand, start + w AS pos FROM (
+            SELECT *, unnest(range(0, length(hit) - {secret_scan.WINDOW - 1})) AS w FROM tested)
+        WHERE list_aggregate(string_split(substr(hit, w + 1, {secret_scan.WINDOW}), ''), 'entropy') >= bits - 1e-9),
+    marked AS (
+        SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY doc_id, cand ORDER BY pos) <= {secret_scan.WINDOW} THEN 0 ELSE 1 END AS new FROM windows),
+    islands AS (SELECT doc_id, cand, pos, sum(new) OVER (PARTITION BY doc_id, cand ORDER BY pos) AS island FROM marked),
+    spans AS (
+        SELECT doc_id, kind, ord, start, stop FROM assign WHERE length(regexp_extract(hit, '[A-Za-z0-9+/_.=-]+$')) >= 12
+        UNION ALL SELECT doc_id, kind, ord, start, stop FROM ({_located("access", 1, secret_scan.ACCESS)})
+        UNION ALL SELECT doc_id, kind, ord, start, stop FROM ({_located("hex", 2, secret_scan.HEX)})
+        UNION ALL SELECT doc_id, 'entropy', 3, min(pos), max(pos) + {secret_scan.WINDOW} FROM islands GROUP BY doc_id, cand, island),
+    listed AS (SELECT doc_id, kind, ord, start, kind || ':' || start || ':' || stop AS span FROM spans),
+    sums AS (
+        SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+               count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (kind = 'entropy') AS n_entropy,
+               coalesce(string_agg(span, ',' ORDER BY start, ord) FILTER (ord < 3), '') AS base, string_agg(span, ',' ORDER BY start, ord) AS spans
+        FROM listed GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+           sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_entropy, 0) AS n_entropy
+    FROM d LEFT JOIN sums USING (doc_id)
+""".replace("@ASSIGN@", _ASSIGN)
+
 SQL = {
+    "op1_secret_scan": _SECRETS_SQL,
+    "op2_ngram_join": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle
+            FROM d),
+        n AS (SELECT d.doc_id, count(shingle) AS n_shingles FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id),
+        o AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_have
+            FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+        l AS (
+            SELECT x, y FROM o JOIN n p ON x = p.doc_id JOIN n q ON y = q.doc_id
+            WHERE 100 * both_have >= 80 * (p.n_shingles + q.n_shingles - both_have)),
+        r AS (SELECT doc_id, doc_id AS reached FROM d UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.reached = l.x),
+        c AS (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id),
+        k AS (SELECT x AS doc_id, count(*) AS n_links FROM l GROUP BY x)
+        SELECT doc_id, n_shingles, component_id, coalesce(n_links, 0) AS n_links FROM n JOIN c USING (doc_id) LEFT JOIN k USING (doc_id)
+    """,
     # The water level is the largest over all numbers of capped sources, taken in the order of cap per weight.
     "op7_mix_sources": r"""
         WITH d AS (
