@@ -559,6 +559,35 @@ def stream_top_countries(spark, sf):
     return st.top_countries_from_state(spark, f"{base}/state", airports(spark, sf), REPORT_CFG)
 
 
+_NO_DATES_CFG = RuleConfig()
+_OUTLIER_LINE = (
+    '{"timestamp":"1992-01-01T00:00:00Z","event":{"DataElement":{"travelrecord":{"passengersList":[{"uci":"OUTLIER",'
+    '"passengerType":"ADT","age":1,"tattoo":1}],"productsList":[{"bookingStatus":"CONFIRMED","flight":{"originAirport":"EIN",'
+    '"destinationAirport":"AMS","departureDate":"2999-01-01","arrivalDate":"2999-01-01","operatingAirline":"KL"}}]}}}}'
+)
+
+
+@register(
+    "stream_late_and_outlier",
+    q.with_base(*_report_sql(_NO_DATES_CFG)[:2]) + _TOP_DAY_SQL + "\nUNION ALL SELECT DATE '2999-01-01', 'Netherlands', 1",
+)
+def stream_late_and_outlier(spark, sf):
+    """ST3: a departure of the year 2999 arrives in the first file; then the
+    feed, whose files mix early and late bookings and cancellations. No
+    cancellation may be lost: the answer equals the batch SQL."""
+    from paxflow.plans.sizing import shared_dir
+    from paxflow.sources.sinks import write_lines
+    from paxflow.streaming import stream as st
+
+    base = shared_dir(spark, "stream-late")
+    write_lines(spark.createDataFrame([(_OUTLIER_LINE,)], "value STRING"), f"{base}/in")
+    write_lines(lines(spark, sf), f"{base}/in", mode="append")
+    legs_s = st.stream_legs(st.stream_lines(spark, f"{base}/in", 1), _NO_DATES_CFG)
+    query = st.start_leg_state(legs_s, f"{base}/state", f"{base}/checkpoint", available_now=True, compact_every=2)
+    query.awaitTermination()
+    return st.top_countries_from_state(spark, f"{base}/state", airports(spark, sf), _NO_DATES_CFG)
+
+
 _STREAM_COUNTS_SQL = f"""
 SELECT date_trunc('day', departure_ts) AS window_start, date_trunc('day', departure_ts) + INTERVAL 1 DAY AS window_end,
        country, count(*) AS bookings
