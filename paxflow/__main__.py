@@ -51,7 +51,7 @@ def main(argv=None) -> None:
     from paxflow.operators.report import day_country_counts, order_report, report_rows, top_countries
     from paxflow.operators.rules import apply_rules, departing_from
     from paxflow.plans.pipeline import observed_report, report_from_legs, rule_legs
-    from paxflow.plans.sizing import shared_dir
+    from paxflow.plans.sizing import shared_dir, stored
     from paxflow.sources.airports import country_airports, read_airports
     from paxflow.sources.bookings import quarantine, read_booking_events
     from paxflow.sources.sinks import read_report, write_quarantine, write_report
@@ -61,7 +61,7 @@ def main(argv=None) -> None:
     if not a.spark_ui:
         builder = builder.config("spark.ui.enabled", "false")
     spark = builder.getOrCreate()
-    airports = read_airports(spark, a.airports)
+    airports = stored(read_airports(spark, a.airports), "airports")
     # --origin-country: origins come from the airport data through a semi
     # join (broadcast behind a size check), never through the driver.
     origins = None if a.origin_country else parse_codes(a.origins)

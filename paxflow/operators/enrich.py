@@ -22,8 +22,9 @@ def enrich(legs: DataFrame, airports: DataFrame, tz_from: str = "origin") -> Dat
     when the origin is unknown or its zone is empty, else UTC.
     ``tz_from="destination"``: the destination's zone, else UTC.
     Season comes from the UTC month of departure. The dimension is
-    broadcast behind a row-count check; both lookups use the same
-    dimension plan, so its broadcast is built once and reused.
+    broadcast behind a row-count check (a job when this is called); the two
+    lookups read different columns of it, so a dimension that is costly to
+    compute should be stored first, as the batch entry points do.
     """
     dim = bounded_broadcast(zone_columns(airports))
     d, o = dim.alias("_d"), dim.alias("_o")

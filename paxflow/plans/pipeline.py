@@ -17,6 +17,7 @@ from paxflow.config import RuleConfig
 from paxflow.operators.enrich import enrich
 from paxflow.operators.report import passenger_report, report_rows
 from paxflow.operators.rules import apply_rules
+from paxflow.plans.sizing import stored
 from paxflow.sources.airports import read_airports
 from paxflow.sources.bookings import explode_legs, parse_events, product_key_filter, read_booking_events
 
@@ -83,7 +84,8 @@ def run_report(
 ) -> DataFrame:
     """Batch entry: booking files + airport file -> ordered report rows."""
     lines = read_booking_events(spark, bookings_path, glob=glob)
-    airports = read_airports(spark, airports_path)
+    # parsed once for the size check and both lookups
+    airports = stored(read_airports(spark, airports_path), "airports")
     from paxflow.operators.report import order_report
 
     return order_report(report_rows(report_from_lines(lines, airports, cfg)))
