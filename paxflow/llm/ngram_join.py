@@ -47,6 +47,7 @@ BLOCK_SETS = 1000
 COLUMNS = 4096
 # Cluster rows (32 bytes each) up to this many may be sent to every task; more are joined by shuffle.
 SMALL_LIST = 1_000_000
+NO_ID = -(1 << 63)  # a null id
 MANY = 0  # owner of a token that several classes of the slice hold
 
 
@@ -145,7 +146,7 @@ def _first_pass(rows: DataFrame, n: int) -> DataFrame:
                         pa.array([out.get(b, (none, none))[0].tobytes() for b in listed], pa.binary()),
                         pa.array([out.get(b, (none, none))[1].tobytes() for b in listed], pa.binary()),
                         pa.array([local.get(b, none).tobytes() for b in listed], pa.binary()),
-                        pa.array([part.column(0).to_pylist() if b == info else None for b in listed], pa.list_(pa.int64())),
+                        pa.array([part.column(0).fill_null(NO_ID).to_numpy().tobytes() if b == info else b"" for b in listed], pa.binary()),
                         pa.array([sizes.astype(np.int64).tobytes() if b == info else b"" for b in listed], pa.binary()),
                         pa.array([sigs.tobytes() if b == info else b"" for b in listed], pa.binary()),
                     ],
@@ -170,18 +171,20 @@ def _first_pass(rows: DataFrame, n: int) -> DataFrame:
         pairs = np.concatenate([pairs, np.frombuffer(b"".join(part["shared"]), np.int64)])
         sig, shared = np.unique(pairs, return_counts=True)
         told = part[part["sigs"].map(len) > 0]
-        ids = [i for some in told["ids"] for i in some]
+        ids = np.frombuffer(b"".join(told["ids"]), np.int64)
+        own = pd.array(ids, "Int64")
+        own[ids == NO_ID] = pd.NA
         return pd.DataFrame(
             {
                 "sig": np.concatenate([sig, np.frombuffer(b"".join(told["sigs"]), np.int64)]),
                 "shared": pd.array([*shared.tolist(), *[None] * len(ids)], "Int64"),
-                "id": pd.array([*[None] * len(sig), *[None if i is None or i != i else int(i) for i in ids]], "Int64"),
+                "id": pd.concat([pd.Series(pd.array([pd.NA] * len(sig), "Int64")), pd.Series(own)], ignore_index=True),
                 "n": pd.array([*[None] * len(sig), *np.frombuffer(b"".join(told["sizes"]), np.int64).tolist()], "Int64"),
             }
         )
 
     sent = rows.mapInArrow(
-        emit, "bucket int, keys binary, owners binary, shared binary, ids array<bigint>, sizes binary, sigs binary"
+        emit, "bucket int, keys binary, owners binary, shared binary, ids binary, sizes binary, sigs binary"
     )
     return stored(sent.groupBy("bucket").applyInPandas(count, "sig bigint, shared bigint, id bigint, n bigint"), "shingles")
 

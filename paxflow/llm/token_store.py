@@ -406,20 +406,22 @@ def look_up(store: TokenStore, wanted: DataFrame) -> DataFrame:
     id_type = wanted.schema["id"].dataType.simpleString()
 
     @frees_memory
-    def probe(asked: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
-        out = asked[["id", "occurrence"]].copy()
-        if index.empty or asked.empty:
-            return out.iloc[:0].assign(shard=np.int32(0), offset=0, length=0)
-        seeds = np.frombuffer(index["seeds"].iloc[0], "<i8")
-        records = np.frombuffer(index["records"].iloc[0], RECORD)
-        prints = asked["fingerprint"].to_numpy().astype(np.uint64)
-        found = records[slots_of(mix(asked["key"].to_numpy().astype(np.uint64)) ^ prints, seeds, len(records))]
+    def probe(asked: pa.Table, index: pa.Table) -> pa.Table:
+        if not index.num_rows:
+            asked = asked.slice(0, 0)
+            seeds, records = np.zeros(1, "<i8"), np.zeros(1, RECORD)
+        else:
+            seeds = np.frombuffer(index.column("seeds")[0].as_py(), "<i8")
+            records = np.frombuffer(index.column("records")[0].as_py(), RECORD)
+        prints = asked.column("fingerprint").to_numpy().astype(np.uint64)
+        found = records[slots_of(mix(asked.column("key").to_numpy().astype(np.uint64)) ^ prints, seeds, len(records))]
+        out = asked.select(["id", "occurrence"])
         for name, kind in (("shard", np.int32), ("offset", np.int64), ("length", np.int64)):
-            out[name] = found[name].astype(kind)
-        return out[found["fingerprint"] == (prints >> np.uint64(32)).astype(np.uint32)]
+            out = out.append_column(name, pa.array(found[name].astype(kind)))
+        return out.filter(pa.array(found["fingerprint"] == (prints >> np.uint64(32)).astype(np.uint32)))
 
     index = store.index(wanted.sparkSession).select("bucket", "seeds", "records")
-    return asked.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(
+    return asked.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInArrow(
         probe, f"id {id_type}, occurrence bigint, shard int, offset bigint, length bigint"
     )
 

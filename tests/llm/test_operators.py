@@ -148,6 +148,16 @@ def test_token_store_knows_what_it_holds(spark):
     assert read_digests(store, wanted).count() == 2
 
 
+def test_large_ids_beside_null_ids_stay_exact(spark):
+    large = (1 << 60) + 1
+    docs = spark.createDataFrame([(None, "a b c d e f"), (large, "a b c d e f"), (large + 2, "a b c d e f"), (None, "")], TWO)
+    assert {r.doc_id for r in token_digests(docs, tokenizer_file()).collect()} == {None, large, large + 2}
+    got = {(r.doc_id, r.component_id, r.n_links) for r in jaccard_components(docs).collect()}
+    assert got == {(None, large, 2), (large, large, 2), (large + 2, large, 2), (None, None, 0)}
+    assert {r.doc_id for r in lm_scores(docs).collect()} == {None, large, large + 2}
+    assert {r.doc_id for r in remove_repeats(docs).collect()} == {None, large, large + 2}
+
+
 def test_encoder_of_any_kind_agrees_with_the_library():
     import public_tokenizers
     from tokenizers import Tokenizer
