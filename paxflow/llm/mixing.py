@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paxflow.llm.store import WORD, running_total, stored
+from paxflow.llm.store import WORD, running_total
+from paxflow.plans.sizing import stored
 
 WEIGHTS = (5, 2, 1)
 BUDGET_SHARE = 1.5

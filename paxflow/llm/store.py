@@ -1,28 +1,15 @@
-"""Shared intermediate tables and running totals."""
+"""Running totals over tables too large to sort in one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paxflow.plans.sizing import shared_dir
+from paxflow.plans.sizing import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
-
-
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written once as Parquet to the shared folder and read back:
-    computed once, lineage cut, readable by every executor."""
-    spark = df.sparkSession
-    path = shared_dir(spark, f"llm-{purpose}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def running_total(df: DataFrame, order: list[Column], value: str, name: str) -> DataFrame:
     """``df`` plus ``name``: the sum of ``value`` over all rows before each
     row in the order given, without sorting everything in one task.
