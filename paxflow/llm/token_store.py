@@ -40,7 +40,7 @@ END_ID = 0
 BUCKET_KEYS = 2048
 SEED_KEYS = 3
 # Word pieces whose ids a worker process remembers.
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 1 << 18
 RECORD = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("length", "<u8")])
 
 
@@ -82,9 +82,21 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        """Forget all pieces. ``known`` has, by hash: hash, first and last bytes, place and number of ids in the pool."""
+        """Forget all pieces. ``known`` has, by hash: hash, first and last bytes,
+        place and number of ids in the pool, slices that had the piece."""
         self.pool = np.empty(0, np.uint32)
-        self.known = np.empty(0, [("hash", "u8"), ("head", "u8"), ("tail", "u8"), ("first", "i8"), ("count", "i8")])
+        self.known = np.empty(0, [("hash", "u8"), ("head", "u8"), ("tail", "u8"), ("first", "i8"), ("count", "i8"), ("slices", "i4")])
+
+    def forget(self) -> None:
+        """Keep the pieces that several slices had since the last time; or none, if those are most."""
+        kept = self.known[self.known["slices"] > 1]
+        if 2 * len(kept) > CACHE_WORDS:
+            return self.clear()
+        last = np.cumsum(kept["count"])
+        place = np.repeat(kept["first"] - (last - kept["count"]), kept["count"]) + np.arange(int(last[-1]) if len(last) else 0)
+        self.pool = self.pool[place]
+        kept["first"], kept["slices"] = last - kept["count"], 0
+        self.known = kept
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -121,7 +133,7 @@ class Encoder:
         hashed = self.splitter.hashes(raw, start, end)
         hashes, example, which = np.unique(hashed, return_index=True, return_inverse=True)
         if len(self.known) > CACHE_WORDS:
-            self.clear()
+            self.forget()
         seen = np.zeros(len(hashes), self.known.dtype)
         seen["hash"], seen["head"], seen["tail"] = hashes, *_ends(raw, start[example], end[example])
         at = np.searchsorted(self.known["hash"], hashes)
@@ -129,7 +141,9 @@ class Encoder:
         missing[~missing] = self.known["hash"][at[~missing]] != hashes[~missing]
         if missing.any():
             self._learn(raw.tobytes(), start[example[missing]], end[example[missing]], seen[missing])
-        entry = self.known[np.searchsorted(self.known["hash"], hashes)]
+        at = np.searchsorted(self.known["hash"], hashes)
+        self.known["slices"][at] += 1
+        entry = self.known[at]
         head, tail = _ends(raw, start, end)
         odd = (entry["head"][which] != head) | (entry["tail"][which] != tail)
         count = entry["count"][which]
