@@ -19,8 +19,16 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_oracle_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_query_of_the_core_has_oracle_sql():
+    from paxflow.plans import catalog
+
+    assert set(catalog.QUERIES) == set(catalog.SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_what_is_not_installed_is_left_out():
+    assert entry._optional("paxflow.not_there") is None
+    assert entry._optional("paxflow.not_there.queries") is None
+    assert entry._optional("paxflow.config").DEFAULT_AIRLINE == "KL"
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +39,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     got, got_cols = rows_of(df.columns, [tuple(r) for r in df.collect()])
