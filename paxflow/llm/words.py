@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Texts are handled in slices of about this many bytes; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
