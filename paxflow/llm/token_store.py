@@ -50,10 +50,11 @@ RECORD = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("offset", "<u8"),
 class Encoder:
     """Ids of whole texts from the tokenizers library.
 
-    A byte-level tokenizer splits a text before it merges, and never between
-    a visible character and the white space after it. So texts of words,
-    spaces and line feeds are cut there, all texts of a slice at once, and
-    the ids of pieces met before are reused. A piece is known by its length,
+    A byte-level tokenizer splits a text before it merges, always between
+    a visible character and the white space after it, and before a stop or
+    comma that ends a word there. So texts of words, spaces and line feeds
+    are cut at these places, all texts of a slice at once, and the ids of
+    pieces met before are reused. A piece is known by its length,
     a 64-bit hash and its first and last eight bytes; should two pieces agree
     in the hash only, their texts are encoded whole. So are texts with other
     white space or an added token's string, and all texts if the tokenizer
@@ -128,6 +129,11 @@ class Encoder:
         opens = gap.copy()
         opens[1:] &= ~gap[:-1]
         opens[bounds[:-1][bounds[:-1] < len(raw)]] = True
+        # A full stop or comma between a letter or digit and a gap is a token of its own.
+        mark = np.flatnonzero(((raw[1:] == 0x2E) | (raw[1:] == 0x2C)) & _ALNUM[raw[:-1]]) + 1
+        last = np.append(gap, True)
+        last[bounds[1:]] = True
+        opens[mark[last[mark + 1]]] = True
         start = np.flatnonzero(opens)
         end = np.r_[start[1:], len(raw)] if len(start) else start
         hashed = self.splitter.hashes(raw, start, end)
@@ -196,6 +202,7 @@ class Encoder:
         return out
 
 
+_ALNUM = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
 _CONTROL = np.zeros(256, bool)
 _CONTROL[[0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F]] = True
 _LEAD = np.zeros(256, bool)

@@ -171,6 +171,20 @@ def test_encoder_of_any_kind_agrees_with_the_library():
         assert [p.tolist() for p in np.split(ids, np.cumsum(lengths)[:-1])] == want
 
 
+def test_encoder_pieces_agree_with_the_library_on_noise(monkeypatch):
+    from paxflow.llm import token_store
+
+    monkeypatch.setattr(token_store, "CACHE_WORDS", 50)  # forgets all the time
+    rng = random.Random(1)
+    alphabet = ["a", "b", "é", "1", ".", ",", " ", "\n", "'s", "!", "ß", "Ａ", "²", "_", "-", "  ", "\t", " ", "word", "日", ".", " "]
+    encoder = Encoder(open(tokenizer_file(), encoding="utf-8").read())
+    for _ in range(20):
+        texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 40))) for _ in range(60)]
+        ids, lengths = encoder.encode(pa.array(texts))
+        want = [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+        assert [p.tolist() for p in np.split(ids, np.cumsum(lengths)[:-1])] == want
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 7, 500, 3000])
 def test_perfect_hash(n):
     keys = np.random.default_rng(n).integers(0, 1 << 63, n, dtype=np.uint64)
