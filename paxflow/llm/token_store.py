@@ -210,15 +210,13 @@ _LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
 def _ends(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first and the last eight bytes of each piece (zeros beyond it) as integers."""
-    size = end - start
-    head, tail = np.zeros(len(start), np.uint64), np.zeros(len(start), np.uint64)
-    top = max(0, len(raw) - 1)
-    for k in range(8):
-        inside = size > k
-        head |= np.where(inside, raw[np.minimum(start + k, top)], 0).astype(np.uint64) << np.uint64(8 * k)
-        tail |= np.where(inside, raw[np.maximum(end - 1 - k, 0)], 0).astype(np.uint64) << np.uint64(8 * k)
-    return head, tail
+    """The first and the last eight bytes of each piece (fewer if it is shorter) as integers."""
+    padded = np.zeros(len(raw) + 16, np.uint8)
+    padded[8:-8] = raw
+    # Eight bytes from every position on.
+    eight = np.ndarray((len(raw) + 9,), "<u8", padded, strides=(1,))
+    unused = (8 * (8 - np.minimum(end - start, 8))).astype(np.uint64)
+    return eight[start + 8] << unused, eight[end] >> unused
 
 
 def encoder_of_process(spec: str) -> Encoder:
