@@ -2,17 +2,19 @@
 
 A text is the bytes of its words, lower-cased, each followed by a space, and
 an end symbol. The tree's states are contexts of up to ``DEPTH`` bytes: a
-context stays if it is frequent enough (``MIN_SHARE`` of all training bytes)
-and its next-symbol distribution diverges from that of the next shorter
-context; of these the ``MAX_CONTEXTS`` that diverge most in all, by
-frequency times divergence, make up the model. Distributions are smoothed
-with the shorter context's, down to a uniform one, so every text has a
-probability. Scoring walks an automaton whose state is always the longest
-suffix in the tree.
+context stays if it occurs ``MIN_COUNT`` times and its next-symbol
+distribution diverges from that of the next shorter context, so the tree
+grows with the training texts. Distributions are smoothed with the shorter
+context's, down to a uniform one, so every text has a probability; a symbol
+is scored by the longest suffix in the tree.
 
 Counting runs over all training texts: tasks count byte runs, owners of a
-context's last two bytes add them up and test divergence; only states reach
-the driver. The unigram base score is exact: words travel as postings to the
+context's last two bytes add them up and test divergence. The tree stays with
+them, as one Parquet row per owner; contexts of one byte reach the driver.
+Scoring sends a slice's byte runs to their owners, which return each text's
+part of the sum. Runs that make up a fixed share of the training bytes (at
+most 1 / HOT_RUN_SHARE of them) are priced beforehand and known to every
+task, which spares the way, not the context. The unigram base score is exact: words travel as postings to the
 owner of their hash, which knows the word's count and returns each text's
 part of the sum. Words that make up a fixed share of all tokens (at most
 1 / HOT_SHARE of them) are counted apart, so no owner gets their postings.
@@ -36,12 +38,11 @@ from paxflow.llm.words import Splitter, Words, mix, slices
 from paxflow.plans.sizing import stored
 
 DEPTH = 5
-MIN_SHARE = 2e-7
+MIN_COUNT = 2
 # Least Kullback-Leibler divergence (nats per symbol) from the shorter context.
 MIN_DIVERGENCE = 0.002
-# Size of the model: the contexts with the largest divergence in all are kept.
-MAX_CONTEXTS = 120_000
 HOT_SHARE = 1e-4
+HOT_RUN_SHARE = 1e-6
 END = 0x0A
 GAP = 0x20
 # Byte runs that a task counts before it sends them.
@@ -84,12 +85,19 @@ def byte_runs(text: np.ndarray, first: np.ndarray) -> np.ndarray:
     return packed[scored]
 
 
+def by_suffix(runs: np.ndarray) -> np.ndarray:
+    """Runs with their context backwards, so that contexts with a common suffix are neighbours."""
+    return (runs >> np.uint64(8)).byteswap() >> np.uint64(64 - 8 * DEPTH) << np.uint64(8) | runs & np.uint64(0xFF)
+
+
 # ------------------------------------------------------------------ the tree
 
 
 @dataclass(frozen=True)
 class Tree:
-    """An automaton over states: flat tables of next state and log10 probability, one column per symbol class."""
+    """A tree in one piece, as an automaton over states: flat tables of next
+    state and log10 probability, one column per symbol class. ``lm_scores``
+    has the tree in parts (``Branch``), which give the same probabilities."""
 
     column: np.ndarray  # symbol class of each byte
     width: int
@@ -207,11 +215,68 @@ def _kept_contexts(runs: np.ndarray, counts: np.ndarray, least: float) -> list[t
     return out
 
 
-def train(rows: DataFrame) -> tuple[Tree, np.ndarray]:
-    """(tree, hot words) from all ``rows`` (id, text)."""
+def short_contexts(counts: np.ndarray) -> np.ndarray:
+    """Probability of each symbol after each byte, from counts (256, 256)."""
+
+    def smoothed(own: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        kinds = (own > 0).sum(axis=-1, keepdims=True)
+        return np.where(kinds > 0, (own + kinds * lower) / np.maximum(1, own.sum(axis=-1, keepdims=True) + kinds), lower)
+
+    return smoothed(counts, smoothed(counts.sum(axis=0), np.full(256, 1 / 256)))
+
+
+@dataclass(frozen=True)
+class Branch:
+    """The contexts of two bytes and more of one owner. Per depth: contexts
+    (backwards, sorted), their totals and numbers of symbols; contexts with a
+    symbol, and their counts."""
+
+    levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+
+    @staticmethod
+    def columns(kept: list[tuple[int, int, float, bytes, bytes]]) -> dict[str, list[bytes]]:
+        out = {c: [] for c in ("contexts", "totals", "kinds", "keys", "counts")}
+        for depth in range(2, DEPTH + 1):
+            own = [(int.from_bytes(c.to_bytes(depth, "big"), "little"), s, n) for d, c, _, s, n in kept if d == depth]
+            own.sort(key=lambda x: x[0])
+            names, kinds = np.array([c for c, _, _ in own], np.uint64), np.array([len(x) for _, x, _ in own], np.int64)
+            symbol, count = np.frombuffer(b"".join(x for _, x, _ in own), np.uint8), np.frombuffer(b"".join(n for _, _, n in own), "<i8")
+            totals = np.add.reduceat(count, np.cumsum(kinds) - kinds) if len(own) else count
+            keys = np.repeat(names, kinds) << np.uint64(8) | symbol
+            for c, values in zip(out, (names, totals, kinds, keys, count), strict=True):
+                out[c].append(values.tobytes())
+        return out
+
+    @staticmethod
+    def of_row(row: dict[str, list[bytes] | None]) -> Branch:
+        listed = [row[c] or [] for c in ("contexts", "totals", "kinds", "keys", "counts")]
+        types = (np.uint64, "<i8", "<i8", np.uint64, "<i8")
+        return Branch([tuple(np.frombuffer(v, t) for v, t in zip(level, types, strict=True)) for level in zip(*listed, strict=True)])
+
+    def log10(self, codes: np.ndarray, short: np.ndarray) -> np.ndarray:
+        """log10 probability of each run (as by ``by_suffix``), by its longest suffix in the tree."""
+        symbol = codes & np.uint64(0xFF)
+        p = short[codes >> np.uint64(8 * DEPTH), symbol]
+        for depth, (names, totals, kinds, keys, counts) in enumerate(self.levels, 2):
+            if not len(names):
+                break
+            name = codes >> np.uint64(8 * (DEPTH - depth + 1))
+            at = np.minimum(np.searchsorted(names, name), len(names) - 1)
+            here = np.flatnonzero(names[at] == name)
+            at, key = at[here], name[here] << np.uint64(8) | symbol[here]
+            place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            own = np.where(keys[place] == key, counts[place], 0)
+            p[here] = (own + kinds[at] * p[here]) / (totals[at] + kinds[at])
+        return np.log10(p)
+
+
+BRANCH = "contexts array<binary>, totals array<binary>, kinds array<binary>, keys array<binary>, counts array<binary>"
+
+
+def train(rows: DataFrame) -> tuple[DataFrame, np.ndarray, tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """(branches, probabilities after one byte, frequent runs with their log10 probability, hot words) from all ``rows`` (id, text)."""
     buckets = max(64, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    least = max(2.0, MIN_SHARE * n_bytes)
 
     def send(runs: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         owner = mix(runs >> np.uint64(8) & np.uint64(0xFFFF)) % np.uint64(buckets)
@@ -266,34 +331,42 @@ def train(rows: DataFrame) -> tuple[Tree, np.ndarray]:
     def keep(part: pd.DataFrame) -> pd.DataFrame:
         runs = np.frombuffer(b"".join(part["runs"]), np.uint64)
         counts = np.frombuffer(b"".join(part["counts"]), "<u4").astype(np.int64)
-        if part["bucket"].iloc[0] < 0:
+        row = {"bucket": int(part["bucket"].iloc[0]), "names": None, "often": None, "first": None, "frequent": None}
+        if row["bucket"] < 0:
             name, which = np.unique(runs, return_inverse=True)
-            kept = [(-1, 0, 0.0, name.tobytes(), np.bincount(which, counts).astype("<i8").tobytes())]
+            row |= {"names": name.tobytes(), "often": np.bincount(which, counts).astype("<i8").tobytes()} | Branch.columns([])
         else:
-            kept = _kept_contexts(*_context_counts(runs, counts, DEPTH), least)
-        return pd.DataFrame(kept, columns=["depth", "context", "gain", "symbols", "counts"])
+            runs, counts = _context_counts(runs, counts, DEPTH)
+            first = np.bincount((runs & np.uint64(0xFFFF)).astype(np.int64), counts, minlength=1 << 16).astype("<i8")
+            frequent = by_suffix(runs[counts >= max(1, HOT_RUN_SHARE * n_bytes)])
+            row |= {"first": first.tobytes(), "frequent": np.sort(frequent).tobytes()} | Branch.columns(_kept_contexts(runs, counts, MIN_COUNT))
+        return pd.DataFrame({c: [v] for c, v in row.items()})
 
     sent = rows.mapInArrow(count, "bucket int, runs binary, counts binary")
-    found = stored(sent.groupBy("bucket").applyInPandas(keep, "depth int, context bigint, gain double, symbols binary, counts binary"), "contexts")
-    # Beyond the one and two byte contexts (at most 2**16), MAX_CONTEXTS at most; ties go to the smaller context.
-    best = found.filter("depth > 2").orderBy(F.desc("gain"), "depth", "context").limit(MAX_CONTEXTS)
-    contexts: dict[bytes, dict[int, int]] = {b"": {}}
-    hot: dict[int, int] = {}
-    for row in found.filter("depth <= 2").unionByName(best).toLocalIterator():
-        counts = np.frombuffer(row.counts, "<i8").tolist()
-        if row.depth < 0:
-            for n, c in zip(np.frombuffer(row.symbols, np.uint64).tolist(), counts, strict=True):
-                hot[n] = hot.get(n, 0) + c
+    schema = "bucket int, names binary, often binary, first binary, frequent binary, " + BRANCH
+    found = stored(sent.groupBy("bucket").applyInPandas(keep, schema), "contexts")
+    after, hot = np.zeros(1 << 16, np.int64), {}
+    for row in found.select("names", "often", "first").toLocalIterator():
+        if row["first"] is not None:
+            after += np.frombuffer(row["first"], "<i8")
             continue
-        own = contexts.setdefault(int(row.context).to_bytes(row.depth, "big"), {})
-        for symbol, c in zip(row.symbols, counts, strict=True):
-            own[symbol] = own.get(symbol, 0) + c
-            if row.depth == 1:
-                contexts[b""][symbol] = contexts[b""].get(symbol, 0) + c
-    if not contexts[b""]:
-        del contexts[b""]
+        for n, c in zip(np.frombuffer(row.names, np.uint64).tolist(), np.frombuffer(row.often, "<i8").tolist(), strict=True):
+            hot[n] = hot.get(n, 0) + c
     words = sorted(hot, key=lambda n: (-hot[n], n))[: int(1 / HOT_SHARE)]
-    return build_tree(contexts), np.array(sorted(words), np.uint64)
+    branches = found.filter("bucket >= 0")
+    short = short_contexts(after.reshape(256, 256))
+
+    @frees_memory
+    def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                prices = Branch.of_row(row).log10(np.frombuffer(row["frequent"], np.uint64), short)
+                yield pa.RecordBatch.from_arrays([pa.array([row["frequent"]], pa.binary()), pa.array([prices.tobytes()], pa.binary())], ["codes", "prices"])
+
+    priced = [(r.codes, r.prices) for r in branches.drop("bucket", "names", "often", "first").mapInArrow(price, "codes binary, prices binary").toLocalIterator()]
+    codes, prices = np.frombuffer(b"".join(c for c, _ in priced), np.uint64), np.frombuffer(b"".join(v for _, v in priced), np.float64)
+    order = np.argsort(codes)
+    return branches.select("bucket", "contexts", "totals", "kinds", "keys", "counts"), short, (codes[order], prices[order]), np.array(sorted(words), np.uint64)
 
 
 # ------------------------------------------------------------------ scores
@@ -303,6 +376,25 @@ def is_held_out(id_col: Column, folds: int = 5, fold: int = 1) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
+def run_postings(
+    text: np.ndarray, first: np.ndarray, priced: np.ndarray, prices: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(scores, runs, texts, times): each text's log10 probability as far as its runs are priced, and the others by (run, text)."""
+    owner = np.repeat(np.arange(len(first) - 1).astype(np.uint64), np.diff(first) - DEPTH)
+    pairs = np.sort(by_suffix(byte_runs(text, first)) << np.uint64(16) | owner)
+    new = np.flatnonzero(np.r_[np.ones(min(1, len(pairs)), bool), pairs[1:] != pairs[:-1]])
+    times, pairs = np.diff(np.r_[new, len(pairs)]), pairs[new]
+    code, owner = pairs >> np.uint64(16), (pairs & np.uint64(0xFFFF)).astype(np.int64)
+    first_of = np.r_[np.ones(min(1, len(code)), bool), code[1:] != code[:-1]]
+    name, which = code[first_of], np.cumsum(first_of) - 1
+    if not len(priced):
+        return np.zeros(len(first) - 1), code, owner, times
+    at = np.minimum(np.searchsorted(priced, name), len(priced) - 1)
+    known, at = (priced[at] == name)[which], at[which]
+    scores = np.bincount(owner[known], times[known] * prices[at[known]], minlength=len(first) - 1)
+    return scores, code[~known], owner[~known], times[~known]
+
+
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``id_col, held_out, n_tokens, n_known,
     train_tokens, base_score, score``.
@@ -316,22 +408,28 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn(
         "held_out", is_held_out(F.col("id"))
     )
-    tree, hot = train(rows.filter(~F.col("held_out")).select("id", "text"))
-    shipped = spark.sparkContext.broadcast((tree.column, tree.width, tree.follow, tree.log10, hot))
+    branches, short, (codes, prices), hot = train(rows.filter(~F.col("held_out")).select("id", "text"))
+    shipped = spark.sparkContext.broadcast((short, codes, prices, hot))
     buckets = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     id_type = rows.schema["id"].dataType.simpleString()
 
     @frees_memory
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        column, width, follow, log10, frequent = shipped.value
-        tree, splitter, turn = Tree(column, width, follow, log10), Splitter(lower=True), 0
+        _, priced, prices, frequent = shipped.value
+        splitter, turn = Splitter(lower=True), 0
         task = TaskContext.get().partitionId()
+        suffix = np.arange(1 << 16).astype(np.uint16)
+        owner_of = (mix(suffix.byteswap().astype(np.uint64)) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in (p.slice(k, 1 << 16) for p in slices(batch, 1) for k in range(0, len(p), 1 << 16)):
                 turn += 1
                 words = splitter.split(part.column(1))
                 trained = ~part.column(2).to_numpy(zero_copy_only=False)
-                scores = tree.scores(*symbols(words))
+                scores, *run = run_postings(*symbols(words), priced, prices)
+                run_owner = owner_of[(run[0] >> np.uint64(8 * DEPTH - 8)).astype(np.int64)]
+                order = np.argsort(run_owner, kind="stable")
+                run, run_owner = [r[order] for r in run], run_owner[order]
+                run_cuts = np.searchsorted(run_owner, np.arange(buckets + 1))
                 # Distinct words of each text, by hash: (word, text, times).
                 text = words.text_of
                 order = np.lexsort((text, words.hash))
@@ -350,11 +448,12 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                 order = np.argsort(owner, kind="stable")
                 word, text, times, owner = word[order], text[order], times[order], owner[order]
                 cuts = np.searchsorted(owner, np.arange(buckets + 1))
-                listed = [b for b in range(buckets) if cuts[b + 1] > cuts[b]]
+                listed = [b for b in range(buckets) if cuts[b + 1] > cuts[b] or run_cuts[b + 1] > run_cuts[b]]
                 info = (task * 7919 + turn * 104729) % buckets
                 if info not in listed:
                     listed.append(info)
                 cut = [slice(cuts[b], cuts[b + 1]) for b in listed]
+                run_cut = [slice(run_cuts[b], run_cuts[b + 1]) for b in listed]
                 mine = [b == info for b in listed]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -364,6 +463,9 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                         pa.array([word[s].tobytes() for s in cut], pa.binary()),
                         pa.array([text[s].astype("<u4").tobytes() for s in cut], pa.binary()),
                         pa.array([times[s].astype("<u4").tobytes() for s in cut], pa.binary()),
+                        pa.array([run[0][s].tobytes() for s in run_cut], pa.binary()),
+                        pa.array([run[1][s].astype("<u2").tobytes() for s in run_cut], pa.binary()),
+                        pa.array([run[2][s].astype("<u4").tobytes() for s in run_cut], pa.binary()),
                         pa.array([np.packbits(trained).tobytes()] * len(listed), pa.binary()),
                         pa.array([part.column(0).to_pylist() if m else None for m in mine], pa.list_(part.column(0).type)),
                         pa.array([(np.diff(words.first) + 1).tolist() if m else None for m in mine], pa.list_(pa.int64())),
@@ -372,16 +474,27 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                         pa.array([hot_word.tobytes() if m else None for m in mine], pa.binary()),
                         pa.array([hot_times.tobytes() if m else None for m in mine], pa.binary()),
                     ],
-                    ["bucket", "slice", "rows", "words", "texts", "times", "trained", "ids", "tokens", "scores", "cuts", "hot", "hot_times"],
+                    ["bucket", "slice", "rows", "words", "texts", "times", "runs", "run_texts", "run_times", "trained", "ids", "tokens", "scores", "cuts", "hot", "hot_times"],
                 )
 
     sent = rows.mapInArrow(
         score,
-        "bucket int, slice bigint, rows int, words binary, texts binary, times binary, trained binary,"
+        "bucket int, slice bigint, rows int, words binary, texts binary, times binary, runs binary, run_texts binary, run_times binary, trained binary,"
         f" ids array<{id_type}>, tokens array<bigint>, scores array<double>, cuts binary, hot binary, hot_times binary",
     )
 
-    @frees_memory
+    def deep(part: pa.RecordBatch, branch: Branch) -> pa.Array:
+        """Per row, the sums of its runs' log10 probabilities for each text; null without any."""
+        size = np.array([len(r) // 8 for r in part.column("runs").to_pylist()], np.int64)
+        run, text, times = (
+            np.frombuffer(b"".join(part.column(c).to_pylist()), t) for c, t in (("runs", np.uint64), ("run_texts", "<u2"), ("run_times", "<u4"))
+        )
+        n = part.column("rows").to_numpy().astype(np.int64)
+        first = np.r_[0, np.cumsum(n)]
+        name, which = np.unique(run, return_inverse=True)
+        sums = np.bincount(np.repeat(first[:-1], size) + text, times * branch.log10(name, shipped.value[0])[which], minlength=first[-1])
+        return pa.array([sums[first[k] : first[k + 1]].tolist() if size[k] else None for k in range(len(n))], pa.list_(pa.float64()))
+
     def own(part: pa.Table) -> pa.Table:
         column = {n: part.column(n).to_pylist() for n in ("slice", "rows", "words", "texts", "times", "trained", "cuts", "hot", "hot_times")}
         word = np.frombuffer(b"".join(column["words"]), np.uint64)
@@ -411,7 +524,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                 "slice": part.column("slice"),
                 "base": pa.array([base[first[k] : first[k + 1]].tolist() for k in range(n)], pa.list_(pa.float64())),
                 "known": pa.array([known[first[k] : first[k + 1]].astype(np.int64).tolist() for k in range(n)], pa.list_(pa.int64())),
-                **{c: part.column(c) for c in ("ids", "tokens", "scores", "cuts", "hot", "hot_times")},
+                **{c: part.column(c) for c in ("ids", "tokens", "scores", "deep", "cuts", "hot", "hot_times")},
                 "distinct": pa.array([int((count > 0).sum())] + [0] * (n - 1), pa.int64()),
                 "train_tokens": pa.array([train_tokens] + [0] * (n - 1), pa.int64()),
                 "train_rows": pa.array([train_rows] + [0] * (n - 1), pa.int64()),
@@ -419,10 +532,34 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             }
         )
 
+    @frees_memory
+    def own_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows by owner, its branch first; runs are priced as they come."""
+        held, bucket, branch = [], None, Branch([])
+        for batch in batches:
+            owner = batch.column("bucket").to_numpy()
+            begin = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else []
+            for low, high in zip(begin, np.r_[begin[1:], len(owner)], strict=True):
+                part = batch.slice(low, high - low)
+                if owner[low] != bucket:
+                    if held:
+                        yield from own(pa.Table.from_batches(held)).combine_chunks().to_batches()
+                    held, bucket, branch = [], owner[low], Branch([])
+                if part.column("slice")[0].as_py() is None:
+                    branch = Branch.of_row({c: part.column(c)[0].as_py() for c in ("contexts", "totals", "kinds", "keys", "counts")})
+                    part = part.slice(1)
+                if len(part):
+                    told = [c for c in part.schema.names if c not in left_here]
+                    held.append(part.select(told).append_column("deep", deep(part, branch)))
+        if held:
+            yield from own(pa.Table.from_batches(held)).combine_chunks().to_batches()
+
+    left_here = {"bucket", "runs", "run_texts", "run_times", "contexts", "totals", "kinds", "keys", "counts"}
+    owned = sent.unionByName(branches, allowMissingColumns=True).repartition(buckets, "bucket").sortWithinPartitions("bucket", F.asc_nulls_first("slice"))
     parts = stored(
-        sent.groupBy("bucket").applyInArrow(
-            own,
-            f"slice bigint, base array<double>, known array<bigint>, ids array<{id_type}>, tokens array<bigint>, scores array<double>,"
+        owned.mapInArrow(
+            own_all,
+            f"slice bigint, base array<double>, known array<bigint>, ids array<{id_type}>, tokens array<bigint>, scores array<double>, deep array<double>,"
             " cuts binary, hot binary, hot_times binary, distinct bigint, train_tokens bigint, train_rows bigint, hot_counts map<bigint,bigint>",
         ),
         "scores",
@@ -457,11 +594,11 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                 "n_tokens": pa.array(tokens),
                 "n_known": pa.array(known),
                 "base_score": pa.array(base + end_part - tokens * spread),
-                "score": pa.array(part.column("scores")[k].as_py(), pa.float64()),
+                "score": pa.array(np.sum([np.array(part.column("scores")[k].as_py())] + [np.array(d) for d in part.column("deep").to_pylist() if d is not None], axis=0)),
             }
         )
 
-    columns = ["slice", "base", "known", "ids", "tokens", "scores", "cuts", "hot", "hot_times"]
+    columns = ["slice", "base", "known", "ids", "tokens", "scores", "deep", "cuts", "hot", "hot_times"]
     scored = parts.select(*columns).groupBy("slice").applyInArrow(
         finish, f"id {id_type}, n_tokens bigint, n_known bigint, base_score double, score double"
     )

@@ -107,6 +107,30 @@ def test_lm_is_a_distribution():
     assert np.allclose(total, 1, atol=1e-4)
 
 
+def test_lm_keeps_the_whole_tree(spark):
+    """More contexts than one broadcast model held: scores are those of the whole tree."""
+    from paxflow.llm import lm
+
+    rng = np.random.default_rng(5)
+    rows = [(k, bytes(rng.choice(np.frombuffer(b"abcdefghijkl ", np.uint8), 30_000)).decode()) for k in range(50)]
+    got = {r.doc_id: r for r in lm_scores(spark.createDataFrame(rows, TWO)).collect()}
+    line = lambda t: b"\n" * lm.DEPTH + b"".join(w.encode() + b" " for w in t.split()) + b"\n"
+    joined = lambda texts: (
+        np.frombuffer(b"".join(map(line, texts)), np.uint8),
+        np.cumsum([0, *(len(line(t)) for t in texts)]) + lm.DEPTH,
+    )
+    runs, counts = np.unique(lm.byte_runs(*joined([t for k, t in rows if not got[k].held_out])), return_counts=True)
+    contexts = {b"": collections.Counter()}
+    for depth, context, _, symbols, found in lm._kept_contexts(runs, counts, 2.0):
+        own = dict(zip(symbols, np.frombuffer(found, "<i8").tolist(), strict=True))
+        contexts[context.to_bytes(depth, "big")] = own
+        if depth == 1:
+            contexts[b""].update(own)
+    assert len(contexts) > 150_000
+    expected = lm.build_tree(contexts).scores(*joined([t for _, t in rows]))
+    assert np.allclose([got[k].score for k, _ in rows], expected, rtol=1e-5)
+
+
 def test_lm_prefers_the_language_it_learned(spark):
     rng = random.Random(2)
     syllables = ["ba", "ko", "ti", "ru", "men", "sal"]
