@@ -77,6 +77,20 @@ def test_decontamination(spark):
     assert {(r.doc_id, r.item_id) for r in got} == planted and len(got) == len(planted)
 
 
+def test_long_items_are_found(spark):
+    """Items longer than any one passage length, as copies and with a third of the words replaced."""
+    rng = random.Random(12)
+    items = [(k, story(rng, n) + ". " + story(rng, 4)) for k, n in enumerate([20, 55, 59, 63, 64, 100, 127, 128, 200, 300, 600, 2500])]
+    docs, planted = [(1000 + k, story(rng, 300)) for k in range(40)], set()
+    for k, text in items:
+        words = text.split()
+        loose = [w if j % 3 or j >= len(words) - 4 else "paraphrase" for j, w in enumerate(words)]
+        docs += [(2 * k, f"{story(rng, 75)} {text} {story(rng, 90)}"), (2 * k + 1, f"{story(rng, 41)} {' '.join(loose)} {story(rng, 60)}")]
+        planted |= {(2 * k, k), (2 * k + 1, k)}
+    got = contaminated(spark.createDataFrame(docs, TWO), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == planted
+
+
 def test_items_in_blocks(spark, monkeypatch):
     from paxflow.llm import decontaminate
 
