@@ -10,6 +10,11 @@ a wavelet matrix with rank counts) and streams the segments through it:
 backward search gives every window its suffix interval, and the smallest
 document id in the interval says whether an earlier document has the window.
 
+An anchor with more than ``HOT_SEGMENTS`` segments (a common phrase among
+different neighbours) would make one shard's index grow with the corpus. Its
+windows go singly, by a hash of all their words, and a plain aggregate finds
+the smallest id of each.
+
 Text itself is only moved for documents that have a repeat.
 """
 
@@ -31,6 +36,8 @@ WINDOW = 13
 GRAM = 5
 # Shared anchors per shard: the size of an FM-index, not a limit on what it finds.
 SHARD_ANCHORS = 8_000
+# Segments of one anchor that may go to one FM-index.
+HOT_SEGMENTS = 2_000
 # Segments that a task remembers having sent.
 SENT_SEGMENTS = 100_000
 NO_ID = -(1 << 63)
@@ -153,17 +160,17 @@ def _ids(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def shared_anchors(rows: DataFrame, window: int, gram: int) -> DataFrame:
-    """``key``: anchors that occur under at least two ids."""
+    """``key, segments``: anchors that occur under at least two ids, and how many segments they have in all (repeated ones too)."""
 
     @frees_memory
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = Splitter(lower=False)
         for batch in batches:
             for part in slices(batch, 2):
-                anchor, _, text = window_anchors(splitter.split(part.column(2)), window, gram)
+                anchor, start, text = window_anchors(splitter.split(part.column(2)), window, gram)
                 if not len(anchor):
                     continue
-                new = np.r_[True, (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])]
+                new = np.r_[True, (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]) | (start[1:] != start[:-1] + 1)]
                 anchor, owner = anchor[new], _ids(part)[text[new]]
                 order = np.argsort(anchor)
                 anchor, owner = anchor[order], owner[order]
@@ -173,26 +180,30 @@ def shared_anchors(rows: DataFrame, window: int, gram: int) -> DataFrame:
                         pa.array(anchor[first].view(np.int64)),
                         pa.array(np.minimum.reduceat(owner, first)),
                         pa.array(np.maximum.reduceat(owner, first)),
+                        pa.array(np.diff(np.r_[first, len(anchor)])),
                     ],
-                    ["key", "low", "high"],
+                    ["key", "low", "high", "segments"],
                 )
 
-    found = rows.mapInArrow(emit, "key bigint, low bigint, high bigint")
-    return found.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("key")
+    found = rows.mapInArrow(emit, "key bigint, low bigint, high bigint, segments bigint").groupBy("key")
+    found = found.agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("segments").alias("segments"))
+    return found.filter("low < high").select("key", "segments")
 
 
-def segments(rows: DataFrame, bits: np.ndarray, window: int, gram: int, once: bool) -> DataFrame:
+def segments(rows: DataFrame, bits: np.ndarray, hot: np.ndarray, window: int, gram: int, once: bool) -> DataFrame:
     """Segments around the anchors in the filter: ``key, id, mark, start, windows, words``.
 
-    ``start`` is the first word's number in its text. With ``once`` a task
+    ``start`` is the first word's number in its text. Windows of an anchor in
+    the filter ``hot`` are segments of their own without ``words``; their
+    ``key`` is a hash of their words. With ``once`` a task
     leaves out a segment that it has sent for a smaller or equal id and a
     larger or equal one.
     """
-    shipped = rows.sparkSession.sparkContext.broadcast(bits)
+    shipped = rows.sparkSession.sparkContext.broadcast((bits, hot))
 
     @frees_memory
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter, held = Splitter(lower=False), shipped.value
+        splitter, (held, common) = Splitter(lower=False), shipped.value
         sent: dict[int, tuple[int, int]] = {}
         for batch in batches:
             for part in slices(batch, 2):
@@ -202,13 +213,17 @@ def segments(rows: DataFrame, bits: np.ndarray, window: int, gram: int, once: bo
                 anchor, start, text = anchor[hit], start[hit], text[hit]
                 if not len(anchor):
                     continue
-                new = np.r_[True, (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]) | (start[1:] != start[:-1] + 1)]
+                single = hits(common, anchor)
+                new = np.r_[True, (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]) | (start[1:] != start[:-1] + 1)] | single
                 first = np.flatnonzero(new)
                 count = np.diff(np.r_[first, len(anchor)])
                 key, begin, owner = anchor[first], start[first], text[first]
                 last = begin + count - 1 + window - 1
                 sums = np.r_[np.uint64(0), np.cumsum(mix(words.hash) * splitter.power[: len(words.hash)])]
                 name = mix((sums[last + 1] - sums[begin]) * splitter.inverse[begin]) ^ mix(key ^ count.astype(np.uint64))
+                single = single[first]
+                key = key.copy()
+                key[single] = combine(words.hash, begin[single], window, 1)
                 ids = _ids(part)[owner]
                 keep = np.arange(len(key))
                 if once:
@@ -230,7 +245,7 @@ def segments(rows: DataFrame, bits: np.ndarray, window: int, gram: int, once: bo
                     pa.array(name[keep].view(np.int64)),
                 ]
                 if once:
-                    low, size = words.start[begin[keep]], (words.end[last] - words.start[begin])[keep]
+                    low, size = words.start[begin[keep]], np.where(single, 0, words.end[last] - words.start[begin])[keep]
                     ends = np.cumsum(size)
                     taken = np.repeat(low - (ends - size), size) + np.arange(int(size.sum()))
                     offsets = np.r_[0, ends].astype(np.int64)
@@ -279,6 +294,17 @@ def earliest(part: pa.Table, window: int) -> pa.Table:
     )
 
 
+def distinct_segments(rows: DataFrame, bits: np.ndarray, hot: np.ndarray, window: int, gram: int, shards: int) -> DataFrame:
+    """``shard, key, name, low, high, words``: the distinct segments with their smallest and largest id."""
+    return (
+        segments(rows, bits, hot, window, gram, once=True)
+        .withColumn("shard", F.pmod("key", F.lit(shards)))
+        .repartition("shard")
+        .groupBy("shard", "key", "name")
+        .agg(F.min("id").alias("low"), F.max("id").alias("high"), F.first("words").alias("words"))
+    )
+
+
 def repeats(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int) -> DataFrame:
     """``id, mark, found`` for texts with a repeated window; ``found`` is a
     set of (first word, one boolean per window from there). ``mark`` tells
@@ -286,22 +312,19 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text"))
     anchors = stored(shared_anchors(rows, window, gram), "anchors")
     n_anchors = anchors.count()
-    bits = key_filter(anchors)
+    bits, hot = key_filter(anchors), key_filter(anchors.filter(F.col("segments") > HOT_SEGMENTS))
     shards = max(1, n_anchors // SHARD_ANCHORS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    distinct = (
-        segments(rows, bits, window, gram, once=True)
-        .withColumn("shard", F.pmod("key", F.lit(shards)))
-        .repartition("shard")
-        .groupBy("shard", "key", "name")
-        .agg(F.min("id").alias("low"), F.max("id").alias("high"), F.first("words").alias("words"))
-    )
+    distinct = distinct_segments(rows, bits, hot, window, gram, shards)
 
     @frees_memory
     def of_shard(part: pa.Table) -> pa.Table:
         return earliest(part, window)
 
-    known = distinct.groupBy("shard").applyInArrow(of_shard, "key bigint, name bigint, smallest array<bigint>")
-    places = segments(rows, bits, window, gram, once=False)
+    # A single window needs no index: its aggregate has the smallest id.
+    single = F.length("words") == 0
+    indexed = distinct.filter(~single).groupBy("shard").applyInArrow(of_shard, "key bigint, name bigint, smallest array<bigint>")
+    known = indexed.unionByName(distinct.filter(single & (F.col("low") < F.col("high"))).select("key", "name", F.array("low").alias("smallest")))
+    places = segments(rows, bits, hot, window, gram, once=False)
     flagged = places.join(known, ["key", "name"]).select(
         "id", "mark", "start", F.transform("smallest", lambda s: s < F.col("id")).alias("repeated")
     )

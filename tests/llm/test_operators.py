@@ -262,6 +262,25 @@ def test_mixing(awkward):
         assert t < 2 * size or t / weight[s] <= max(levels.values()) + 1e-9
 
 
+def test_substring_common_phrase(spark, monkeypatch):
+    """A phrase with many different neighbours never makes one large index, and repeats around it are found."""
+    from paxflow.llm import substring
+
+    monkeypatch.setattr(substring, "HOT_SEGMENTS", 50)
+    rng = random.Random(6)
+    word = lambda: f"n{rng.randrange(10**9)}"
+    texts = [" ".join([*(word() for _ in range(10)), "the common phrase of all", *(word() for _ in range(10))]) for _ in range(300)]
+    docs = spark.createDataFrame([*enumerate(texts), *((1000 + k, f"{word()} {t} {word()}") for k, t in enumerate(texts[::20]))], TWO)
+    rows = docs.selectExpr("doc_id as id", "xxhash64(text) as mark", "text")
+    anchors = substring.shared_anchors(rows, 13, 5)
+    hot = substring.key_filter(anchors.filter("segments > 50"))
+    found = substring.distinct_segments(rows, substring.key_filter(anchors), hot, 13, 5, 4).filter("length(words) > 0")
+    assert max([r["count"] for r in found.groupBy("key").count().collect()], default=0) <= 50
+    got = collections.Counter(tuple(r) for r in removal_digest(remove_repeats(docs)).collect())
+    assert got == collections.Counter(repeats(texts_of(docs)))
+    assert sum(r[2] > 0 for r in got) == 15
+
+
 def test_substring(spark, awkward):
     docs = awkward.select("doc_id", "text").unionByName(spark.createDataFrame([(None, awkward.filter("doc_id = 30").first().text)], TWO))
     got = collections.Counter(tuple(r) for r in removal_digest(remove_repeats(docs)).collect())
