@@ -8,6 +8,7 @@ from paxflow.llm import secret_scan
 from paxflow.llm.decontaminate import contaminated
 from paxflow.llm.exact_dedup import exact_dedup
 from paxflow.llm.lm import lm_scores
+from paxflow.llm.merkle import manifest_digest
 from paxflow.llm.mixing import mix_plan
 from paxflow.llm.ngram_join import jaccard_components
 from paxflow.llm.pii import pii_digest, pii_spans
@@ -15,6 +16,7 @@ from paxflow.llm.secret_scan import secret_digest, secret_spans
 from paxflow.llm.substring import remove_repeats, removal_digest
 from paxflow.llm.token_store import token_digests
 from paxflow.llm.toxicity import toxicity
+from paxflow.llm.whitening import whitened
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -67,6 +69,14 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return removal_digest(remove_repeats(documents(spark, sf)))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return manifest_digest(documents(spark, sf))
+
+
+def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitened(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_ngram_join": op2_ngram_join,
@@ -78,6 +88,8 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_whitening": op12_whitening,
 }
 
 def _located(kind: str, order: int, pattern: str) -> str:
