@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from paxflow.llm import secret_scan
 from paxflow.llm.decontaminate import contaminated
 from paxflow.llm.exact_dedup import exact_dedup
+from paxflow.llm.language import languages
 from paxflow.llm.lm import lm_scores
 from paxflow.llm.merkle import manifest_digest
 from paxflow.llm.mixing import mix_plan
@@ -77,6 +78,10 @@ def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
     return whitened(spark.read.parquet(f"{sf}/embeddings.parquet"))
 
 
+def op13_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return languages(documents(spark, sf))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_ngram_join": op2_ngram_join,
@@ -90,6 +95,7 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_whitening": op12_whitening,
+    "op13_language_id": op13_language_id,
 }
 
 def _located(kind: str, order: int, pattern: str) -> str:

@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paxflow.llm.matrices import LINE_DDL, matrix_lines, summed_matrix
 from paxflow.llm.memory import frees_memory
 
 COMPONENTS = 32
@@ -145,18 +146,9 @@ def _gram(kept: DataFrame, vector_col: str, dimension: int, of: Callable[[np.nda
             total += block.T @ block
             rows += part.num_rows
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()), pa.array(total.tolist(), pa.list_(pa.float64()))], ["at", "line"])
+            yield from matrix_lines(total)
 
-    @frees_memory
-    def join(part: pa.Table) -> pa.Table:
-        lines = pc.list_flatten(part.column("line")).to_numpy().reshape(-1, width)
-        # in an order that does not depend on arrival
-        lines = lines[np.lexsort(lines.T[::-1])]
-        return pa.table({"at": pa.array([part.column("at")[0].as_py()], pa.int32()), "line": pa.array([lines.sum(axis=0).tolist()], pa.list_(pa.float64()))})
-
-    parts = kept.select(vector_col).mapInArrow(add, "at int, line array<double>")
-    lines = parts.groupBy("at").applyInArrow(join, "at int, line array<double>").collect()
-    return np.array([r["line"] for r in sorted(lines, key=lambda r: r["at"])])
+    return summed_matrix(kept.select(vector_col).mapInArrow(add, LINE_DDL), width)
 
 
 def _solve_right(rows: np.ndarray, upper: np.ndarray) -> np.ndarray:
