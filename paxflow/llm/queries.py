@@ -219,4 +219,53 @@ SQL = {
             FROM d LEFT JOIN g ON d.doc_id = g.doc_id)
         SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
     """,
+    "op11_merkle_manifest": r"""
+    WITH RECURSIVE fields AS (
+        SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+               list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)) AS digits,
+               list_transform(range(256), lambda i: list_reduce(range(8),
+                   lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i)) AS crc
+        FROM documents),
+    sized AS (
+        SELECT *, coalesce(list_aggregate(list_transform([CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR)],
+                   lambda v: coalesce(CAST(strlen(v) AS VARCHAR) || ':' || v, '-')), 'string_agg', ''), '') AS head,
+               xor(4294967295, list_reduce(digits, lambda a, b: xor(a >> 8, crc[CAST(xor(a, b) & 255 AS BIGINT) + 1]), 4294967295)) % 5 = 0 AS asked
+        FROM fields),
+    leaves AS (
+        SELECT doc_id, source, sha256(head || coalesce(CAST(strlen(text) AS VARCHAR) || ':' || text, '-')) AS leaf,
+               sha256(head || CASE WHEN text IS NULL THEN '-' WHEN asked THEN CAST(strlen(low) AS VARCHAR) || ':' || low
+                              ELSE CAST(strlen(text) AS VARCHAR) || ':' || text END) AS changed
+        FROM sized),
+    placed AS (
+        SELECT *, coalesce('=' || source, '-') AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+               count(*) OVER (PARTITION BY source) AS n
+        FROM leaves),
+    nodes AS (
+        SELECT tree, 0 AS lvl, idx, leaf AS h, n FROM placed
+        UNION ALL
+        SELECT tree, lvl + 1, idx // 16, sha256(string_agg(h, '' ORDER BY idx)), (n + 15) // 16 FROM nodes WHERE n > 1 GROUP BY tree, lvl, idx // 16, n),
+    runs AS (SELECT tree, lvl, idx // 16 AS run, list(h ORDER BY idx) AS hs, any_value(n) AS n FROM nodes GROUP BY ALL),
+    subroots AS (SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS trees FROM nodes WHERE n = 1),
+    tops AS (
+        SELECT 0 AS lvl, place AS idx, subroot AS h, trees AS n FROM subroots
+        UNION ALL
+        SELECT lvl + 1, idx // 16, sha256(string_agg(h, '' ORDER BY idx)), (n + 15) // 16 FROM tops WHERE n > 1 GROUP BY lvl, idx // 16, n),
+    top_runs AS (SELECT lvl, idx // 16 AS run, list(h ORDER BY idx) AS hs, any_value(n) AS n FROM tops GROUP BY ALL),
+    inner_way AS (
+        SELECT doc_id, tree, leaf, idx AS id, 0 AS lvl, idx, n, changed AS h, '' AS proof FROM placed
+        UNION ALL
+        SELECT doc_id, w.tree, leaf, id, w.lvl + 1, idx // 16, (w.n + 15) // 16,
+               sha256(array_to_string(hs[1:idx % 16], '') || h || array_to_string(hs[idx % 16 + 2:], '')),
+               proof || array_to_string(hs[1:idx % 16], '') || array_to_string(hs[idx % 16 + 2:], '')
+        FROM inner_way w JOIN runs r ON r.tree = w.tree AND r.lvl = w.lvl AND r.run = idx // 16 WHERE w.n > 1),
+    outer_way AS (
+        SELECT doc_id, w.tree, leaf, id, subroot, 0 AS lvl, place AS idx, trees AS n, h, proof FROM inner_way w JOIN subroots s ON s.tree = w.tree WHERE w.n = 1
+        UNION ALL
+        SELECT doc_id, tree, leaf, id, subroot, w.lvl + 1, idx // 16, (w.n + 15) // 16,
+               sha256(array_to_string(hs[1:idx % 16], '') || h || array_to_string(hs[idx % 16 + 2:], '')),
+               proof || array_to_string(hs[1:idx % 16], '') || array_to_string(hs[idx % 16 + 2:], '')
+        FROM outer_way w JOIN top_runs r ON r.lvl = w.lvl AND r.run = idx // 16 WHERE w.n > 1)
+    SELECT doc_id, leaf, subroot, t.h AS root, sha256(proof) AS proof_sha256, w.h AS folded_root, w.h = t.h AS verified
+    FROM outer_way w, (SELECT h FROM tops WHERE n = 1) t WHERE w.n = 1
+""",
 }

@@ -136,3 +136,66 @@ def repeats(rows, window=13):
                 gone.update(range(k, k + window))
         out[i, len(words), len(gone), sha(" ".join(w for k, w in enumerate(words) if k not in gone))] += 1
     return out
+
+
+def manifest(rows):
+    """Rows (doc_id, text, lang, source, n_chars) -> (doc_id, leaf, subroot, root, proof, folded root, verified)."""
+
+    def field(value):
+        raw = str(value).encode()
+        return b"-" if value is None else str(len(raw)).encode() + b":" + raw
+
+    def leaf(i, text, lang, source, n_chars):
+        return hashlib.sha256(b"".join(map(field, (i, source, lang, n_chars, text)))).hexdigest()
+
+    def tree(nodes):
+        levels = [nodes]
+        while len(levels[-1]) > 1:
+            levels.append([sha("".join(levels[-1][i : i + 16])) for i in range(0, len(levels[-1]), 16)])
+        return levels
+
+    def way(levels, i):
+        for level in levels[:-1]:
+            first = i // 16 * 16
+            yield i - first, level[first : first + 16]
+            i //= 16
+
+    groups = collections.defaultdict(list)
+    for row in rows:
+        groups[row[3]].append(row)
+    sources = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for s in sources:
+        groups[s].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(*r)))
+        trees[s] = tree([leaf(*r) for r in groups[s]])
+    top = tree([trees[s][-1][0] for s in sources])
+    out = []
+    for k, s in enumerate(sources):
+        for i, row in enumerate(groups[s]):
+            steps = [*way(trees[s], i), *way(top, k)]
+            proof = sha("".join("".join(run[:at] + run[at + 1 :]) for at, run in steps))
+            asked = row[0] is not None and binascii.crc32(str(row[0]).encode()) % 5 == 0 and row[1] is not None
+            digest = leaf(row[0], lower(row[1]) if asked else row[1], *row[2:])
+            for at, run in steps:
+                digest = sha("".join([*run[:at], digest, *run[at + 1 :]]))
+            out.append((row[0], leaf(*row), trees[s][-1][0], top[-1][0], proof, digest, digest == top[-1][0]))
+    return out
+
+
+def whitening(rows):
+    """Rows (vec_id, vector) -> (ids, n, deviations, eigenvalues, projections over the root of the eigenvalue)."""
+    import numpy as np
+
+    good = [(i, v) for i, v in rows if v and all(c is not None and math.isfinite(c) for c in v)]
+    sizes = collections.Counter(len(v) for _, v in good)
+    usual = max(sizes, key=lambda d: (sizes[d], d))
+    good = [(i, v) for i, v in good if len(v) == usual]
+    x = [[math.floor(64 * c) + 1_000_000 for c in v] for _, v in good]
+    n, sums = len(x), [sum(c) for c in zip(*x, strict=True)]
+    deviations = [sum((n * c - s) ** 2 for c, s in zip(row, sums, strict=True)) for row in x]
+    centred = np.array([[(n * c - s) / n for c, s in zip(row, sums, strict=True)] for row in x])
+    # singular values of the rows themselves: small variances keep their digits
+    _, singular, right = np.linalg.svd(centred, full_matrices=False)
+    values = singular**2 / n
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return [i for i, _ in good], n, deviations, values, centred @ right.T / np.sqrt(values)
