@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from paxflow.functions.instants import utc_instant
 from paxflow.schema import BOOKING_EVENT_DDL
 
-_RECORD = "event.DataElement.travelrecord"
+RECORD = "event.DataElement.travelrecord"
 
 
 def read_booking_lines(spark: SparkSession, path, glob: str | None = "*.json") -> DataFrame:
@@ -31,17 +31,26 @@ def read_booking_lines(spark: SparkSession, path, glob: str | None = "*.json") -
 _JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
 
-def read_booking_events(spark: SparkSession, path, glob: str | None = "*.json") -> DataFrame:
+def read_booking_events(
+    spark: SparkSession, path, glob: str | None = "*.json", skip_unreadable: bool = False, with_file: bool = False
+) -> DataFrame:
     """JSON file scan with the declared schema (one parse per
     line, inside the scan; only the fields a query uses are converted).
 
     Columns: ``timestamp``, ``event``, ``_corrupt_record``. Blank lines are
     skipped, lines that are not JSON keep their text in ``_corrupt_record``.
+    ``skip_unreadable``: a file that cannot be read on (a damaged archive)
+    ends there and the scan goes on; what came before the damage is kept. By
+    default it ends the run. ``with_file`` adds each line's ``file``;
+    :mod:`paxflow.sources.ingest` finds the skipped files with it.
     """
     reader = spark.read.schema(BOOKING_EVENT_DDL).options(**_JSON_OPTIONS)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.json(path)
+    if skip_unreadable:
+        reader = reader.option("ignoreCorruptFiles", "true")
+    events = reader.json(path)
+    return events.select("*", F.col("_metadata.file_path").alias("file")) if with_file else events
 
 
 def decode(lines: DataFrame) -> DataFrame:
@@ -57,19 +66,19 @@ def decode(lines: DataFrame) -> DataFrame:
     return lines.filter(F.trim(F.col("value")) != "").select("value", F.inline(F.array(parsed)))
 
 
-def _raw(df: DataFrame) -> DataFrame:
+def decoded(df: DataFrame) -> DataFrame:
     """Accept either a lines DataFrame (``value``) or a decoded one."""
     return decode(df) if "event" not in df.columns else df
 
 
-def _int(c: Column) -> Column:
+def whole_number(c: Column) -> Column:
     """Text (or JSON number read as text) -> INT, null when not an integer."""
     return c.try_cast("int")
 
 
 def _passenger_ok(p: Column) -> Column:
-    age_ok = p.age.isNull() | _int(p.age).isNotNull()
-    return p.isNotNull() & p.uci.isNotNull() & p.passengerType.isNotNull() & _int(p.tattoo).isNotNull() & age_ok
+    age_ok = p.age.isNull() | whole_number(p.age).isNotNull()
+    return p.isNotNull() & p.uci.isNotNull() & p.passengerType.isNotNull() & whole_number(p.tattoo).isNotNull() & age_ok
 
 
 def _product_ok(d: Column) -> Column:
@@ -86,9 +95,9 @@ def _product_ok(d: Column) -> Column:
     )
 
 
-def _reason(strict: bool) -> Column:
+def event_reject_reason(strict: bool) -> Column:
     """Why an event is rejected, or null when it is kept."""
-    record = F.col(_RECORD)
+    record = F.col(RECORD)
     reason = F.when(F.col("_corrupt_record").isNotNull(), F.lit("malformed_json")).when(
         record.isNull(), F.lit("missing_travelrecord")
     )
@@ -113,8 +122,8 @@ def _event_columns(record: Column, origins=None) -> list[Column]:
         lambda p: F.struct(
             p.uci.alias("uci"),
             F.upper(F.trim(p.passengerType)).alias("passenger_type"),
-            _int(p.age).alias("age"),
-            _int(p.tattoo).alias("tattoo"),
+            whole_number(p.age).alias("age"),
+            whole_number(p.tattoo).alias("tattoo"),
         ),
     )
     def keep(d: Column) -> Column:
@@ -153,19 +162,24 @@ def parse_events(source: DataFrame, strict: bool = False, origins=None) -> DataF
     ``origins`` keeps only products departing from those codes (a key
     predicate for leg pipelines: dates of other products are not parsed).
     """
-    raw = _raw(source)
-    return raw.filter(_reason(strict).isNull()).select(*_event_columns(F.col(_RECORD), origins))
+    raw = decoded(source)
+    return raw.filter(event_reject_reason(strict).isNull()).select(*_event_columns(F.col(RECORD), origins))
+
+
+def event_text(raw: DataFrame) -> Column:
+    """The text of a rejected event: the line, what is left of a malformed
+    one, or the event written as JSON again."""
+    if "value" in raw.columns:
+        return F.col("value")
+    return F.coalesce(F.col("_corrupt_record"), F.to_json(F.struct("timestamp", "event")))
 
 
 def quarantine(source: DataFrame, strict: bool = False) -> DataFrame:
     """Rejected lines with a reason (value, reason). From a file
     scan the text of a malformed line is kept; other rejects are
     re-serialised from the parsed event."""
-    raw = _raw(source)
-    text = F.col("value") if "value" in raw.columns else F.coalesce(
-        F.col("_corrupt_record"), F.to_json(F.struct("timestamp", "event"))
-    )
-    return raw.select(text.alias("value"), _reason(strict).alias("reason")).filter(F.col("reason").isNotNull())
+    raw = decoded(source)
+    return raw.select(event_text(raw).alias("value"), event_reject_reason(strict).alias("reason")).filter(F.col("reason").isNotNull())
 
 
 def product_key_filter(origins=None, start=None, end=None):
@@ -230,6 +244,21 @@ def explode_legs(events: DataFrame, product_filter=None, keep_event_id: bool = F
     return events.select(*cols, F.inline(legs))
 
 
+def pair_reject_reason(p: Column, d: Column, departs: Column, arrives: Column) -> Column:
+    """Why a passenger x product pair is no leg, or null when it is one."""
+    f = d.flight
+    return (
+        F.when(p.isNull(), "missing_passenger")
+        .when(p.uci.isNull(), "missing_uci")
+        .when(d.isNull() | f.isNull(), "missing_product")
+        .when(f.originAirport.isNull(), "missing_origin")
+        .when(f.destinationAirport.isNull(), "missing_destination")
+        .when(f.operatingAirline.isNull(), "missing_airline")
+        .when(departs.isNull(), "invalid_departure")
+        .when(arrives.isNull(), "invalid_arrival")
+    )
+
+
 def quarantine_legs(source: DataFrame) -> DataFrame:
     """S5/S9 at leg level: every passenger x product pair of a kept event
     that gives no leg (booking_ts, reason, passenger, product as JSON text
@@ -240,21 +269,11 @@ def quarantine_legs(source: DataFrame) -> DataFrame:
     invalid_departure, invalid_arrival. Legs and these rows together are
     all passenger x product pairs of the events that :func:`parse_events` keeps.
     """
-    raw = _raw(source).filter(_reason(False).isNull())
-    record = F.col(_RECORD)
+    raw = decoded(source).filter(event_reject_reason(False).isNull())
+    record = F.col(RECORD)
 
     def why(p: Column, d: Column) -> Column:
-        f = d.flight
-        return (
-            F.when(p.isNull(), "missing_passenger")
-            .when(p.uci.isNull(), "missing_uci")
-            .when(d.isNull() | f.isNull(), "missing_product")
-            .when(f.originAirport.isNull(), "missing_origin")
-            .when(f.destinationAirport.isNull(), "missing_destination")
-            .when(f.operatingAirline.isNull(), "missing_airline")
-            .when(utc_instant(f.departureDate).isNull(), "invalid_departure")
-            .when(utc_instant(f.arrivalDate).isNull(), "invalid_arrival")
-        )
+        return pair_reject_reason(p, d, utc_instant(d.flight.departureDate), utc_instant(d.flight.arrivalDate))
 
     pairs = F.flatten(
         F.transform(
