@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from paxflow.config import CONFIRMED, RuleConfig
 from paxflow.functions.instants import departure_window
 from paxflow.operators.status import latest_status
-from paxflow.plans.sizing import bounded_broadcast, stored
+from paxflow.plans.sizing import bounded_broadcast, shared_dir
 from paxflow.schema import LEG_KEY
 
 # ---------------------------------------------------------------- leg level
@@ -83,11 +83,11 @@ def any_departing_from(events: DataFrame, origins) -> DataFrame:
     return events.filter(F.exists("products", lambda d: d.origin_airport.isin(*origins)))
 
 
-def event_legs(events: DataFrame) -> DataFrame:
-    """Every event's legs as narrow facts, one generator: event_id, booking_ts,
-    the leg key and what decides the latest status. Legs need a complete key
-    only; airline and arrival may be missing."""
-    legs = F.flatten(
+def _facts(tags: list[Column]) -> Column:
+    """An event's legs as an array of narrow structs: ``tags``, the leg key
+    and what decides the latest status. Legs need a complete key only;
+    airline and arrival may be missing."""
+    return F.flatten(
         F.transform(
             F.filter("passengers", lambda p: p.uci.isNotNull()),
             lambda p: F.transform(
@@ -98,6 +98,7 @@ def event_legs(events: DataFrame) -> DataFrame:
                     & d.departure_ts.isNotNull(),
                 ),
                 lambda d: F.struct(
+                    *tags,
                     p.uci.alias("passenger_uci"),
                     p.passenger_type.alias("passenger_type"),
                     p.age.alias("passenger_age"),
@@ -111,8 +112,32 @@ def event_legs(events: DataFrame) -> DataFrame:
             ),
         )
     )
-    carried = [c for c in ("event_id", "booking_ts", "candidate") if c in events.columns]
-    return events.select(*carried, F.inline(legs))
+
+
+def event_legs(events: DataFrame) -> DataFrame:
+    """Every event's legs as narrow facts, one generator: event_id,
+    booking_ts and the fields of a fact."""
+    return events.select("event_id", "booking_ts", F.inline(_facts([])))
+
+
+def facts_and_candidates(events: DataFrame, candidate: Column) -> tuple[DataFrame, DataFrame]:
+    """(facts of all events, the candidate events whole), stored by one pass
+    over ``events``: an event leaves the generator as its narrow legs, and a
+    candidate once more as itself. The two kinds lie in folders of their own,
+    so neither reads the other's columns."""
+    spark = events.sparkSession
+    fields = event_legs(events).drop("event_id", "booking_ts").schema.fields
+    facts = _facts([F.lit("fact").alias("kind"), F.lit(None).cast(events.schema).alias("event")])
+    no_fact = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+    itself = F.array(F.struct(F.lit("event").alias("kind"), F.struct(*events.columns).alias("event"), *no_fact))
+    # computed below the generator, so once per event and not once per leg
+    marked = events.withColumn("candidate", F.coalesce(candidate, F.lit(False)))
+    both = F.concat(facts, F.filter(itself, lambda _: F.col("candidate")))
+    rows = marked.select("event_id", "booking_ts", "candidate", F.inline(both))
+    path = shared_dir(spark, "event-facts")
+    rows.write.partitionBy("kind").parquet(path)
+    table = spark.read.schema(rows.schema).parquet(path)
+    return table.filter("kind = 'fact'").drop("kind", "event"), table.filter("kind = 'event'").select("event.*")
 
 
 def with_confirmed_leg(events: DataFrame, latest: DataFrame) -> DataFrame:
@@ -163,10 +188,13 @@ def event_rules(events: DataFrame, cfg: RuleConfig) -> DataFrame:
     Each test is "any product", so one product may satisfy the date and
     another the airline; :func:`qualifying_products` re-checks per product.
 
-    Only narrow facts are stored, as Parquet: id, key, status and whether
-    the event passes the three tests (a candidate). Latest status runs on
-    the keys that candidates have, whole groups at a time, so it is exact
-    for them; the wide events are read again and selected by id.
+    The feed is parsed once: narrow facts of all events (id, key, status) and
+    the candidates, events that pass the three tests, go to Parquet together.
+    Latest status runs on the keys that candidates have, whole groups at a
+    time, so it is exact for them. Those keys are sent to the facts where
+    their number is checked to be small, so that only rows of asked legs are
+    shuffled; else both sides are. Facts are not bucketed by key: a hot leg
+    would be one bucket, which no join can split.
     """
 
     def passing(product) -> Column:
@@ -175,11 +203,10 @@ def event_rules(events: DataFrame, cfg: RuleConfig) -> DataFrame:
     candidate = passing(_product_in_window(cfg.start, cfg.end)) & passing(lambda d: d.operating_airline == F.lit(cfg.airline))
     if cfg.origins is not None:
         candidate = candidate & passing(lambda d: d.origin_airport.isin(*cfg.origins))
-    candidate = F.coalesce(candidate, F.lit(False))
-    facts = stored(event_legs(events.withColumn("candidate", candidate)), "event-legs")
-    asked = facts.filter("candidate")
+    facts, candidates = facts_and_candidates(events, candidate)
+    asked = facts.filter("candidate").select("event_id", *LEG_KEY)
     complete = facts.filter("operating_airline is not null and arrival_ts is not null").drop("event_id", "candidate")
-    grouped = complete.join(asked.select(*LEG_KEY).distinct(), list(LEG_KEY), "left_semi")
+    grouped = complete.join(bounded_broadcast(asked.select(*LEG_KEY).distinct()), list(LEG_KEY), "left_semi")
     confirmed = latest_status(grouped, cfg.tie_break).filter(F.col("is_confirmed")).select(*LEG_KEY)
     ids = asked.join(confirmed, list(LEG_KEY), "left_semi").select("event_id").distinct()
-    return events.join(ids, "event_id", "left_semi")
+    return candidates.join(ids, "event_id", "left_semi")
