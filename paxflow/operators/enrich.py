@@ -22,18 +22,22 @@ def enrich(legs: DataFrame, airports: DataFrame, tz_from: str = "origin") -> Dat
     when the origin is unknown or its zone is empty, else UTC.
     ``tz_from="destination"``: the destination's zone, else UTC.
     Season comes from the UTC month of departure. The dimension is
-    broadcast behind a row-count check (a job when this is called); the two
-    lookups read different columns of it, so a dimension that is costly to
-    compute should be stored first, as the batch entry points do.
+    broadcast behind a row-count check (a job when this is called). Both
+    lookups read the same columns of it with the same filters, so one
+    computed and broadcast table serves both.
     """
     dim = bounded_broadcast(zone_columns(airports))
     d, o = dim.alias("_d"), dim.alias("_o")
-    out = legs.join(d, F.col("destination_airport") == F.col("_d.iata"), "inner").filter(
-        F.col("_d.country") != ""
-    )
+    # Written on both sides of the join: on the airport alone the test would
+    # be pushed into this lookup's table, and the other could not share it.
+    country = F.when(F.col("destination_airport").isNotNull(), F.col("_d.country"))
+    out = legs.join(d, F.col("destination_airport") == F.col("_d.iata"), "inner").filter(country != "")
     if tz_from == "origin":
-        out = out.join(o, F.col("origin_airport") == F.col("_o.iata"), "left")
-        zone = F.coalesce(F.nullif(F.col("_o.tz"), F.lit("")), F.nullif(F.col("_d.tz"), F.lit("")), F.lit("UTC"))
+        # As an expression the key passes no origin rule on to the table, for the same reason; '' is no airport's code.
+        out = out.join(o, F.coalesce("origin_airport", F.lit("")) == F.col("_o.iata"), "left")
+        # a known airport's country is never null; reading it keeps the columns of both lookups alike
+        origin_zone = F.when(F.col("_o.country").isNotNull(), F.nullif(F.col("_o.tz"), F.lit("")))
+        zone = F.coalesce(origin_zone, F.nullif(F.col("_d.tz"), F.lit("")), F.lit("UTC"))
     else:
         zone = F.coalesce(F.nullif(F.col("_d.tz"), F.lit("")), F.lit("UTC"))
     return out.select(

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from golden import AIRPORT_LINES, END, EVENT_LINES, START, lines_df
 
 from paxflow.config import RuleConfig
@@ -80,16 +82,23 @@ def test_leg_store_prunes_and_pushes(spark, scratch):
     assert outside.count() == 0
 
 
-def test_event_rules_store_narrow_facts_only(spark):
-    from paxflow.operators.rules import event_rules, with_confirmed_leg
+def test_event_rules_parse_once_and_shuffle_asked_legs_only(spark):
+    from paxflow.operators.rules import event_rules, facts_and_candidates, with_confirmed_leg
 
     events = parse_events(lines_df(spark, EVENT_LINES))
-    optimized = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    kept = optimized(event_rules(events, CFG))
-    # no checkpointed events; the facts come back as pruned Parquet scans without the nested members
-    assert "Scan ExistingRDD" not in kept and kept.count("Relation [") >= 2
-    assert "passengers" not in kept[kept.index("Relation [") :].split("Relation [")[1].split("]")[0]
-    semi = optimized(with_confirmed_leg(events, latest_status(explode_legs(events))))
+    kept = event_rules(events, CFG)
+    p = plan(kept)
+    # nothing of the feed is left in the plan: it was parsed once, when facts and candidates were stored
+    assert "from_json" not in p and "ExistingRDD" not in p
+    scans = [line for line in formatted(kept).splitlines() if line.startswith("ReadSchema")]
+    narrow = [s for s in scans if "event:struct" not in s]
+    assert len(scans) - len(narrow) == 1 and len(narrow) >= 2  # only the last join sees whole events
+    # the facts meet the asked keys before they are shuffled
+    latest = p[p.index("WindowGroupLimit") :]
+    assert latest.index("BroadcastHashJoin") < latest.index("FileScan parquet")
+    facts, candidates = facts_and_candidates(events, F.lit(None).cast("boolean"))
+    assert candidates.count() == 0 and candidates.columns == events.columns and facts.count() > 10
+    semi = with_confirmed_leg(events, latest_status(explode_legs(events)))._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in semi and "checkpoint" not in semi
 
 
@@ -106,3 +115,11 @@ def test_lines_are_parsed_once(spark):
     assert physical.count("from_json(") == 1  # the validity filter does not copy it
     airports_plan = airports(spark)._jdf.queryExecution().executedPlan().toString()
     assert airports_plan.count("from_csv(") == 1
+
+
+def test_both_airport_lookups_share_one_broadcast(spark):
+    report = report_from_lines(lines_df(spark, EVENT_LINES), airports(spark), CFG)
+    report.collect()
+    final = plan(report).split("Initial Plan")[0]
+    assert final.count("BroadcastHashJoin") == 2 and final.count("from_csv(") == 1
+    assert final.count("ReusedExchange") >= 1
