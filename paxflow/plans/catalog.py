@@ -605,13 +605,84 @@ def stream_daily_counts(spark, sf):
     """A7/ST1/O4 literal streaming form: windowed count, complete mode,
     sorted busiest first (``position`` in that order)."""
     from paxflow.streaming import stream as st
+    from paxflow.streaming.publish import read_published
 
     base = _replay_files(spark, sf, "stream-counts")
     cfg = RuleConfig()
     legs_s = st.stream_legs(st.stream_lines(spark, f"{base}/in", STREAM_FILES_PER_TRIGGER))
     counts = st.daily_counts_stream(legs_s, airports(spark, sf), cfg)
     st.start_daily_counts(counts, f"{base}/out", f"{base}/checkpoint", available_now=True).awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    return read_published(spark, f"{base}/out")
+
+
+_DAY_COUNT_SQL = "\nSELECT CAST(departure_ts AS DATE) AS departure_day, country, count(*) AS passengers FROM e GROUP BY ALL"
+
+
+def _replayed_ledger(spark, files: str, purpose: str, cfg: RuleConfig, compact_every: int, per_trigger: int = 1, **more):
+    """A ledger that has taken in all files of a folder, a few per trigger."""
+    from paxflow.plans.sizing import shared_dir
+    from paxflow.streaming import stream as st
+    from paxflow.streaming.ledger import Ledger
+
+    base = shared_dir(spark, purpose)
+    ledger = Ledger(spark, f"{base}/ledger", cfg, compact_every=compact_every)
+    legs_s = st.stream_legs(st.stream_lines(spark, files, per_trigger), cfg)
+    ledger.start(legs_s, f"{base}/checkpoint", available_now=True, **more).awaitTermination()
+    return ledger
+
+
+@register("stream_retract_counts", q.with_base(*_report_sql(REPORT_CFG)[:2]) + _DAY_COUNT_SQL)
+def stream_retract_counts(spark, sf):
+    """ST7: every trigger turns its changed legs into -1 / +1 on a (day,
+    destination) count table; the sums equal the batch counts."""
+    files = _replay_files(spark, sf, "stream-retract")
+    ledger = _replayed_ledger(spark, f"{files}/in", "retract", REPORT_CFG, 3, STREAM_FILES_PER_TRIGGER)
+    return ledger.countries(airports(spark, sf))
+
+
+_LATE_LINE = (
+    '{"timestamp":"1998-12-30T00:00:00Z","event":{"DataElement":{"travelrecord":{"passengersList":[{"uci":"SETTLED",'
+    '"passengerType":"ADT","age":1,"tattoo":1}],"productsList":[{"bookingStatus":"%s","flight":{"originAirport":"EIN",'
+    '"destinationAirport":"AMS","departureDate":"1992-01-01","arrivalDate":"1992-01-01","operatingAirline":"KL"}}]}}}}'
+)
+
+
+@register(
+    "stream_evicted_state",
+    q.with_base(*_report_sql(_NO_DATES_CFG)[:2]) + _DAY_COUNT_SQL + "\nUNION ALL SELECT DATE '2999-01-01', 'Netherlands', 1",
+)
+def stream_evicted_state(spark, sf):
+    """ST3: months settle once the booking watermark has passed them. First a
+    departure of the year 2999 and a passenger of 1992; then the feed, which
+    settles 1992; then that passenger's cancellation. No result may change."""
+    from paxflow.plans.sizing import shared_dir
+    from paxflow.sources.sinks import write_lines
+
+    base = shared_dir(spark, "stream-evicted")
+    early = [(_OUTLIER_LINE,), (_LATE_LINE.replace("1998-12-30", "1991-12-30") % "CONFIRMED",)]
+    write_lines(spark.createDataFrame(early, "value STRING"), f"{base}/in")
+    write_lines(lines(spark, sf), f"{base}/in", mode="append")
+    write_lines(spark.createDataFrame([(_LATE_LINE % "CANCELLED",)], "value STRING"), f"{base}/in", mode="append")
+    return _replayed_ledger(spark, f"{base}/in", "evicted", _NO_DATES_CFG, 2).countries(airports(spark, sf))
+
+
+@register("stream_dimension_change", q.with_base(*_report_sql(REPORT_CFG)[:2]) + _DAY_COUNT_SQL)
+def stream_dimension_change(spark, sf):
+    """The stream starts with half of the airports; the rest arrive
+    while it runs. The view after each batch uses the table of that moment,
+    and the last one counts passengers booked before their airport was known."""
+    from paxflow.sources.sinks import write_lines
+
+    base = _replay_files(spark, sf, "stream-dimension")
+    table, later = f"{base}/airports", F.crc32(F.col("value").cast("binary")) % 2 == 0
+    write_lines(tb.airport_lines(spark, sf).filter(~later), table, extension=".csv")
+
+    def after(batch_id: int) -> None:
+        if batch_id == 0:
+            write_lines(tb.airport_lines(spark, sf).filter(later), table, extension=".csv", mode="append")
+
+    ledger = _replayed_ledger(spark, f"{base}/in", "dimension", REPORT_CFG, 100, STREAM_FILES_PER_TRIGGER, after_batch=after)
+    return ledger.countries(ap.read_airports(spark, table))
 
 
 @register("scan_roundtrip", q.with_base() + f"\nSELECT {LEG_SQL} FROM legs")
@@ -636,6 +707,49 @@ _DECOY_LINE = (
 )
 
 
+@register(
+    "ingest_outcomes",
+    q.with_base()
+    + """
+SELECT 'leg' AS outcome, CAST(NULL AS VARCHAR) AS reason, count(*) AS row_count, count(DISTINCT passenger_uci) AS passengers FROM legs
+UNION ALL SELECT 'leg_reject', 'missing_uci', 2 * count(*), 0 FROM valid WHERE k % 107 = 0
+UNION ALL SELECT 'event_reject', 'malformed_json', count(*), 0 FROM src WHERE k % 101 = 0 AND ln = 1
+UNION ALL SELECT 'event_reject', 'missing_travelrecord', count(*), 0 FROM src WHERE k % 103 = 0 AND ln = 2""",
+)
+def ingest_outcomes(spark, sf):
+    """The feed parsed once into legs, leg rejects and event
+    rejects; together they are all its lines and pairs."""
+    from paxflow.sources.ingest import LEG, store_outcomes
+
+    rows = store_outcomes(lines(spark, sf)).rows()
+    uci = F.when(F.col("outcome") == LEG, F.col("passenger_uci"))
+    return rows.groupBy("outcome", "reason").agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct(uci).alias("passengers"))
+
+
+@register(
+    "scan_skips_unreadable",
+    q.with_base()
+    + """
+SELECT 'leg' AS kind, origin_airport AS name, count(*) AS row_count FROM legs GROUP BY origin_airport
+UNION ALL SELECT 'skipped_file', 'broken.json.gz', 1""",
+)
+def scan_skips_unreadable(spark, sf):
+    """A damaged archive among good files: the legs of the good ones, and the name of the one left out."""
+    from paxflow.plans.sizing import shared_dir
+    from paxflow.sources.ingest import booking_files, ingest_files
+    from paxflow.sources.sinks import write_lines
+    from paxflow.streaming.publish import Folder
+
+    path, glob = shared_dir(spark, "scan-broken"), "*.json*"
+    write_lines(lines(spark, sf), path)
+    Folder(spark, path).replace("broken.json.gz", "these bytes are no archive")
+    feed = ingest_files(spark, path, glob, skip_unreadable=True)
+    legs_kept = feed.legs().groupBy(F.lit("leg").alias("kind"), F.col("origin_airport").alias("name")).agg(F.count("*").alias("row_count"))
+    name = F.element_at(F.split("file", "/"), -1).alias("name")
+    skipped = feed.skipped(booking_files(spark, path, glob)).select(F.lit("skipped_file").alias("kind"), name, F.lit(1).cast("long").alias("row_count"))
+    return legs_kept.unionByName(skipped)
+
+
 def _written_report(spark, sf, name, fmt=None):
     from paxflow.plans.sizing import shared_dir
     from paxflow.sources.sinks import read_report, write_report
