@@ -123,21 +123,21 @@ def event_legs(events: DataFrame) -> DataFrame:
 def facts_and_candidates(events: DataFrame, candidate: Column) -> tuple[DataFrame, DataFrame]:
     """(facts of all events, the candidate events whole), stored by one pass
     over ``events``: an event leaves the generator as its narrow legs, and a
-    candidate once more as itself. The two kinds lie in folders of their own,
-    so neither reads the other's columns."""
-    spark = events.sparkSession
+    candidate once more as itself. Both carry ``row``, a number of the event
+    within this store, where legs need no wider id. The two kinds lie in
+    folders of their own, so neither reads the other's columns."""
     fields = event_legs(events).drop("event_id", "booking_ts").schema.fields
     facts = _facts([F.lit("fact").alias("kind"), F.lit(None).cast(events.schema).alias("event")])
     no_fact = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
     itself = F.array(F.struct(F.lit("event").alias("kind"), F.struct(*events.columns).alias("event"), *no_fact))
     # computed below the generator, so once per event and not once per leg
-    marked = events.withColumn("candidate", F.coalesce(candidate, F.lit(False)))
+    marked = events.withColumn("candidate", F.coalesce(candidate, F.lit(False))).withColumn("row", F.monotonically_increasing_id())
     both = F.concat(facts, F.filter(itself, lambda _: F.col("candidate")))
-    rows = marked.select("event_id", "booking_ts", "candidate", F.inline(both))
-    path = shared_dir(spark, "event-facts")
+    rows = marked.select("row", "booking_ts", "candidate", F.inline(both))
+    path = shared_dir(events.sparkSession, "event-facts")
     rows.write.partitionBy("kind").parquet(path)
-    table = spark.read.schema(rows.schema).parquet(path)
-    return table.filter("kind = 'fact'").drop("kind", "event"), table.filter("kind = 'event'").select("event.*")
+    table = events.sparkSession.read.schema(rows.schema).parquet(path)
+    return table.filter("kind = 'fact'").drop("kind", "event"), table.filter("kind = 'event'").select("row", "event.*")
 
 
 def with_confirmed_leg(events: DataFrame, latest: DataFrame) -> DataFrame:
@@ -204,9 +204,9 @@ def event_rules(events: DataFrame, cfg: RuleConfig) -> DataFrame:
     if cfg.origins is not None:
         candidate = candidate & passing(lambda d: d.origin_airport.isin(*cfg.origins))
     facts, candidates = facts_and_candidates(events, candidate)
-    asked = facts.filter("candidate").select("event_id", *LEG_KEY)
-    complete = facts.filter("operating_airline is not null and arrival_ts is not null").drop("event_id", "candidate")
+    asked = facts.filter("candidate").select("row", *LEG_KEY)
+    complete = facts.filter("operating_airline is not null and arrival_ts is not null").drop("row", "candidate")
     grouped = complete.join(bounded_broadcast(asked.select(*LEG_KEY).distinct()), list(LEG_KEY), "left_semi")
     confirmed = latest_status(grouped, cfg.tie_break).filter(F.col("is_confirmed")).select(*LEG_KEY)
-    ids = asked.join(confirmed, list(LEG_KEY), "left_semi").select("event_id").distinct()
-    return candidates.join(ids, "event_id", "left_semi")
+    rows = asked.join(confirmed, list(LEG_KEY), "left_semi").select("row").distinct()
+    return candidates.join(rows, "row", "left_semi").select(*events.columns)

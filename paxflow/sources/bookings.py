@@ -7,6 +7,8 @@ single generator, S9 required fields, S10 timestamps, E6 normalisation.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,6 +118,23 @@ def event_reject_reason(strict: bool) -> Column:
     return reason
 
 
+def _null_marks(record: Column) -> list[Column]:
+    """Which members of an event are null, as columns that are never null."""
+
+    def bits(*fields: Column) -> Column:
+        marks = [F.when(f.isNull(), F.lit(1 << k)).otherwise(F.lit(0)) for k, f in enumerate(fields)]
+        return functools.reduce(lambda a, b: a + b, marks)
+
+    def flight(d: Column) -> list[Column]:
+        f = d.flight
+        return [f, f.originAirport, f.destinationAirport, f.departureDate, f.arrivalDate, f.operatingAirline]
+
+    none = F.array(F.lit(-1))
+    passengers = F.transform(record.passengersList, lambda p: bits(p, p.uci, p.passengerType, p.age, p.tattoo))
+    products = F.transform(record.productsList, lambda d: bits(d, d.bookingStatus, *flight(d)))
+    return [F.coalesce(passengers, none), F.coalesce(products, none), F.col("timestamp").isNull()]
+
+
 def _event_columns(record: Column, origins=None) -> list[Column]:
     passengers = F.transform(
         F.filter(record.passengersList, lambda p: p.isNotNull()),
@@ -141,11 +160,11 @@ def _event_columns(record: Column, origins=None) -> list[Column]:
             d.flight.operatingAirline.alias("operating_airline"),
         ),
     )
-    # Hashes of the columns themselves would skip nulls, so a value that moves
-    # to a neighbouring null field would keep the id; the JSON text does not.
-    text = F.to_json(F.struct("timestamp", "event"), {"ignoreNullFields": "false"})
+    # Hashes skip nulls, so that a value which moves to a neighbouring null
+    # field would keep the id; which fields are null is hashed as well.
+    parts = [F.col("timestamp"), record.passengersList, record.productsList, *_null_marks(record)]
     return [
-        F.struct(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(7), text).alias("h2")).alias("event_id"),
+        F.struct(F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit(7), *parts).alias("h2")).alias("event_id"),
         utc_instant("timestamp").alias("booking_ts"),
         passengers.alias("passengers"),
         products.alias("products"),
