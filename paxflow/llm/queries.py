@@ -118,13 +118,21 @@ _ASSIGN = (
     # a quote inside SQL text is doubled
     r"""["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+"""
 )
+# The patterns of the contract and of the entropy scan, written out here so that they check the operator's own.
+_ACCESS, _HEX, _CANDIDATE = "AKIA[A-Z0-9]{14,}", "[0-9a-f]{16,}", "[A-Za-z0-9+/=_-]{20,}"
+_NO_SECRETS = (
+    r"^[-_/=+]*([A-Za-z]+|[0-9]{1,8})([-_/=+]+([A-Za-z]+|[0-9]{1,8}))*[-_/=+]*$",
+    "^[0-9]+$",
+    "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
+    "(?i)example|placeholder|changeme|xxxxx|0123456789|abcdefgh",
+)
 _SECRETS_SQL = f"""
     WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
     assign AS ({_located("assign", 0, "@ASSIGN@")}),
-    candidates AS ({_located("candidate", 3, secret_scan.CANDIDATE)}),
+    candidates AS ({_located("candidate", 3, _CANDIDATE)}),
     tested AS (
         SELECT doc_id, hit, start, CASE WHEN regexp_matches(hit, '^[0-9a-fA-F]+$') THEN {secret_scan.HEX_BITS} ELSE {secret_scan.MIXED_BITS} END AS bits
-        FROM candidates WHERE {" AND ".join(f"NOT regexp_matches(hit, '{p}')" for p in secret_scan.ALLOWED)}),
+        FROM candidates WHERE {" AND ".join(f"NOT regexp_matches(hit, '{p}')" for p in _NO_SECRETS)}),
     windows AS (
         SELECT doc_id, start AS cand, start + w AS pos FROM (
             SELECT *, unnest(range(0, length(hit) - {secret_scan.WINDOW - 1})) AS w FROM tested)
@@ -134,8 +142,8 @@ _SECRETS_SQL = f"""
     islands AS (SELECT doc_id, cand, pos, sum(new) OVER (PARTITION BY doc_id, cand ORDER BY pos) AS island FROM marked),
     spans AS (
         SELECT doc_id, kind, ord, start, stop FROM assign WHERE length(regexp_extract(hit, '[A-Za-z0-9+/_.=-]+$')) >= 12
-        UNION ALL SELECT doc_id, kind, ord, start, stop FROM ({_located("access", 1, secret_scan.ACCESS)})
-        UNION ALL SELECT doc_id, kind, ord, start, stop FROM ({_located("hex", 2, secret_scan.HEX)})
+        UNION ALL SELECT doc_id, kind, ord, start, stop FROM ({_located("access", 1, _ACCESS)})
+        UNION ALL SELECT doc_id, kind, ord, start, stop FROM ({_located("hex", 2, _HEX)})
         UNION ALL SELECT doc_id, 'entropy', 3, min(pos), max(pos) + {secret_scan.WINDOW} FROM islands GROUP BY doc_id, cand, island),
     listed AS (SELECT doc_id, kind, ord, start, kind || ':' || start || ':' || stop AS span FROM spans),
     sums AS (

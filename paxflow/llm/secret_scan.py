@@ -4,9 +4,11 @@ A text becomes arrays of spans without leaving the JVM. Positions come from
 splitting the text at the matches and summing lengths, so any number of
 matches is found in one pass. Candidate strings without a known format are
 scanned by a window of ``WINDOW`` characters whose Shannon entropy is kept
-up to date by incremental character counts, per character class; windows
-over the class's threshold merge into spans unless the candidate is on the
-allow-list.
+up to date: moving it by one changes the counts of two characters, which are
+counted in the window at hand, and the entropy's sum moves by their costs.
+The threshold is that of the candidate's class of characters, hexadecimal or
+mixed; windows over it merge into spans unless the candidate is on the
+allow-list. The cost is linear in the text.
 """
 
 from __future__ import annotations
@@ -34,7 +36,8 @@ MIXED_BITS = 3.6
 # Strings that are long but not secret: words and numbers with separators
 # (paths, slugs, dates), UUIDs, filler and sample keys.
 ALLOWED = (
-    r"^[-_/=+]*([A-Za-z]+|[0-9]{1,8})([-_/=+]+([A-Za-z]+|[0-9]{1,8}))*[-_/=+]*$",
+    # Possessive: a repeated group is otherwise matched by recursion, as deep as the string is long.
+    r"^[-_/=+]*+(?:[A-Za-z]++|[0-9]{1,8}+)(?:[-_/=+]++(?:[A-Za-z]++|[0-9]{1,8}+))*+[-_/=+]*+$",
     r"^[0-9]+$",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"(?i)example|placeholder|changeme|xxxxx|0123456789|abcdefgh",
@@ -114,7 +117,7 @@ def _entropy_spans(hit: Column, start: Column, window: int, bits: Column) -> Col
     a running total of differences; they are scaled integers, so it is exact.
     """
     costs = F.array(*[F.lit(round(SCALE * c * math.log2(c)) if c else 0).cast("bigint") for c in range(window + 2)])
-    limit = ((F.lit(math.log2(window)) - bits) * F.lit(window * SCALE)).cast("bigint")
+    most = ((F.lit(math.log2(window)) - bits) * F.lit(window * SCALE)).cast("bigint")
 
     def differences(codes: Column) -> Column:
         def cost(c: Column) -> Column:
@@ -133,8 +136,12 @@ def _entropy_spans(hit: Column, start: Column, window: int, bits: Column) -> Col
 
     def begins(changes: Column) -> Column:
         sums = F.zip_with(_prefix_sums(changes), changes, lambda before, own: before + own)
-        marked = F.transform(sums, lambda s, i: F.when((s <= limit) & (i >= window - 1), i - (window - 1)))
-        return F.filter(marked, lambda b: b.isNotNull())
+        # bound once: the class of a candidate is found by matching all of it
+        return let(most, lambda limit: marked(sums, limit))
+
+    def marked(sums: Column, limit: Column) -> Column:
+        found = F.transform(sums, lambda s, i: F.when((s <= limit) & (i >= window - 1), i - (window - 1)))
+        return F.filter(found, lambda b: b.isNotNull())
 
     def merged(b: Column) -> Column:
         gap_before = lambda x, k: (k == 0) | (x - F.get(b, k - 1) > window)

@@ -111,3 +111,11 @@ def test_pipeline_keeps_columns_and_rereads_each_stage(spark):
         assert stage(spark, docs, sf).columns == docs.columns, name
     out = cp.run(spark, sf)
     assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and out.count() > 0
+
+
+def test_items_and_documents_without_ids(spark):
+    rng = random.Random(10)
+    items = [(None, story(rng, 30)), (None, None), (4, story(rng, 30)), (4, ""), (5, None)]
+    docs = [(None, story(rng, 20) + " " + items[0][1] + " " + story(rng, 20)), (1, items[2][1]), (2, story(rng, 60)), (None, None), (3, "")]
+    found = contaminated(spark.createDataFrame(docs, TWO), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(None, None), (1, 4)}

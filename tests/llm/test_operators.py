@@ -310,3 +310,21 @@ def test_empty_tables(spark, empty):
         contaminated(empty, benchmark), removal_digest(remove_repeats(empty)),
     ):
         assert result.count() == 0
+
+
+def test_secrets_in_long_unbroken_strings(spark):
+    """Slugs, hex dumps and base64 lines of any length: no recursion, no quadratic scan."""
+    import time
+
+    rng = random.Random(5)
+    slug = "-".join(rng.choice(["alpha", "to", "12", "page"]) for _ in range(40_000))
+    texts = ["a-" * 3000, slug, "=" * 50_000, "a1" * 60_000, noise("0123456789abcdef", 120_000, 1), noise(sec.SYMBOLS, 60_000, 2), "x9/" * 30_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), TWO).repartition(8)
+    began = time.time()
+    rows = {r.doc_id: r for r in secret_digest(secret_spans(docs)).collect()}
+    assert time.time() - began < 240
+    assert [rows[k].spans for k in (0, 1, 2)] == ["", "", ""] and rows[3].n_hex == 1 and rows[4].n_entropy >= 1
+    short = [t[:900] for t in texts]
+    args = (sec.CANDIDATE, sec.ALLOWED, sec.WINDOW, sec.HEX_BITS, sec.MIXED_BITS)
+    got = {r.doc_id: tuple(r)[1:6] for r in secret_digest(secret_spans(spark.createDataFrame(list(enumerate(short)), TWO))).collect()}
+    assert got == {k: secrets(t, *args) for k, t in enumerate(short)}
