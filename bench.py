@@ -156,6 +156,7 @@ def complete_mode_stream(spark, lines_dir, airports, cfg, base, files_per_trigge
 
     from paxflow.operators.report import top_country_per_day
     from paxflow.streaming import stream as st
+    from paxflow.streaming.ledger import Ledger
 
     legs = st.stream_legs(st.stream_lines(spark, lines_dir, max_files_per_trigger=files_per_trigger), cfg)
 
@@ -209,6 +210,7 @@ def main():
     from paxflow.sources.sinks import write_lines
     from paxflow.sources.tables import airport_lines, booking_lines
     from paxflow.streaming import stream as st
+    from paxflow.streaming.ledger import Ledger
 
     base = shared_dir(spark, "bench")
     lines_dir, airports_dir, legs_dir = f"{base}/bookings", f"{base}/airports", f"{base}/legs"
@@ -253,6 +255,15 @@ def main():
         return st.top_countries_from_state(spark, f"{run}/state", airports, REPORT_CFG).collect()
 
     q["stream_top_countries"] = timed(stream_once, reps=3)
+
+    def ledger_once():
+        run = shared_dir(spark, "bench-ledger")
+        ledger = Ledger(spark, f"{run}/ledger", REPORT_CFG)
+        s = st.stream_legs(st.stream_lines(spark, lines_dir, max_files_per_trigger=max(1, CPUS // 2)), REPORT_CFG)
+        ledger.start(s, f"{run}/checkpoint", available_now=True).awaitTermination()
+        noop(ledger.countries(airports))
+
+    q["stream_ledger"] = timed(ledger_once, reps=3)
     q["stream_top_countries_complete_mode"] = timed(
         lambda: complete_mode_stream(
             spark, lines_dir, airports, REPORT_CFG, shared_dir(spark, "bench-complete"), max(1, CPUS // 2)

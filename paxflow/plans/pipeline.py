@@ -1,4 +1,5 @@
-"""The canonical batch plan, as one lazy DataFrame chain.
+"""The canonical batch plan, as one chain of DataFrames. It is lazy but for
+the row count of the airport dimension, a small job when the chain is built.
 
 lines -> events -> legs (key predicates inside the flatten) -> latest
 status -> rules -> enrichment -> report. Two wide shuffles (leg key,

@@ -87,3 +87,17 @@ def test_day_counts_and_windows(spark):
     assert win == {(10, "Norway"): 3, (10, "Portugal"): 2, (13, "Portugal"): 1, (13, "Malta"): 1}
     top = sorted(rows(rp.top_country_per_day(e)))
     assert top == [(dt.date(2022, 2, 10), "Norway", 3), (dt.date(2022, 2, 13), "Malta", 1), (dt.date(2022, 2, 13), "Portugal", 1)]
+
+
+def test_positions_over_many_partitions(spark):
+    from pyspark.sql import functions as F
+
+    from paxflow.plans.ordering import with_position
+
+    rows = spark.range(0, 5000, 1, 13).select((F.col("id") * 7919 % 101).alias("a"), F.col("id").alias("b"), F.lit("x").alias("position_of"))
+    placed = with_position(rows, [F.col("a").desc(), F.col("b").asc()])
+    got = [(r.a, r.b) for r in placed.orderBy("position").collect()]
+    assert got == sorted(got, key=lambda r: (-r[0], r[1])) and [r.position for r in placed.orderBy("position").collect()] == list(range(1, 5001))
+    assert with_position(rows.limit(0), [F.col("a").asc()]).count() == 0
+    same = with_position(rows.select(F.lit(1).alias("a")), [F.col("a").asc()])
+    assert sorted(r.position for r in same.collect()) == list(range(1, 5001))
