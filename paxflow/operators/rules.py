@@ -143,16 +143,37 @@ def facts_and_candidates(events: DataFrame, candidate: Column) -> tuple[DataFram
 def with_confirmed_leg(events: DataFrame, latest: DataFrame) -> DataFrame:
     """F8: events with at least one leg whose latest status is CONFIRMED.
 
-    Event legs are semi-joined to the confirmed latest keys (shuffle on the
-    leg key; AQE splits a skewed left side) and reduced to distinct event
-    ids (partial aggregation first), which select the events. AQE turns
-    either join into a broadcast where its runtime statistics allow it.
+    For a ``latest`` that comes from elsewhere; :func:`confirmed_events` has
+    its own and reads the feed once. Event legs are semi-joined to the
+    confirmed latest keys (shuffle on the leg key; AQE splits a skewed left
+    side) and reduced to distinct event ids (partial aggregation first), which
+    select the events. AQE turns either join into a broadcast where its
+    runtime statistics allow it.
     """
     confirmed_keys = latest.filter(F.col("is_confirmed")).select(*LEG_KEY)
     ids = event_legs(events).join(confirmed_keys, list(LEG_KEY), "left_semi").select("event_id").distinct()
     return events.join(ids, "event_id", "left_semi")
 
 
+def confirmed_events(events: DataFrame, tie_break: str = "cancelled_first") -> DataFrame:
+    """F8 with the latest status of the same feed, which is parsed once:
+    facts and whole events are stored together, the facts' latest status
+    selects row numbers, and those select the stored events."""
+    facts, whole = facts_and_candidates(events, F.lit(True))
+    confirmed = _confirmed_keys(_complete(facts), tie_break)
+    rows = facts.select("row", *LEG_KEY).join(confirmed, list(LEG_KEY), "left_semi").select("row").distinct()
+    return whole.join(rows, "row", "left_semi").select(*events.columns)
+
+
+def _complete(facts: DataFrame) -> DataFrame:
+    """Facts that are legs: a latest status is that of a whole leg."""
+    return facts.filter("operating_airline is not null and arrival_ts is not null").drop("row", "candidate")
+
+
+def _confirmed_keys(legs: DataFrame, tie_break: str) -> DataFrame:
+    return latest_status(legs, tie_break).filter(F.col("is_confirmed")).select(*LEG_KEY)
+
+
 def first_destination(events: DataFrame) -> DataFrame:
     """Destination code of each event's first product (null when the
     event has no product)."""
@@ -205,8 +226,7 @@ def event_rules(events: DataFrame, cfg: RuleConfig) -> DataFrame:
         candidate = candidate & passing(lambda d: d.origin_airport.isin(*cfg.origins))
     facts, candidates = facts_and_candidates(events, candidate)
     asked = facts.filter("candidate").select("row", *LEG_KEY)
-    complete = facts.filter("operating_airline is not null and arrival_ts is not null").drop("row", "candidate")
-    grouped = complete.join(bounded_broadcast(asked.select(*LEG_KEY).distinct()), list(LEG_KEY), "left_semi")
-    confirmed = latest_status(grouped, cfg.tie_break).filter(F.col("is_confirmed")).select(*LEG_KEY)
+    keys = bounded_broadcast(asked.select(*LEG_KEY).distinct())
+    confirmed = _confirmed_keys(_complete(facts).join(keys, list(LEG_KEY), "left_semi"), cfg.tie_break)
     rows = asked.join(confirmed, list(LEG_KEY), "left_semi").select("row").distinct()
     return candidates.join(rows, "row", "left_semi").select(*events.columns)

@@ -214,9 +214,7 @@ confirmed_events AS (
 )
 def event_confirmed_semi(spark, sf):
     """F8: events holding at least one leg whose latest status is CONFIRMED."""
-    ev = events(spark, sf)
-    latest = latest_status(bk.explode_legs(ev))
-    return event_view(ru.with_confirmed_leg(ev, latest))
+    return event_view(ru.confirmed_events(events(spark, sf)))
 
 
 def _event_rules_where(cfg: RuleConfig) -> str:

@@ -2,7 +2,8 @@
 
 import datetime as dt
 
-from golden import lines_df, rows
+import pytest
+from golden import EVENT_LINES, lines_df, rows
 
 from paxflow.config import RuleConfig
 from paxflow.operators import rules as ru
@@ -175,3 +176,13 @@ def test_events_that_differ_by_a_missing_date_are_told_apart(spark):
     kept = ru.with_confirmed_leg(events, latest).collect()
     assert sorted(p.arrival_ts is None for r in kept for p in r.products) == [False, True]
     assert all(r.products[0].departure_ts is not None for r in kept)
+
+
+@pytest.mark.parametrize("tie_break", ["cancelled_first", "confirmed_first"])
+def test_confirmed_events_equal_the_join_with_the_latest_status(spark, tie_break):
+    events = parse_events(lines_df(spark, EVENT_LINES * 2))
+    latest = latest_status(explode_legs(events), tie_break)
+    got = ru.confirmed_events(events, tie_break)
+    assert got.columns == events.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, ru.with_confirmed_leg(events, latest).collect()))
+    assert "from_json" not in got._jdf.queryExecution().executedPlan().toString()
