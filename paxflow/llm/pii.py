@@ -2,8 +2,10 @@
 
 One Aho-Corasick pass over a text finds anchors: at-signs, scheme
 separators, a plus or dot before a digit, neighbouring digits, and cue words
-for identifiers. At each anchor a local parser finds the exact boundaries
-and validates them; a parser never looks further than its own span.
+for identifiers, these in any case. At each anchor a local parser finds the
+exact boundaries and validates them; a parser never looks further than its own
+span. Addresses are e-mail, IPv4 and logins in URLs; there is no IPv6 and no
+postal address.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ CUES = {"iban": "iban", "ssn": "ssn", "social security": "ssn", "account": "acco
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DIGITS = frozenset("0123456789")
+_LOWERED = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 _SCHEME = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _QUAD = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
@@ -30,8 +33,8 @@ _CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOGIN = re.compile(r"://[A-Za-z0-9._~%-]+:[^\s/@:]+@[A-Za-z0-9.-]+")
 _IBAN = re.compile(r"[Nn]?[Oo]?[.:#= ]{0,4}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
-_SSN = re.compile(r"[.:#= ]{0,4}((?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4})(?![0-9-])")
-_ACCOUNT = re.compile(r" ?(?:[Nn]o|[Nn]umber)?[.:#= ]{1,4}([0-9]{8,17})(?![0-9])")
+_SSN = re.compile(r" ?(?:[Nn][Oo]|[Nn][Uu][Mm][Bb][Ee][Rr])?[.:#= ]{0,4}((?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4})(?![0-9-])")
+_ACCOUNT = re.compile(r" ?(?:[Nn][Oo]|[Nn][Uu][Mm][Bb][Ee][Rr])?[.:#= ]{1,4}([0-9]{8,17})(?![0-9])")
 
 
 def luhn(digits: str) -> bool:
@@ -61,8 +64,7 @@ def anchors():
             for between in ("", " ", "-"):
                 found.add_word(d + between + e, ("card", 2 + len(between)))
     for cue, kind in CUES.items():
-        for form in (cue, cue.upper(), cue.capitalize()):
-            found.add_word(form, (kind, len(form)))
+        found.add_word(cue, (kind, len(cue)))
     found.make_automaton()
     return found
 
@@ -71,7 +73,8 @@ def expand(text: str, automaton) -> list[tuple[str, int, int]]:
     """(kind, start, end) of everything found, by kind and start."""
     spans: list[tuple[str, int, int]] = []
     done = dict.fromkeys(KINDS, 0)
-    for last, (kind, length) in automaton.iter(text):
+    # Cues are lower-case; A-Z lowered one by one leaves every offset as it is.
+    for last, (kind, length) in automaton.iter(text.translate(_LOWERED)):
         at, free = last + 1 - length, done[kind]
         if kind == "card":
             if at < free:
