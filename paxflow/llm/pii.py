@@ -73,8 +73,9 @@ def expand(text: str, automaton) -> list[tuple[str, int, int]]:
     """(kind, start, end) of everything found, by kind and start."""
     spans: list[tuple[str, int, int]] = []
     done = dict.fromkeys(KINDS, 0)
-    # Cues are lower-case; A-Z lowered one by one leaves every offset as it is.
-    for last, (kind, length) in automaton.iter(text.translate(_LOWERED)):
+    # Cues are lower-case. Lowering keeps every offset; of all characters only U+0130 would become two.
+    lowered = text.translate(_LOWERED) if "\u0130" in text else text.lower()
+    for last, (kind, length) in automaton.iter(lowered):
         at, free = last + 1 - length, done[kind]
         if kind == "card":
             if at < free:

@@ -69,10 +69,12 @@ def test_pii_cues_in_any_case(spark):
     texts = [
         "É Social Security 123-45-6789", "social security number: 123-45-6789", "SSN NO. 123-45-6789", "sOcIaL sEcUrItY 123-45-6789",
         "ACCOUNT NUMBER: 1234567890", "Acct no 12345678", "iBan GB82 WEST 1234 5698 7654 32", "K account",
+        "\u0130\u0130\u0130 SSN 123-45-6789 \u1e9e\u03a3",
     ]
     rows = pii_digest(pii_spans(spark.createDataFrame(list(enumerate(texts)), TWO))).collect()
     found = {r.doc_id: [(k, texts[r.doc_id][int(a) : int(b)]) for k, a, b in (s.split(":") for s in r.spans.split(",") if s)] for r in rows}
-    assert all(("ssn", "123-45-6789") in found[k] for k in range(4)) and found[7] == []
+    assert all(("ssn", "123-45-6789") in found[k] for k in (0, 1, 2, 3, 8)) and found[7] == []
+    assert [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and len(chr(c).lower()) > 1] == ["\u0130"]
     assert ("account", "1234567890") in found[4] and ("account", "12345678") in found[5] and ("iban", "GB82 WEST 1234 5698 7654 32") in found[6]
 
 
