@@ -4,8 +4,8 @@ A text becomes arrays of spans without leaving the JVM. Positions come from
 splitting the text at the matches and summing lengths, so any number of
 matches is found in one pass. Candidate strings without a known format are
 scanned by a window of ``WINDOW`` characters whose Shannon entropy is kept
-up to date: moving it by one changes the counts of two characters, which are
-counted in the window at hand, and the entropy's sum moves by their costs.
+up to date by incremental counts: moving it by one lowers the count of one
+character and raises that of another, and the entropy's sum moves with them.
 The threshold is that of the candidate's class of characters, hexadecimal or
 mixed; windows over it merge into spans unless the candidate is on the
 allow-list. The cost is linear in the text.
@@ -44,8 +44,10 @@ ALLOWED = (
 )
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
 SCALE = 1_000_000
-# Prefix sums are built in blocks, so the cost of growing an array stays linear.
+# Arrays are grown in blocks, so the cost of growing one stays linear.
 BLOCK = 256
+# The character that stands for a count of 0; a window of up to 78 keeps all counts in ASCII.
+NO_COUNT = 48
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -113,35 +115,70 @@ def _entropy_spans(hit: Column, start: Column, window: int, bits: Column) -> Col
     """Merged windows of ``hit`` with at least ``bits`` of entropy.
 
     With counts c in a window of w characters, entropy = log2(w) - sum(c *
-    log2(c)) / w. Moving the window by one changes two counts, so the sum is
-    a running total of differences; they are scaled integers, so it is exact.
+    log2(c)) / w. A fold over the characters carries the counts and that sum:
+    the character that leaves lowers one count, the one that enters raises
+    one, and the sum moves by the two differences. These are scaled integers,
+    so it is exact. Counts are a string with one character per symbol, which
+    a step overwrites in place of copying an array of numbers. Blocks of
+    windows are folded apart, so the arrays of found windows stay short.
     """
-    costs = F.array(*[F.lit(round(SCALE * c * math.log2(c)) if c else 0).cast("bigint") for c in range(window + 2)])
+    cost = [round(SCALE * c * math.log2(c)) if c else 0 for c in range(window + 1)]
+    # What the sum gains when a count rises to c, and loses when it falls from c.
+    steps = F.array(*[F.lit(cost[c] - cost[c - 1] if c else 0).cast("bigint") for c in range(window + 1)])
     most = ((F.lit(math.log2(window)) - bits) * F.lit(window * SCALE)).cast("bigint")
+    none = F.array().cast("array<bigint>")
+    one = F.lit(1)
 
-    def differences(codes: Column) -> Column:
-        def cost(c: Column) -> Column:
-            return F.get(costs, c)
+    def count_of(counts: Column, symbol: Column) -> Column:
+        return F.ascii(F.substr(counts, symbol, one)) - NO_COUNT
 
-        def change(x: Column, i: Column) -> Column:
-            first = F.greatest(i - (window - 1), F.lit(0))
-            same = F.size(F.filter(F.slice(codes, first + 1, i - first), lambda y: y == x))
-            add = let(same, lambda c: cost(c + 1) - cost(c))
-            left = F.get(codes, i - window)
-            of_left = F.size(F.filter(F.slice(codes, F.greatest(i - window, F.lit(0)) + 1, F.lit(window)), lambda y: y == left))
-            drop = let(of_left, lambda c: cost(c) - cost(c - 1))
-            return add - F.when(i >= window, drop).otherwise(F.lit(0).cast("bigint"))
+    def with_count(counts: Column, symbol: Column, count: Column) -> Column:
+        return F.overlay(counts, F.char(count + NO_COUNT), symbol, one)
 
-        return F.transform(codes, change)
+    def block_windows(codes: Column, limit: Column, block: Column) -> Column:
+        moves = F.transform(
+            F.slice(codes, block * BLOCK + 1, F.lit(BLOCK + window - 1)),
+            lambda x, i: F.struct(x.alias("enters"), F.get(codes, block * BLOCK + i - window).alias("leaves")),
+        )
 
-    def begins(changes: Column) -> Column:
-        sums = F.zip_with(_prefix_sums(changes), changes, lambda before, own: before + own)
-        # bound once: the class of a candidate is found by matching all of it
-        return let(most, lambda limit: marked(sums, limit))
+        def found(s: Column) -> Column:
+            begin = block * BLOCK + s["read"] - window
+            return F.when((s["read"] >= window) & (s["sum"] <= limit), F.array_append(s["found"], begin.cast("bigint"))).otherwise(s["found"])
+
+        def lowered(s: Column, x: Column) -> Column:
+            less = let(
+                count_of(s["counts"], x),
+                lambda c: F.struct(with_count(s["counts"], x, c - 1).alias("counts"), (s["sum"] - F.get(steps, c)).alias("sum")),
+            )
+            return F.when(s["read"] >= window, less).otherwise(F.struct(s["counts"].alias("counts"), s["sum"].alias("sum")))
+
+        def moved(s: Column, move: Column) -> Column:
+            x = move["enters"]
+            return let(
+                lowered(s, move["leaves"]),
+                lambda t: let(
+                    count_of(t["counts"], x) + 1,
+                    lambda c: F.struct(
+                        (s["read"] + 1).alias("read"),
+                        with_count(t["counts"], x, c).alias("counts"),
+                        (t["sum"] + F.get(steps, c)).alias("sum"),
+                        found(s).alias("found"),
+                    ),
+                ),
+            )
+
+        empty = F.struct(
+            F.lit(0).alias("read"),
+            F.lit(chr(NO_COUNT) * len(SYMBOLS)).alias("counts"),
+            F.lit(0).cast("bigint").alias("sum"),
+            none.alias("found"),
+        )
+        return F.aggregate(moves, empty, moved, found)
 
-    def marked(sums: Column, limit: Column) -> Column:
-        found = F.transform(sums, lambda s, i: F.when((s <= limit) & (i >= window - 1), i - (window - 1)))
-        return F.filter(found, lambda b: b.isNotNull())
+    def begins(codes: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor(F.greatest(F.size(codes) - window, F.lit(0)) / BLOCK).cast("int"))
+        # bound once: the class of a candidate is found by matching all of it
+        return let(most, lambda limit: F.flatten(F.transform(blocks, lambda block: block_windows(codes, limit, block))))
 
     def merged(b: Column) -> Column:
         gap_before = lambda x, k: (k == 0) | (x - F.get(b, k - 1) > window)
@@ -153,7 +190,7 @@ def _entropy_spans(hit: Column, start: Column, window: int, bits: Column) -> Col
         )
 
     codes = F.transform(F.split(hit, ""), lambda ch: F.instr(F.lit(SYMBOLS), ch))
-    return let(let(let(codes, differences), begins), merged)
+    return let(let(codes, begins), merged)
 
 
 def _tagged(spans: Column, kind: str, order: int) -> Column:
