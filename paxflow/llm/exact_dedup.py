@@ -3,13 +3,13 @@
 Every text gets a 64-bit key. The index holds one entry per distinct key in
 buckets named by the key's leading bits; the directory doubles (one more
 bit) until no bucket holds more than ``capacity`` keys, so a bucket is a key
-range and the tasks that own index files own contiguous ranges. Keys met
-more than once form chains: one slot per distinct text, found by comparing
-the bytes themselves.
+range. The index tells which keys are met more than once and whose they are;
+texts of other keys are never moved. Copies are combined by comparing their
+bytes, and the task that owns a bucket links what is left of a key into its
+chain, one slot per distinct text, against which rows are looked up.
 
 Only DataFrame functions. Counts are combined before every shuffle, so a
-text held by a third of all rows reaches its owner as one row per task; only
-texts of keys met more than once are moved.
+text held by a third of all rows reaches its owner as one row.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from paxflow.plans.sizing import bounded_broadcast, stored
 
-BUCKET_CAPACITY = 1 << 20
+# Keys of a bucket: a page of about 100 KB.
+BUCKET_CAPACITY = 1 << 12
 # Key and id pairs up to this many rows (24 bytes each, 24 MB) may be sent to every task.
 SMALL_SIDE_ROWS = 1_000_000
 
@@ -37,12 +38,12 @@ def text_key(text: Column, key_bits: int = 64) -> Column:
 def extendible_index(entries: DataFrame, capacity: int = BUCKET_CAPACITY, key_bits: int = 64) -> DataFrame:
     """``entries`` (distinct ``key``) plus ``bucket`` and ``depth``, sorted by key in range-owned files.
 
-    The directory starts at the depth that fits the key count and doubles
-    while some bucket is overfull; buckets that fit keep their own (local)
-    depth. Buckets of the full key length may stay overfull.
+    The directory starts at the last depth at which the keys cannot all fit
+    and doubles while some bucket is overfull; buckets that fit keep their
+    own (local) depth. Buckets of the full key length may stay overfull.
     """
     n = entries.count()
-    depth = min(key_bits, max(1, math.ceil(math.log2(max(1, n) / capacity)) if n > capacity else 1))
+    depth = min(key_bits, max(1, math.floor(math.log2(n / capacity)) if n > capacity else 1))
     left, settled = entries.select("key"), []
     while True:
         slot = F.shiftrightunsigned("key", 64 - depth)
@@ -92,12 +93,16 @@ def exact_dedup(
     index = extendible_index(stored(entries, "entries"), capacity, key_bits)
 
     repeated = index.filter("n > 1").select("key", "bucket")
-    # Chains: equal bytes share a slot. Grouping by the text compares it byte by byte.
-    slots = (
+    # Copies: grouping by the text compares it byte by byte.
+    texts = (
         rows.join(bounded_broadcast(repeated, SMALL_SIDE_ROWS), "key")
         .groupBy("bucket", "key", "text")
         .agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
         .select("bucket", "key", F.unhex(F.sha2("text", 256)).alias("sha"), "keep_id", "group_size")
+    )
+    # Chains: a bucket has one owner, which gives each text of a key its slot.
+    slots = (
+        texts.repartition("bucket")
         .groupBy("bucket", "key", "sha")
         .agg(
             F.max("keep_id").alias("keep_id"),

@@ -251,6 +251,18 @@ def test_directory_splits_until_buckets_fit(spark):
     index = extendible_index(entries, capacity=16).collect()
     sizes = collections.Counter((r.depth, r.bucket) for r in index)
     assert max(sizes.values()) <= 16 and len(index) == 400
+    # The directory starts with 16 slots and doubles; buckets that fit keep their depth.
+    depth = max(d for d, _ in sizes)
+    assert len({d for d, _ in sizes}) > 1
+    for r in index:
+        unused = depth - r.depth
+        assert r.bucket == (r.key % (1 << 64)) >> (64 - r.depth) << unused
+
+
+def test_exact_dedup_over_split_buckets(spark):
+    rows = spark.range(3000).selectExpr("id as doc_id", "concat('text ', id % 900) as text")
+    got = exact_dedup(rows, capacity=32).collect()
+    assert all(r.keep_id % 900 == r.doc_id % 900 and r.keep_id + 900 >= 3000 and r.group_size in (3, 4) for r in got) and len(got) == 3000
 
 
 def test_mixing(awkward):
