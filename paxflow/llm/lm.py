@@ -331,25 +331,26 @@ def train(rows: DataFrame) -> tuple[DataFrame, np.ndarray, tuple[np.ndarray, np.
     def keep(part: pd.DataFrame) -> pd.DataFrame:
         runs = np.frombuffer(b"".join(part["runs"]), np.uint64)
         counts = np.frombuffer(b"".join(part["counts"]), "<u4").astype(np.int64)
-        row = {"bucket": int(part["bucket"].iloc[0]), "names": None, "often": None, "first": None, "frequent": None}
+        row = {"bucket": int(part["bucket"].iloc[0]), "names": None, "often": None, "pairs": None, "times": None, "frequent": None}
         if row["bucket"] < 0:
             name, which = np.unique(runs, return_inverse=True)
             row |= {"names": name.tobytes(), "often": np.bincount(which, counts).astype("<i8").tobytes()} | Branch.columns([])
         else:
             runs, counts = _context_counts(runs, counts, DEPTH)
-            first = np.bincount((runs & np.uint64(0xFFFF)).astype(np.int64), counts, minlength=1 << 16).astype("<i8")
+            times = np.bincount((runs & np.uint64(0xFFFF)).astype(np.int64), counts).astype(np.int64)
+            pairs = np.flatnonzero(times)
             frequent = by_suffix(runs[counts >= max(1, HOT_RUN_SHARE * n_bytes)])
-            row |= {"first": first.tobytes(), "frequent": np.sort(frequent).tobytes()} | Branch.columns(_kept_contexts(runs, counts, MIN_COUNT))
+            row |= {"pairs": pairs.astype(np.int32), "times": times[pairs], "frequent": np.sort(frequent).tobytes()} | Branch.columns(_kept_contexts(runs, counts, MIN_COUNT))
         return pd.DataFrame({c: [v] for c, v in row.items()})
 
     sent = rows.mapInArrow(count, "bucket int, runs binary, counts binary")
-    schema = "bucket int, names binary, often binary, first binary, frequent binary, " + BRANCH
+    schema = "bucket int, names binary, often binary, pairs array<int>, times array<bigint>, frequent binary, " + BRANCH
     found = stored(sent.groupBy("bucket").applyInPandas(keep, schema), "contexts")
     after, hot = np.zeros(1 << 16, np.int64), {}
-    for row in found.select("names", "often", "first").toLocalIterator():
-        if row["first"] is not None:
-            after += np.frombuffer(row["first"], "<i8")
-            continue
+    # One row per byte and next symbol, at most 2^16 however many owners there are.
+    for pair, times in found.select(F.inline(F.arrays_zip("pairs", "times"))).groupBy("pairs").agg(F.sum("times")).collect():
+        after[pair] = times
+    for row in found.filter("bucket < 0").select("names", "often").toLocalIterator():
         for n, c in zip(np.frombuffer(row.names, np.uint64).tolist(), np.frombuffer(row.often, "<i8").tolist(), strict=True):
             hot[n] = hot.get(n, 0) + c
     words = sorted(hot, key=lambda n: (-hot[n], n))[: int(1 / HOT_SHARE)]
@@ -363,7 +364,7 @@ def train(rows: DataFrame) -> tuple[DataFrame, np.ndarray, tuple[np.ndarray, np.
                 prices = Branch.of_row(row).log10(np.frombuffer(row["frequent"], np.uint64), short)
                 yield pa.RecordBatch.from_arrays([pa.array([row["frequent"]], pa.binary()), pa.array([prices.tobytes()], pa.binary())], ["codes", "prices"])
 
-    priced = [(r.codes, r.prices) for r in branches.drop("bucket", "names", "often", "first").mapInArrow(price, "codes binary, prices binary").toLocalIterator()]
+    priced = [(r.codes, r.prices) for r in branches.drop("bucket", "names", "often", "pairs", "times").mapInArrow(price, "codes binary, prices binary").toLocalIterator()]
     codes, prices = np.frombuffer(b"".join(c for c, _ in priced), np.uint64), np.frombuffer(b"".join(v for _, v in priced), np.float64)
     order = np.argsort(codes)
     return branches.select("bucket", "contexts", "totals", "kinds", "keys", "counts"), short, (codes[order], prices[order]), np.array(sorted(words), np.uint64)
