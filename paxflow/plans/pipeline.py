@@ -20,19 +20,18 @@ from paxflow.operators.report import passenger_report, report_rows
 from paxflow.operators.rules import apply_rules
 from paxflow.plans.sizing import stored
 from paxflow.sources.airports import read_airports
-from paxflow.sources.bookings import explode_legs, parse_events, product_key_filter, read_booking_events
+from paxflow.sources.bookings import explode_legs, feed_legs, parse_events, product_key_filter, read_booking_events
 
 
 def rule_legs(lines: DataFrame, cfg: RuleConfig) -> DataFrame:
     # ``lines``: a decoded JSON scan (read_booking_events) or raw lines.
     """Passenger-legs that can pass the key rules (origin, date).
 
-    The predicates sit inside the flatten lambda, before the generator;
+    The predicates sit on product rows, before passengers are joined to them;
     they touch only key columns, so whole latest-status groups are kept or
     dropped and the result equals filtering after the window.
     """
-    events = parse_events(lines, strict=cfg.strict, origins=cfg.origins)
-    return explode_legs(events, product_filter=product_key_filter(None, cfg.start, cfg.end))
+    return feed_legs(lines, cfg.strict, cfg.origins, cfg.start, cfg.end)
 
 
 def report_from_legs(legs: DataFrame, airports: DataFrame, cfg: RuleConfig) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paxflow.functions.instants import departure_window, utc_instant
@@ -23,6 +23,8 @@ from paxflow.sources.bookings import (
     decoded,
     event_reject_reason,
     event_text,
+    member_pairs,
+    member_text,
     pair_reject_reason,
     read_booking_events,
     whole_number,
@@ -40,60 +42,46 @@ OUTCOME_DDL = f"outcome STRING, {_FIELDS}"
 _TYPES = dict(f.strip().split(" ") for f in OUTCOME_DDL.split(","))
 
 
-def _outcome(kind: Column | str, **values: Column) -> Column:
-    """One tagged struct; fields that are not given are null."""
-    values["outcome"] = F.lit(kind) if isinstance(kind, str) else kind
-    return F.struct(*[values.get(name, F.lit(None)).cast(kind_of).alias(name) for name, kind_of in _TYPES.items()])
-
-
 def outcomes(source: DataFrame, strict: bool = False) -> DataFrame:
     """All outcomes of a decoded scan or of lines: ``file`` (null where the
     scan did not ask for it) and the columns of OUTCOME_DDL. Kept pairs,
     rejected pairs, rejected events and events without pairs account for
     every line that is not blank."""
     events = decoded(source)
-    record = F.col(RECORD)
-    booked = utc_instant("timestamp")
     why_event = event_reject_reason(strict)
-
-    def product(d: Column) -> Column:
-        f = d.flight
-        return F.struct(
-            d.alias("raw"),
-            F.upper(F.trim(d.bookingStatus)).alias("status"),
-            utc_instant(f.departureDate).alias("departs"),
-            utc_instant(f.arrivalDate).alias("arrives"),
-        )
-
-    def pair(p: Column, d: Column) -> Column:
-        flight, why = d.raw.flight, pair_reject_reason(p, d.raw, d.departs, d.arrives)
-        as_text = {"ignoreNullFields": "false"}
-        return _outcome(
-            F.when(why.isNull(), LEG).otherwise(LEG_REJECT),
-            reason=why,
-            # the members as they were read, of rejected pairs only
-            passenger=F.when(why.isNotNull(), F.to_json(F.struct(p.alias("v")), as_text)),
-            product=F.when(why.isNotNull(), F.to_json(F.struct(d.raw.alias("v")), as_text)),
-            booking_ts=booked,
-            passenger_uci=p.uci,
-            passenger_type=F.upper(F.trim(p.passengerType)),
-            passenger_age=whole_number(p.age),
-            booking_status=d.status,
-            origin_airport=flight.originAirport,
-            destination_airport=flight.destinationAirport,
-            operating_airline=flight.operatingAirline,
-            departure_ts=d.departs,
-            arrival_ts=d.arrives,
-        )
-
-    pairs = F.flatten(
-        F.transform(record.passengersList, lambda p: F.transform(F.transform(record.productsList, product), lambda d: pair(p, d)))
-    )
-    none = F.array(_outcome(NO_PAIRS, booking_ts=booked))
-    kept = F.when(F.coalesce(F.size(pairs), F.lit(0)) > 0, pairs).otherwise(none)
-    rejected = F.array(_outcome(EVENT_REJECT, reason=why_event, value=event_text(events)))
     file = F.col("file") if "file" in events.columns else F.lit(None).cast("string").alias("file")
-    return events.select(file, F.inline(F.when(why_event.isNotNull(), rejected).otherwise(kept)))
+    # a rejected event has no record here, and so no pairs
+    told = events.select(
+        file,
+        why_event.alias("why_event"),
+        F.when(why_event.isNotNull(), event_text(events)).alias("value"),
+        F.when(why_event.isNull(), utc_instant("timestamp")).alias("booked"),
+        F.when(why_event.isNull(), F.col(RECORD)).alias("record"),
+    )
+    p, d = F.col("p"), F.col("d")
+    why_pair = F.when(F.col("is_pair"), pair_reject_reason(p, d, F.col("departs"), F.col("arrives")))
+    rows = member_pairs(told).withColumn("why_pair", why_pair)
+    why, paired, flight = F.col("why_pair"), F.col("is_pair"), d.flight
+    kind = F.when(F.col("why_event").isNotNull(), EVENT_REJECT).when(~paired, NO_PAIRS).when(why.isNull(), LEG).otherwise(LEG_REJECT)
+    values = {
+        "outcome": kind,
+        "reason": F.coalesce("why_event", "why_pair"),
+        "value": F.col("value"),
+        # the members as they were read, of rejected pairs only
+        "passenger": F.when(why.isNotNull(), member_text("p")),
+        "product": F.when(why.isNotNull(), member_text("d")),
+        "booking_ts": F.col("booked"),
+        "passenger_uci": p.uci,
+        "passenger_type": F.upper(F.trim(p.passengerType)),
+        "passenger_age": whole_number(p.age),
+        "booking_status": F.upper(F.trim(d.bookingStatus)),
+        "origin_airport": flight.originAirport,
+        "destination_airport": flight.destinationAirport,
+        "operating_airline": flight.operatingAirline,
+        "departure_ts": F.col("departs"),
+        "arrival_ts": F.col("arrives"),
+    }
+    return rows.select("file", *[values[name].cast(kind_of).alias(name) for name, kind_of in _TYPES.items()])
 
 
 @dataclass(frozen=True)
