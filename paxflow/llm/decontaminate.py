@@ -2,8 +2,8 @@
 
 Benchmark items and document passages become TF-IDF vectors over the items'
 words (document frequencies are taken over all documents, in hashed cells).
-A distributed randomised SVD of the items and of passages from a bounded
-sample of documents gives the latent space. Every document is then cut into
+A distributed randomised SVD of the items and of the passages of all
+documents gives the latent space. Every document is then cut into
 overlapping passages, projected, and compared with all items by cosine:
 two lengths for items of up to LONG_ITEM words, for longer ones lengths and
 steps by doubling up to the longest item; candidates are verified on the words themselves: the longest
@@ -27,11 +27,9 @@ from pyspark.sql import functions as F
 
 from paxflow.llm.memory import frees_memory
 from paxflow.llm.words import Splitter, Words, slices
-from paxflow.plans.sizing import stored
 
 CELLS = 1 << 16  # of the document-frequency table
 ITEM_BLOCK = 256
-FIT_DOCS = 2000  # documents whose passages help to fit the space
 RANK = 256
 EXTRA = 16
 ROUNDS = 2
@@ -125,8 +123,8 @@ def read_items(texts: list[tuple[int | None, str]]) -> Items:
     return Items(np.array([i for i, _ in texts], object), lists, answers)
 
 
-def fit_space(items: Items, sample: DataFrame, frequencies: np.ndarray, n: int) -> Space:
-    """Randomised SVD of the items' and the sample's passages over the items' words.
+def fit_space(items: Items, rows: DataFrame, frequencies: np.ndarray, n: int) -> Space:
+    """Randomised SVD of the items' and all documents' passages (``rows``: id, text) over the items' words.
 
     The passages stay where they are: each round, every task multiplies its
     passages with the current basis and back, and the products, as large as
@@ -138,57 +136,67 @@ def fit_space(items: Items, sample: DataFrame, frequencies: np.ndarray, n: int)
     rank = min(RANK + EXTRA, max(1, len(vocabulary)))
     basis = np.linalg.qr(np.random.default_rng(SEED).standard_normal((len(vocabulary), rank)))[0] if len(vocabulary) else np.zeros((0, 1))
 
-    def add_rows(total: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-        """total[rows] += values, for rows that repeat."""
-        order = np.argsort(rows, kind="stable")
-        start = np.flatnonzero(np.r_[np.ones(min(1, len(rows)), bool), np.diff(rows[order]) != 0])
-        if len(start):
-            total[rows[order][start]] += np.add.reduceat(values[order], start)
-
-    def product(code: np.ndarray, owner: np.ndarray, passages: int, basis: np.ndarray) -> np.ndarray:
-        """A'(A basis) for the passages given as (word code, passage) pairs."""
-        left, out = np.zeros((passages, basis.shape[1])), np.zeros_like(basis)
-        for k in range(0, len(code), CHUNK_WORDS):
-            own = code[k : k + CHUNK_WORDS]
-            add_rows(left, owner[k : k + CHUNK_WORDS], weight[own][:, None] * basis[own])
-        for k in range(0, len(code), CHUNK_WORDS):
-            own = code[k : k + CHUNK_WORDS]
-            add_rows(out, own, weight[own][:, None] * left[owner[k : k + CHUNK_WORDS]])
+    def product(code: np.ndarray, owner: np.ndarray, weighted: np.ndarray) -> np.ndarray:
+        """A'(A basis) but for A's weights on the left, for the passages given
+        as (word code, passage) pairs in the order of passages; ``weighted`` is
+        the basis with A's weights. Chunks end where a passage does."""
+        out = np.zeros_like(weighted)
+        at = 0
+        while at < len(code):
+            end = min(len(code), at + CHUNK_WORDS)
+            if end < len(code):
+                begun = int(np.searchsorted(owner, owner[end]))
+                if begun == at:  # one passage longer than a chunk: a long item
+                    end = int(np.searchsorted(owner, owner[at], side="right"))
+                    words, times = np.unique(code[at:end], return_counts=True)
+                    whole = times.astype(weighted.dtype) @ weighted[words]
+                    out[words] += times[:, None] * whole
+                    at = end
+                    continue
+                end = begun
+            own, new = code[at:end], np.r_[True, np.diff(owner[at:end]) != 0]
+            left = np.add.reduceat(weighted[own], np.flatnonzero(new))
+            order = np.argsort(own, kind="stable")
+            first = np.flatnonzero(np.r_[True, np.diff(own[order]) != 0])
+            out[own[order][first]] += np.add.reduceat(left[(np.cumsum(new) - 1)[order]], first)
+            at = end
         return out
 
-    def passages_of(words: Words) -> tuple[np.ndarray, np.ndarray, int]:
-        code = plain.codes(words.hash) if len(vocabulary) else np.empty(0, np.int32)
-        text = words.text_of
-        owner = np.unique(text * (1 << 32) + (np.arange(len(text)) - words.first[text]) // (SHORT * STEP), return_inverse=True)[1]
+    def passages_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
+        code, text = plain.codes(words.hash), words.text_of
+        owner = np.cumsum((np.arange(len(text)) - words.first[text]) % (SHORT * STEP) == 0)
         known = code < len(vocabulary)
-        return code[known], owner[known], int(owner.max(initial=-1)) + 1
+        return code[known], owner[known]
 
     def multiplied(current: np.ndarray) -> DataFrame:
-        """The sample's part of A'(A current), summed by blocks of rows."""
+        """The documents' part of A'(A current), summed by blocks of rows."""
+        weighted = (weight[:-1, None] * current).astype(np.float32)
 
         @frees_memory
         def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            splitter, total = Splitter(lower=True, letters_only=True), np.zeros_like(current)
+            splitter, total = Splitter(lower=True, letters_only=True), np.zeros(current.shape)
             for batch in batches:
                 for part in slices(batch, 1):
-                    total += product(*passages_of(splitter.split(part.column(1))), current)
+                    total += product(*passages_of(splitter.split(part.column(1))), weighted)
+            total *= weight[:-1, None]
             cuts = list(range(0, len(total), 1024))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cuts, pa.int32()), pa.array([total[c : c + 1024].astype("<f8").tobytes() for c in cuts], pa.binary())], ["row", "sums"]
             )
 
         def add(part: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame(
-                {"row": [part["row"].iloc[0]], "sums": [np.sum([np.frombuffer(s, "<f8") for s in part["sums"]], axis=0).tobytes()]}
-            )
+            total = np.frombuffer(part["sums"].iloc[0], "<f8").copy()
+            for more in part["sums"].iloc[1:]:
+                total += np.frombuffer(more, "<f8")
+            return pd.DataFrame({"row": [part["row"].iloc[0]], "sums": [total.tobytes()]})
 
-        return sample.mapInArrow(multiply, "row int, sums binary").groupBy("row").applyInPandas(add, "row int, sums binary")
+        return rows.mapInArrow(multiply, "row int, sums binary").groupBy("row").applyInPandas(add, "row int, sums binary")
 
     own_code = plain.codes(np.concatenate(items.words)) if len(vocabulary) else np.empty(0, np.int32)
     own_item = np.repeat(np.arange(len(items.words)), [len(w) for w in items.words])
     for _ in range(ROUNDS if len(vocabulary) else 0):
         sums = multiplied(basis)
-        total = ITEM_WEIGHT * product(own_code, own_item, len(items.words), basis)
+        total = ITEM_WEIGHT * weight[:-1, None] * product(own_code, own_item, weight[:-1, None] * basis)
         for row in sums.toLocalIterator():
             total[row.row : row.row + 1024] += np.frombuffer(row.sums, "<f8").reshape(-1, total.shape[1])
         basis = np.linalg.qr(total)[0]
@@ -318,16 +326,13 @@ def contaminated(
     frequencies, n = document_frequencies(rows)
     id_type = rows.schema["id"].dataType.simpleString()
     schema = f"id {id_type}, item_id bigint, cosine double, lcs double, answer double"
-    drawn = docs.select(F.col(id_col).alias("id")).distinct().orderBy(F.xxhash64("id"), "id").limit(FIT_DOCS)
-    # One text per id drawn, however many rows share it.
-    sample = stored(rows.join(F.broadcast(drawn), "id").groupBy("id").agg(F.min("text").alias("text")), "passages")
     known = benchmark.filter(F.length(F.trim("text")) > 0).select(F.col(item_col).cast("long").alias("item"), "text")
     found: DataFrame | None = None
     block: list[tuple[int, str]] = []
 
     def searched(texts: list[tuple[int, str]]) -> DataFrame:
         items = read_items(texts)
-        space = fit_space(items, sample, frequencies, n)
+        space = fit_space(items, rows, frequencies, n)
         shipped = docs.sparkSession.sparkContext.broadcast(
             (items.ids, items.words, items.answers, space.vocabulary, space.vectors, space.items)
         )
