@@ -3,7 +3,9 @@
 Benchmark items and document passages become TF-IDF vectors over the items'
 words (document frequencies are taken over all documents, in hashed cells).
 A distributed randomised SVD of the items and of the passages of all
-documents gives the latent space. Every document is then cut into
+documents gives the latent space; it needs of the passages only how often two
+of the items' words stand in one, which one reading counts together with the
+document frequencies. Every document is then cut into
 overlapping passages, projected, and compared with all items by cosine:
 two lengths for items of up to LONG_ITEM words, for longer ones lengths and
 steps by doubling up to the longest item; candidates are verified on the words themselves: the longest
@@ -16,6 +18,7 @@ so what is sent to every task is bounded whatever the benchmark's size.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +30,7 @@ from pyspark.sql import functions as F
 
 from paxflow.llm.memory import frees_memory
 from paxflow.llm.words import Splitter, Words, slices
+from paxflow.plans.sizing import stored
 
 CELLS = 1 << 16  # of the document-frequency table
 ITEM_BLOCK = 256
@@ -42,6 +46,14 @@ SHORT_ITEM = 32
 LONG_ITEM = 64  # for items of so many words and more, steps and passages are doubled until the item is below
 CHUNK_STEPS = 1024
 CHUNK_WORDS = 8192
+# Of the pairs of words: cells of a block of rows, keys a task holds before it counts them, counted keys before it lets them go.
+PAIR_CELLS = 1 << 18
+PAIR_KEYS = 1 << 22
+PAIRS_HELD = 1 << 23
+# Multiplications that numpy's libraries leave to one thread.
+ONE_THREAD = 1 << 18
+# Tasks for each core that count: each leaves a summary whose size hardly depends on its input.
+COUNTING_TASKS = 8
 # Candidates: cosine, and latent length against the part of the item's that a passage can hold.
 MIN_COSINE = 0.55
 MIN_LENGTH = 0.5
@@ -54,34 +66,164 @@ MIN_ANSWER = 0.5
 # ------------------------------------------------------------------ statistics
 
 
-def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
-    """(documents per cell of word hashes, documents), over all ``rows`` (id, text)."""
+FREQUENCY_BLOCKS = 16  # then one block for the number of documents, then blocks of pairs
+
+
+def pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending keys and their counts, in as few bytes each as the largest step and count need."""
+    parts = [np.diff(keys, prepend=keys.dtype.type(0)), counts]
+    parts = [x.astype(np.min_scalar_type(int(x.max(initial=0)))) for x in parts]
+    return np.array([len(keys), *(x.itemsize for x in parts)], np.int64).tobytes() + b"".join(x.tobytes() for x in parts)
+
+
+def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n, *sizes = np.frombuffer(data, np.int64, 3).tolist()
+    steps = np.frombuffer(data, f"u{sizes[0]}", n, 24)
+    return np.cumsum(steps, dtype=np.int64), np.frombuffer(data, f"u{sizes[1]}", n, 24 + n * sizes[0])
+
+
+class Codes:
+    """Places of word hashes in a sorted vocabulary; its length for all other
+    words. A word is compared with those that share its first 16 bits."""
+
+    def __init__(self, vocabulary: np.ndarray):
+        self.size = len(vocabulary)
+        begin = np.searchsorted(vocabulary, np.arange(CELLS, dtype=np.uint64) << np.uint64(48))
+        self.begin = begin.astype(np.int32)
+        self.most = int(np.diff(begin, append=self.size).max())
+        self.vocabulary = np.r_[vocabulary, vocabulary[:1].repeat(self.most)]
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        at = self.begin[(hashes >> np.uint64(48)).astype(np.intp)]
+        found = np.full(len(hashes), self.size, np.int32)
+        for _ in range(self.most):
+            hit = np.flatnonzero(self.vocabulary[at] == hashes)
+            found[hit] = at[hit]
+            at = at + 1
+        return found
+
+
+def rows_of_block(size: int) -> int:
+    return max(1, PAIR_CELLS // max(1, size))
+
+
+class Pairs:
+    """How often two words of a vocabulary stand in one passage, as a task
+    counts them: passages begin every SHORT * STEP words of a text."""
+
+    def __init__(self, vocabulary: np.ndarray):
+        self.codes, self.size = Codes(vocabulary), len(vocabulary)
+        self.kind = np.int32 if self.size**2 < 2**31 else np.int64
+        self.keys: list[np.ndarray] = []
+        self.counted: list[tuple[np.ndarray, np.ndarray]] = []
+        self.words = np.zeros(self.size, np.int64)
+
+    def add(self, words: Words) -> None:
+        code, text = self.codes(words.hash), words.text_of
+        owner = np.cumsum((np.arange(len(text)) - words.first[text]) % (SHORT * STEP) == 0, dtype=np.int32)
+        known = code < self.size
+        code, owner = code[known].astype(self.kind), owner[known]
+        self.words += np.bincount(code, minlength=self.size)
+        for apart in range(1, SHORT * STEP):
+            near = np.flatnonzero(owner[apart:] == owner[:-apart])
+            if not len(near):
+                break
+            one, other = code[near], code[near + apart]
+            self.keys.append(np.minimum(one, other) * self.kind(self.size) + np.maximum(one, other))
+        if sum(map(len, self.keys)) >= PAIR_KEYS:
+            self.count()
+
+    def count(self) -> None:
+        if self.keys:
+            self.counted.append(np.unique(np.concatenate(self.keys), return_counts=True))
+            self.keys = []
+
+    def full(self) -> bool:
+        return sum(len(k) for k, _ in self.counted) >= PAIRS_HELD
+
+    def take(self) -> Iterator[tuple[int, bytes]]:
+        """(block of rows, packed cells) of what was counted so far: each pair in both orders."""
+        self.count()
+        own = np.flatnonzero(self.words)
+        keys = np.concatenate([k for k, _ in self.counted] + [own.astype(self.kind) * self.kind(self.size + 1)]).astype(np.int64)
+        counts = np.concatenate([c for _, c in self.counted] + [self.words[own]])
+        self.counted, self.words = [], np.zeros(self.size, np.int64)
+        if not len(keys):
+            return
+        row, column = np.divmod(keys, self.size)
+        twice = np.ones(len(keys), np.int64)
+        twice[: len(keys) - len(own)] += (row == column)[: len(keys) - len(own)]
+        mirror = np.flatnonzero(row != column)
+        keys = np.concatenate([keys, column[mirror] * self.size + row[mirror]])
+        counts = np.concatenate([counts * twice, counts[mirror]])
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        first = np.flatnonzero(np.r_[True, np.diff(keys) != 0])
+        keys, counts = keys[first], np.add.reduceat(counts, first)
+        cells = rows_of_block(self.size) * self.size
+        for block in np.unique(keys // cells).tolist():
+            a, b = np.searchsorted(keys, [block * cells, (block + 1) * cells])
+            yield block, pack(keys[a:b] - block * cells, counts[a:b])
+
+
+def counts_of(rows: DataFrame, vocabulary: np.ndarray, frequencies: bool = True) -> DataFrame:
+    """One reading of all ``rows`` (id, text): block, counts. The first blocks
+    are documents per cell of word hashes, then comes the number of documents,
+    then how often two words of the vocabulary stand in one passage."""
+    size, begin = len(vocabulary), FREQUENCY_BLOCKS + 1
 
     @frees_memory
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter, total, n = Splitter(lower=True, letters_only=True), np.zeros(CELLS, np.int64), 0
+        pairs = Pairs(vocabulary)
+
+        def table(found: list[tuple[int, bytes]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int32()), pa.array([c for _, c in found], pa.binary())], ["block", "counts"])
+
         for batch in batches:
             n += len(batch)
             for part in slices(batch, 1):
                 words = splitter.split(part.column(1))
-                cell = (words.hash >> np.uint64(48)).astype(np.int64)
-                total += np.bincount(np.unique(words.text_of * CELLS + cell) % CELLS, minlength=CELLS)
-        blocks = total.reshape(16, -1)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(17), pa.int32()), pa.array([*(b.tobytes() for b in blocks), np.int64(n).tobytes()], pa.binary())],
-            ["block", "counts"],
-        )
+                if frequencies:
+                    cell = (words.hash >> np.uint64(48)).astype(np.int64)
+                    total += np.bincount(np.unique(words.text_of * CELLS + cell) % CELLS, minlength=CELLS)
+                if size:
+                    pairs.add(words)
+                if pairs.full():
+                    yield table([(begin + b, c) for b, c in pairs.take()])
+        if frequencies:
+            yield table([*enumerate(b.tobytes() for b in total.reshape(FREQUENCY_BLOCKS, -1)), (FREQUENCY_BLOCKS, np.int64(n).tobytes())])
+        if size:
+            yield table([(begin + b, c) for b, c in pairs.take()])
 
     @frees_memory
     def add(part: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(c, np.int64) for c in part["counts"]], axis=0)
-        return pd.DataFrame({"block": [part["block"].iloc[0]], "counts": [total.tobytes()]})
-
-    sums = rows.mapInArrow(count, "block int, counts binary").groupBy("block").applyInPandas(add, "block int, counts binary")
-    found = {r.block: np.frombuffer(r.counts, np.int64) for r in sums.collect()}
+        block = part["block"].iloc[0]
+        if block < begin:
+            data = np.sum([np.frombuffer(c, np.int64) for c in part["counts"]], axis=0).tobytes()
+        else:
+            cells = np.zeros(rows_of_block(size) * size, np.int64)
+            for packed in part["counts"]:
+                keys, counts = unpack(packed)
+                cells[keys] += counts.astype(np.int64)
+            keys = np.flatnonzero(cells)
+            data = pack(keys, cells[keys])
+        return pd.DataFrame({"block": [block], "counts": [data]})
+
+    few = rows.coalesce(COUNTING_TASKS * rows.sparkSession.sparkContext.defaultParallelism)
+    return few.mapInArrow(count, "block int, counts binary").groupBy("block").applyInPandas(add, "block int, counts binary")
+
+
+def frequencies_in(counts: DataFrame) -> tuple[np.ndarray, int]:
+    found = {r.block: np.frombuffer(r.counts, np.int64) for r in counts.filter(F.col("block") <= FREQUENCY_BLOCKS).collect()}
     if not found:
         return np.zeros(CELLS, np.int64), 0
-    return np.concatenate([found[b] for b in range(16)]), int(found[16][0])
+    return np.concatenate([found[b] for b in range(FREQUENCY_BLOCKS)]), int(found[FREQUENCY_BLOCKS][0])
+
+
+def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
+    """(documents per cell of word hashes, documents), over all ``rows`` (id, text)."""
+    return frequencies_in(counts_of(rows, np.empty(0, np.uint64)))
 
 
 def weights(hashes: np.ndarray, frequencies: np.ndarray, n: int) -> np.ndarray:
@@ -107,10 +249,9 @@ class Space:
     vectors: np.ndarray  # (words + 1, rank): weighted, the last row zero for all other words
     items: np.ndarray  # (items, rank)
 
-    def codes(self, hashes: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.vocabulary, hashes)
-        at[at == len(self.vocabulary)] = 0
-        return np.where(self.vocabulary[at] == hashes, at, len(self.vocabulary)).astype(np.int32)
+    @functools.cached_property
+    def codes(self) -> Codes:
+        return Codes(self.vocabulary)
 
 
 def read_items(texts: list[tuple[int | None, str]]) -> Items:
@@ -123,18 +264,25 @@ def read_items(texts: list[tuple[int | None, str]]) -> Items:
     return Items(np.array([i for i, _ in texts], object), lists, answers)
 
 
-def fit_space(items: Items, rows: DataFrame, frequencies: np.ndarray, n: int) -> Space:
+def words_of(items: Items) -> np.ndarray:
+    return np.unique(np.concatenate(items.words)) if items.words else np.empty(0, np.uint64)
+
+
+def fit_space(items: Items, rows: DataFrame, frequencies: np.ndarray, n: int, counts: DataFrame | None = None) -> Space:
     """Randomised SVD of the items' and all documents' passages (``rows``: id, text) over the items' words.
 
-    The passages stay where they are: each round, every task multiplies its
-    passages with the current basis and back, and the products, as large as
-    vocabulary x rank, are added up. The items are passages too.
+    Each round multiplies the basis by A'A, where A holds the passages. Of
+    the documents that is a matrix of counts, how often two words stand in one
+    passage, between the words' weights: it is counted once (``counts``: by
+    :func:`counts_of`, stored), and each round multiplies its blocks of rows,
+    where they lie. The items are passages too.
     """
-    vocabulary = np.unique(np.concatenate(items.words)) if items.words else np.empty(0, np.uint64)
+    vocabulary = words_of(items)
     weight = np.r_[weights(vocabulary, frequencies, n), np.float32(0)]
-    plain = Space(vocabulary, np.zeros((len(vocabulary) + 1, 1), np.float32), np.zeros((0, 1), np.float32))
     rank = min(RANK + EXTRA, max(1, len(vocabulary)))
     basis = np.linalg.qr(np.random.default_rng(SEED).standard_normal((len(vocabulary), rank)))[0] if len(vocabulary) else np.zeros((0, 1))
+    if counts is None and len(vocabulary):
+        counts = stored(counts_of(rows, vocabulary, frequencies=False), "pairs")
 
     def product(code: np.ndarray, owner: np.ndarray, weighted: np.ndarray) -> np.ndarray:
         """A'(A basis) but for A's weights on the left, for the passages given
@@ -162,43 +310,31 @@ def fit_space(items: Items, rows: DataFrame, frequencies: np.ndarray, n: int) ->
             at = end
         return out
 
-    def passages_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
-        code, text = plain.codes(words.hash), words.text_of
-        owner = np.cumsum((np.arange(len(text)) - words.first[text]) % (SHORT * STEP) == 0)
-        known = code < len(vocabulary)
-        return code[known], owner[known]
-
     def multiplied(current: np.ndarray) -> DataFrame:
-        """The documents' part of A'(A current), summed by blocks of rows."""
-        weighted = (weight[:-1, None] * current).astype(np.float32)
+        """The documents' part of A'(A current), by blocks of rows."""
+        weighted = weight[:-1, None] * current
+        size, high, begin = len(vocabulary), rows_of_block(len(vocabulary)), FREQUENCY_BLOCKS + 1
 
         @frees_memory
         def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            splitter, total = Splitter(lower=True, letters_only=True), np.zeros(current.shape)
             for batch in batches:
-                for part in slices(batch, 1):
-                    total += product(*passages_of(splitter.split(part.column(1))), weighted)
-            total *= weight[:-1, None]
-            cuts = list(range(0, len(total), 1024))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cuts, pa.int32()), pa.array([total[c : c + 1024].astype("<f8").tobytes() for c in cuts], pa.binary())], ["row", "sums"]
-            )
-
-        def add(part: pd.DataFrame) -> pd.DataFrame:
-            total = np.frombuffer(part["sums"].iloc[0], "<f8").copy()
-            for more in part["sums"].iloc[1:]:
-                total += np.frombuffer(more, "<f8")
-            return pd.DataFrame({"row": [part["row"].iloc[0]], "sums": [total.tobytes()]})
-
-        return rows.mapInArrow(multiply, "row int, sums binary").groupBy("row").applyInPandas(add, "row int, sums binary")
-
-    own_code = plain.codes(np.concatenate(items.words)) if len(vocabulary) else np.empty(0, np.int32)
+                for block, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    keys, counts = unpack(packed.as_py())
+                    cells, row = np.zeros(high * size), (block - begin) * high
+                    cells[keys] = counts
+                    sums = (cells.reshape(high, size)[: size - row] @ weighted) * weight[row : min(size, row + high), None]
+                    yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([sums.astype("<f8").tobytes()], pa.binary())], ["row", "sums"])
+
+        return counts.filter(F.col("block") >= begin).select("block", "counts").mapInArrow(multiply, "row int, sums binary")
+
+    own_code = Codes(vocabulary)(np.concatenate(items.words)) if len(vocabulary) else np.empty(0, np.int32)
     own_item = np.repeat(np.arange(len(items.words)), [len(w) for w in items.words])
     for _ in range(ROUNDS if len(vocabulary) else 0):
         sums = multiplied(basis)
         total = ITEM_WEIGHT * weight[:-1, None] * product(own_code, own_item, weight[:-1, None] * basis)
         for row in sums.toLocalIterator():
-            total[row.row : row.row + 1024] += np.frombuffer(row.sums, "<f8").reshape(-1, total.shape[1])
+            sums = np.frombuffer(row.sums, "<f8").reshape(-1, total.shape[1])
+            total[row.row : row.row + len(sums)] += sums
         basis = np.linalg.qr(total)[0]
     # The strongest directions among the items come first.
     placed = np.zeros((len(items.words), basis.shape[1]))
@@ -219,14 +355,14 @@ def passages(words: Words, space: Space, step: int, lengths: tuple[int, ...]) ->
     padded = np.where(steps > 0, steps + LONG - 1, 0)
     text = np.repeat(np.arange(len(counts)), padded)
     index = np.arange(len(text)) - np.repeat(np.cumsum(padded) - padded, padded)
-    coded = np.r_[space.codes(words.hash), np.int32(len(space.vocabulary))]
+    codes = np.r_[space.codes(words.hash), np.int32(len(space.vocabulary))]
     chunk = max(LONG, CHUNK_STEPS * STEP // step)
     for at in range(0, len(text), chunk):
         span = slice(at, min(len(text), at + chunk + LONG - 1))
         own_text, own_index = text[span], index[span]
         word = words.first[own_text][:, None] + own_index[:, None] * step + np.arange(step)
         word = np.where(word < words.first[own_text + 1][:, None], word, len(words.hash))
-        code = coded[word]
+        code = codes[word]
         sums = space.vectors[code[:, 0]]
         for k in range(1, step):
             sums += space.vectors[code[:, k]]
@@ -241,6 +377,16 @@ def passages(words: Words, space: Space, step: int, lengths: tuple[int, ...]) ->
             yield length, own_text[real], own_index[real] * step, vectors[real]
 
 
+def products(vectors: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """``vectors @ others.T`` as a stack of products of few rows, each of
+    which stays in one thread: the threads of a large one wait for each other
+    on cores that run other tasks (measured: three times the CPU seconds)."""
+    rows = max(1, ONE_THREAD // max(1, others.size))
+    padded = np.zeros((-(-len(vectors) // rows) * rows, vectors.shape[1]), vectors.dtype)
+    padded[: len(vectors)] = vectors
+    return (padded.reshape(-1, rows, vectors.shape[1]) @ others.T).reshape(-1, len(others))[: len(vectors)]
+
+
 def lcs(a: list[int], b: list[int]) -> int:
     """Length of the longest common subsequence, one bit per element of ``a``."""
     places: dict[int, int] = {}
@@ -285,7 +431,7 @@ def search(words: Words, items: Items, space: Space) -> list[tuple[int, int, flo
                 heavy = np.flatnonzero(norm >= least[group[0]])
                 if not len(heavy):
                     continue
-                cosine = (vectors[heavy] @ unit[group].T) / norm[heavy][:, None]
+                cosine = products(vectors[heavy], unit[group]) / norm[heavy][:, None]
                 passage, item = np.nonzero((cosine >= MIN_COSINE) & (norm[heavy][:, None] >= least[group][None, :]))
                 for p, i in zip(passage.tolist(), item.tolist(), strict=True):
                     tried[int(text[heavy[p]]), int(group[i]), int(first[heavy[p]])] = (float(cosine[p, i]), LONG * own_step)
@@ -323,16 +469,20 @@ def contaminated(
     Empty tables give an empty result.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
-    frequencies, n = document_frequencies(rows)
     id_type = rows.schema["id"].dataType.simpleString()
     schema = f"id {id_type}, item_id bigint, cosine double, lcs double, answer double"
     known = benchmark.filter(F.length(F.trim("text")) > 0).select(F.col(item_col).cast("long").alias("item"), "text")
     found: DataFrame | None = None
     block: list[tuple[int, str]] = []
+    known_frequencies: list[tuple[np.ndarray, int]] = []
 
     def searched(texts: list[tuple[int, str]]) -> DataFrame:
         items = read_items(texts)
-        space = fit_space(items, rows, frequencies, n)
+        # the first block's reading counts the documents' words for all blocks
+        counts = stored(counts_of(rows, words_of(items), frequencies=not known_frequencies), "counts")
+        if not known_frequencies:
+            known_frequencies.append(frequencies_in(counts))
+        space = fit_space(items, rows, *known_frequencies[0], counts)
         shipped = docs.sparkSession.sparkContext.broadcast(
             (items.ids, items.words, items.answers, space.vocabulary, space.vectors, space.items)
         )
