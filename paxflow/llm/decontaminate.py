@@ -364,8 +364,10 @@ def passages(words: Words, space: Space, step: int, lengths: tuple[int, ...]) ->
         word = np.where(word < words.first[own_text + 1][:, None], word, len(words.hash))
         code = codes[word]
         sums = space.vectors[code[:, 0]]
+        one = np.empty_like(sums)
         for k in range(1, step):
-            sums += space.vectors[code[:, k]]
+            # codes are in range; "clip" only spares the copy that a check would need
+            sums += np.take(space.vectors, code[:, k], axis=0, out=one, mode="clip")
         for length in lengths:
             n = min(len(sums) - length + 1, chunk)
             if n <= 0:
