@@ -47,6 +47,15 @@ def test_plain_utc_text_reads_as_the_general_parser_does(spark):
     assert [(r.t, r.a) for r in rows] == [(r.t, r.b) for r in rows]
 
 
+def test_the_form_of_a_time_is_tested_once(spark):
+    odd = ["2020-01-02T03:04:05Z\n", "\n2020-01-02T03:04:05", "2020-01-02x03:04:05Z", "12020-01-02T03:04:5Z", "+020-01-02T03:04:05Z", "2020-01-02 03:04:05z", "\u0662020-01-02T03:04:05Z"]
+    df = spark.createDataFrame([(t,) for t in odd], "t STRING")
+    rows = df.select("t", utc_instant("t").alias("a"), _from_micros(instant_micros("t")).alias("b")).collect()
+    assert [(r.t, r.a) for r in rows] == [(r.t, r.b) for r in rows]
+    plan = df.select(utc_instant("t").alias("a"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("substring(") == 1  # the one that is parsed; none per separator
+
+
 @pytest.mark.parametrize("strict", [False, True])
 @pytest.mark.parametrize("origins", [None, ("AMS",)])
 def test_legs_from_generators_are_the_exploded_events(spark, strict, origins):
