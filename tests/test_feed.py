@@ -127,3 +127,22 @@ def test_packed_lines_are_written_and_read(spark, scratch):
     path = write_lines(feed(spark).coalesce(1), scratch("packed"), compression="gzip")
     assert all(r.file.endswith(".json.gz") for r in booking_files(spark, path, "*.json*").collect())
     assert bag(feed_legs(read_booking_events(spark, path, "*.json*"))) == bag(feed_legs(feed(spark)))
+
+
+@pytest.mark.parametrize(("name", "most"), [("stream_retract_counts", 16), ("stream_evicted_state", 12 + 5)])
+def test_a_larger_feed_is_replayed_in_no_more_files(spark, monkeypatch, name, most):
+    from paxflow.plans import catalog
+    from paxflow.streaming.publish import Folder
+
+    found = []
+
+    def replayed(spark_, files, *_, **__):
+        found.extend(n for n in Folder(spark_, files).names() if ".json" in n)
+        raise InterruptedError
+
+    many = [line(f'[{P.replace("A", f"A{i}")}]', f"[{product()}]") for i in range(80)]
+    monkeypatch.setattr(catalog, "lines", lambda *_: spark.createDataFrame([(v,) for v in many], "value STRING").repartition(40))
+    monkeypatch.setattr(catalog, "_replayed_ledger", replayed)
+    with pytest.raises(InterruptedError):
+        catalog.QUERIES[name](spark, "")
+    assert 8 < len(found) <= most
