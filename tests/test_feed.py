@@ -132,17 +132,46 @@ def test_packed_lines_are_written_and_read(spark, scratch):
 @pytest.mark.parametrize(("name", "most"), [("stream_retract_counts", 16), ("stream_evicted_state", 12 + 5)])
 def test_a_larger_feed_is_replayed_in_no_more_files(spark, monkeypatch, name, most):
     from paxflow.plans import catalog
+    from paxflow.sources import sinks
     from paxflow.streaming.publish import Folder
 
-    found = []
+    folders = set()
+    write = sinks.write_lines
 
-    def replayed(spark_, files, *_, **__):
-        found.extend(n for n in Folder(spark_, files).names() if ".json" in n)
+    def written(df, path, *rest, **more):
+        folders.add(path)
+        return write(df, path, *rest, **more)
+
+    def replayed(*_, **__):
         raise InterruptedError
 
     many = [line(f'[{P.replace("A", f"A{i}")}]', f"[{product()}]") for i in range(80)]
     monkeypatch.setattr(catalog, "lines", lambda *_: spark.createDataFrame([(v,) for v in many], "value STRING").repartition(40))
+    monkeypatch.setattr(sinks, "write_lines", written)
     monkeypatch.setattr(catalog, "_replayed_ledger", replayed)
     with pytest.raises(InterruptedError):
         catalog.QUERIES[name](spark, "")
-    assert 8 < len(found) <= most
+    (folder,) = folders
+    assert 8 < sum(".json" in n for n in Folder(spark, folder).names()) <= most
+
+
+def test_a_replayed_feed_is_packed_and_its_lines_are_dealt_out(spark, monkeypatch, scratch):
+    from paxflow.plans import catalog
+    from paxflow.streaming import stream as st
+    from paxflow.streaming.publish import Folder
+
+    monkeypatch.setattr(catalog, "lines", lambda *_: feed(spark).coalesce(1))
+    path = catalog._replay_files(spark, "", "packed-feed")
+    assert [n for n in Folder(spark, f"{path}/in").names() if n.startswith("part-")][0].endswith(".json.lz4")
+    parsed = st.stream_legs(catalog._replayed_lines(spark, path))
+    out = scratch("dealt")
+    tasks = spark.sparkContext.accumulator(0)
+
+    def take(batch, _):
+        tasks.add(batch.select(F.spark_partition_id()).distinct().count())
+        batch.write.mode("append").parquet(out)
+
+    parsed.writeStream.option("checkpointLocation", scratch("dealt-at")).trigger(availableNow=True).foreachBatch(take).start().awaitTermination()
+    assert bag(spark.read.parquet(out)) == bag(feed_legs(feed(spark)))
+    plan = parsed._jdf.queryExecution().analyzed().toString()
+    assert "RepartitionByExpression" in plan and tasks.value > 0
