@@ -13,6 +13,8 @@ BOOKING_EVENT_DDL = (
     "arrivalDate: STRING, operatingAirline: STRING>>>>>>, "
     "_corrupt_record STRING"
 )
+# The same without the member that no leg has: a number read as text costs the parser a writer.
+LEG_EVENT_DDL = BOOKING_EVENT_DDL.replace(", tattoo: STRING", "")
 
 # Airport file: headerless, 14 columns, all read as text and typed later.
 AIRPORT_COLUMNS = (

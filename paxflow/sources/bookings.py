@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paxflow.functions.instants import departure_window, utc_instant
-from paxflow.schema import BOOKING_EVENT_DDL, LEG_COLUMNS
+from paxflow.schema import BOOKING_EVENT_DDL, LEG_COLUMNS, LEG_EVENT_DDL
 
 RECORD = "event.DataElement.travelrecord"
 
@@ -55,9 +55,10 @@ def read_booking_events(
     return events.select("*", F.col("_metadata.file_path").alias("file")) if with_file else events
 
 
-def decode(lines: DataFrame) -> DataFrame:
+def decode(lines: DataFrame, ddl: str = BOOKING_EVENT_DDL) -> DataFrame:
     """S4 for a DataFrame of lines: same columns as
-    :func:`read_booking_events` plus ``value``; never fails a job.
+    :func:`read_booking_events` plus ``value``; never fails a job. ``ddl``
+    may leave out members that are not used.
 
     The parsed struct leaves through a one-row ``inline`` generator: filters
     on its fields then stay above the generator instead of being pushed
@@ -66,7 +67,7 @@ def decode(lines: DataFrame) -> DataFrame:
     give the generator nothing; as a filter the test would be pushed into what
     makes the lines, and make each line twice.
     """
-    parsed = F.from_json("value", BOOKING_EVENT_DDL, _JSON_OPTIONS)
+    parsed = F.from_json("value", ddl, _JSON_OPTIONS)
     return lines.select("value", F.inline(F.when(F.trim(F.col("value")) != "", F.array(parsed))))
 
 
@@ -270,7 +271,9 @@ def feed_legs(source: DataFrame, strict: bool = False, origins=None, start=None,
     Products and passengers leave one generator each, so times are parsed per
     product row by generated code and not by lambdas, which Spark interprets.
     """
-    raw = decoded(source).filter(event_reject_reason(strict).isNull())
+    # no leg has a tattoo, only the strict rules read it
+    raw = source if "event" in source.columns else decode(source, BOOKING_EVENT_DDL if strict else LEG_EVENT_DDL)
+    raw = raw.filter(event_reject_reason(strict).isNull())
     record, f = F.col(RECORD), F.col("flight")
     events = raw.select(utc_instant("timestamp").alias("booking_ts"), record.passengersList.alias("_passengers"), record.productsList.alias("_products"))
     products = events.select("booking_ts", "_passengers", F.inline("_products"))
