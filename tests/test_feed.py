@@ -175,3 +175,11 @@ def test_a_replayed_feed_is_packed_and_its_lines_are_dealt_out(spark, monkeypatc
     assert bag(spark.read.parquet(out)) == bag(feed_legs(feed(spark)))
     plan = parsed._jdf.queryExecution().analyzed().toString()
     assert "RepartitionByExpression" in plan and tasks.value > 0
+
+
+def test_legs_parse_no_member_that_they_do_not_have(spark):
+    odd = [line(f'[{P.replace(":1}", f":{t}}}")}]', f"[{product()}]") for t in ('"1"', "1.5", "[1,{}]", '{"a":null}', "null", '"x"')]
+    lines = spark.createDataFrame([(v,) for v in odd], "value STRING")
+    assert bag(feed_legs(lines)) == bag(explode_legs(parse_events(lines)).select(*LEG_COLUMNS))
+    plans = [feed_legs(lines, strict)._jdf.queryExecution().analyzed().toString() for strict in (False, True)]
+    assert ["tattoo" in p for p in plans] == [False, True]
