@@ -183,3 +183,33 @@ def test_legs_parse_no_member_that_they_do_not_have(spark):
     assert bag(feed_legs(lines)) == bag(explode_legs(parse_events(lines)).select(*LEG_COLUMNS))
     plans = [feed_legs(lines, strict)._jdf.queryExecution().analyzed().toString() for strict in (False, True)]
     assert ["tattoo" in p for p in plans] == [False, True]
+
+
+@pytest.mark.parametrize("name", ["stream_evicted_state"])
+def test_a_feed_taken_file_by_file_is_packed(spark, monkeypatch, name):
+    from paxflow.plans import catalog
+    from paxflow.sources import airports as ap
+    from paxflow.sources import sinks
+    from paxflow.streaming.publish import Folder
+
+    folders = []
+    write = sinks.write_lines
+
+    def written(df, path, *rest, **more):
+        folders.append(path)
+        return write(df, path, *rest, **more)
+
+    booked = [line(f'[{P.replace("A", f"A{i}")}]', f"[{product()}]") for i in range(40)]
+    feed_lines = [*booked, booked[7].replace(" confirmed", "cancelled").replace("2020-01-01", "2020-01-02", 1), "{cut", "", None]
+    table = spark.createDataFrame([(v,) for v in tb.FIXED_AIRPORT_LINES], "value STRING")
+    monkeypatch.setattr(catalog, "lines", lambda *_: spark.createDataFrame([(v,) for v in feed_lines], "value STRING").coalesce(2))
+    monkeypatch.setattr(catalog, "airports", lambda *_: ap.clean_airports(ap.parse_airport_lines(table)))
+    monkeypatch.setattr(sinks, "write_lines", written)
+    got = sorted((str(r[0]), r[1], r[2]) for r in catalog.QUERIES[name](spark, "").collect())
+    assert got == [("2020-01-02", "Netherlands", 39), ("2999-01-01", "Netherlands", 1)]
+    (folder,) = set(folders)
+    assert len(folders) == (3 if name == "stream_evicted_state" else 2)
+    parts = [n for n in Folder(spark, folder).names() if n.startswith("part-")]
+    assert parts and all(n.endswith(".json.lz4") for n in parts)
+    outside = {"stream_evicted_state": 3, "stream_late_and_outlier": 1}[name]
+    assert spark.read.text(folder).filter("value != ''").count() == len(booked) + 2 + outside  # the whole feed is in them
