@@ -185,7 +185,7 @@ def test_legs_parse_no_member_that_they_do_not_have(spark):
     assert ["tattoo" in p for p in plans] == [False, True]
 
 
-@pytest.mark.parametrize("name", ["stream_evicted_state"])
+@pytest.mark.parametrize("name", ["stream_evicted_state", "stream_late_and_outlier"])
 def test_a_feed_taken_file_by_file_is_packed(spark, monkeypatch, name):
     from paxflow.plans import catalog
     from paxflow.sources import airports as ap
