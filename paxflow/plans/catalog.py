@@ -697,19 +697,48 @@ def stream_dimension_change(spark, sf):
     return ledger.countries(ap.read_airports(spark, table))
 
 
+# Shares of a feed that is written as plain text, at most: one lies on disk at a time.
+TEXT_SHARES = 16
+SHARE_FILES = 8  # packed files of a share, at least: several tasks read it
+LINES_PER_FILE = 100_000
+
+
+def _feed_shares(spark, sf, path: str):
+    """The booking lines, made once and kept packed below ``path``, share by
+    share. A share is removed when the next one is asked for."""
+    from paxflow.streaming.publish import Folder
+
+    lines(spark, sf).write.option("compression", "zstd").option("maxRecordsPerFile", LINES_PER_FILE).parquet(path)
+    folder = Folder(spark, path)
+    files = [n for n in folder.names() if n.startswith("part-")]
+    shares = max(1, min(TEXT_SHARES, len(files) // SHARE_FILES))
+    for k in range(shares):
+        yield spark.read.schema("value STRING").parquet(*[f"{path}/{n}" for n in files[k::shares]])
+        for name in files[k::shares]:
+            folder.remove(name)
+
+
 @register("scan_roundtrip", q.with_base() + f"\nSELECT {LEG_SQL} FROM legs")
 def scan_roundtrip(spark, sf):
     """Lines written as *.json files next to a decoy file of another
-    name in the same folder, scanned back with the default *.json filter."""
+    name in the same folder, scanned back with the default *.json filter. The
+    text is many times the tables, so a share of the lines takes this way at a
+    time; the legs of all shares are kept."""
     from paxflow.plans.sizing import shared_dir
     from paxflow.sources.sinks import write_lines
+    from paxflow.streaming.publish import Folder
 
-    path = shared_dir(spark, "scan")
-    write_lines(lines(spark, sf), path)
-    # appended to the folder itself: only the name filter keeps its line, a valid event, out
+    base = shared_dir(spark, "scan")
+    path, kept = f"{base}/in", f"{base}/legs"
     decoy = spark.createDataFrame([(_DECOY_LINE,)], "value STRING")
-    decoy.write.mode("append").text(path)
-    return bk.feed_legs(bk.read_booking_events(spark, path))
+    for share in _feed_shares(spark, sf, f"{base}/feed"):
+        write_lines(share, path)
+        # appended to the folder itself: only the name filter keeps its line, a valid event, out
+        decoy.write.mode("append").text(path)
+        legs_read = bk.feed_legs(bk.read_booking_events(spark, path))
+        legs_read.write.mode("append").parquet(kept)
+    Folder(spark, base).remove("in")
+    return spark.read.schema(legs_read.schema).parquet(kept)
 
 
 _DECOY_LINE = (

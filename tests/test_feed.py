@@ -213,3 +213,44 @@ def test_a_feed_taken_file_by_file_is_packed(spark, monkeypatch, name):
     assert parts and all(n.endswith(".json.lz4") for n in parts)
     outside = {"stream_evicted_state": 3, "stream_late_and_outlier": 1}[name]
     assert spark.read.text(folder).filter("value != ''").count() == len(booked) + 2 + outside  # the whole feed is in them
+
+
+def test_a_scanned_feed_lies_on_disk_as_text_in_shares(spark, monkeypatch):
+    from paxflow.plans import catalog
+    from paxflow.sources import bookings, sinks
+    from paxflow.streaming.publish import Folder
+
+    booked = [line(f'[{P.replace("A", f"A{i}")}]', f"[{product()}]") for i in range(60)]
+    feed_lines = [*booked, booked[0], *LINES, None]
+    folders, written, scanned = set(), [], []
+    write, read = sinks.write_lines, bookings.read_booking_events
+
+    def counted(df, path, *rest, **more):
+        written.append(df.count())
+        folders.add(path)
+        return write(df, path, *rest, **more)
+
+    def default_scan(spark_, path):
+        names = [n for n in Folder(spark, path).names() if n.startswith("part-")]
+        scanned.append({n.rsplit(".", 1)[1] for n in names})
+        assert spark.read.text(path).filter("value like '%DECOY%'").count() == 1
+        return read(spark_, path)
+
+    monkeypatch.setattr(catalog, "lines", lambda *_: spark.createDataFrame([(v,) for v in feed_lines], "value STRING").repartition(2))
+    monkeypatch.setattr(catalog, "LINES_PER_FILE", 2, raising=False)
+    monkeypatch.setattr(sinks, "write_lines", counted)
+    monkeypatch.setattr(bookings, "read_booking_events", default_scan)
+    got = catalog.QUERIES["scan_roundtrip"](spark, "")
+    assert bag(got) == bag(feed_legs(spark.createDataFrame([(v,) for v in feed_lines], "value STRING")))
+    assert sum(written) == len(feed_lines) and max(written) <= len(feed_lines) / 3  # all of it, never at once
+    assert scanned == [{"json", "txt"}] * len(written)
+    (folder,) = folders
+    assert not Folder(spark, folder).names()  # no text is left behind
+
+
+def test_a_scanned_feed_may_be_empty(spark, monkeypatch):
+    from paxflow.plans import catalog
+
+    monkeypatch.setattr(catalog, "lines", lambda *_: spark.createDataFrame([], "value STRING"))
+    got = catalog.QUERIES["scan_roundtrip"](spark, "")
+    assert got.columns == list(LEG_COLUMNS) and got.count() == 0
